@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crateflow.llm import neighbours, terms, visual
+from crateflow.llm import bpe, neighbours, packing, quality, terms, visual
 from crateflow.session import table
 
 
@@ -41,6 +41,33 @@ def p5_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return terms.term_counts(spark, table(spark, sf_dir, "genre_result"), table(spark, sf_dir, "track_features"))
 
 
+def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.ByteBpe().encode(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+def p8_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its number of ids and whether decoding gives its text again."""
+    coder = bpe.ByteBpe()
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    back = coder.encode(docs, "doc_id", "text").select("doc_id", F.size("ids").cast("long").alias("n_ids"), coder.decode(F.col("ids")).alias("back"))
+    return docs.join(back, "doc_id").select("doc_id", "n_ids", (F.coalesce("text", F.lit("")) == F.col("back")).alias("same"))
+
+
+def p9_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Containers of 2,048 tokens: every piece of every document with its container, start and size in tokens."""
+    sizes = bpe.ByteBpe().count(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return packing.pack(sizes, "doc_id", "tokens")
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.not_prose(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+def p10_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, ratios and rule outcomes of every document."""
+    return quality.text_statistics(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_canonical": p1_canonical,
@@ -48,6 +75,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p3_neighbours": p3_neighbours,
     "p5_found": p5_found,
     "p5_counts": p5_counts,
+    "p8_ids": p8_ids,
+    "p8_round_trip": p8_round_trip,
+    "p9_containers": p9_containers,
+    "p10_found": p10_found,
+    "p10_statistics": p10_statistics,
 }
 
 _P5 = """
