@@ -30,9 +30,9 @@ SAMPLE_ROWS = 20_000
 SHARD_ROWS = 4_096
 MOST_SHARDS = 1_024
 MOST_ROWS = 1 << 19
-LINKS = 16
+LINKS = 20
 EF_BUILD = 32
-EF_SEARCH = 24
+EF_SEARCH = 16
 ENTRIES = 4
 #: A further shard is searched if its squared distance exceeds the nearest one's by no more than this.
 MARGIN = 0.08
@@ -169,15 +169,21 @@ class SmallWorld:
         o = np.argsort(-cs, axis=1, kind="stable")
         return np.take_along_axis(ids, o, 1), np.take_along_axis(cs, o, 1)
 
-    def search(self, q: np.ndarray, k: int, ef: int = EF_SEARCH) -> tuple[np.ndarray, np.ndarray]:
-        """Rows and similarities of the k best of every query; -1 where there are fewer."""
+    def search(self, q: np.ndarray, k: int, ef: int = EF_SEARCH, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and similarities of the k best of every query; -1 where there are fewer.
+
+        ``own`` holds the row that each query is in this graph: its search then starts at its own node.
+        """
         n = self.sizes[0] if self.sizes else 0
         if not n or not len(q):
-            return np.full((len(q), 0), -1), np.full((len(q), 0), -2.0)
+            return np.full((len(q), k), -1), np.full((len(q), k), -2.0)
         q = np.ascontiguousarray(q, dtype=np.float32)
+        place = np.empty(n, np.int32)
+        place[self.ids] = np.arange(n)
         out_i, out_s = [], []
         for i in range(0, len(q), BATCH):
-            ids, cs = self._beam(0, q[i : i + BATCH], self._entries(0, q[i : i + BATCH], n), max(ef, k), n)
+            start = self._entries(0, q[i : i + BATCH], n) if own is None else place[own[i : i + BATCH]][:, None]
+            ids, cs = self._beam(0, q[i : i + BATCH], start, max(ef, k), n)
             out_i.append(np.where(ids[:, :k] >= 0, self.ids[np.maximum(ids[:, :k], 0)], -1))
             out_s.append(cs[:, :k])
         return np.concatenate(out_i), np.concatenate(out_s)
@@ -259,15 +265,19 @@ def nearest_rows(df: DataFrame, key: str, field: str, k: int, *, queries: str |
         ids = t.column("id").to_numpy()
         x = np.frombuffer(b"".join(t.column("x").to_pylist()), np.float32).reshape(-1, dim)
         member, ask = t.column("member").to_numpy(), t.column("asked").to_numpy()
-        base_ids = ids[member]
-        order = np.argsort(base_ids, kind="stable")
-        base_ids = base_ids[order]
-        graph = SmallWorld(x[member][order], links=links)
-        got, sims = graph.search(x[ask], k + 1, ef)
-        a = np.repeat(ids[ask], got.shape[1])
-        b = base_ids[np.maximum(got.ravel(), 0)] if len(base_ids) else np.zeros(0, np.int64)
-        ok = (got.ravel() >= 0) & (a != b) & (sims.ravel() >= least)
-        return pa.table({"a": a[ok], "b": b[ok], "cosine": sims.ravel()[ok].astype(np.float64)})
+        o = np.argsort(ids[member], kind="stable")
+        base_ids, mine = ids[member][o], ask[member][o]
+        vectors = x[member][o]
+        graph = SmallWorld(vectors, links=links)
+        guests = ask & ~member
+        parts = []
+        for who, q, own in ((base_ids[mine], vectors[mine], np.flatnonzero(mine)), (ids[guests], x[guests], None)):
+            got, sims = graph.search(q, k + 1, ef, own)
+            a = np.repeat(who, got.shape[1])
+            b = base_ids[np.maximum(got.ravel(), 0)] if len(base_ids) else np.zeros(len(a), np.int64)
+            ok = (got.ravel() >= 0) & (a != b) & (sims.ravel() >= least)
+            parts.append(pa.table({"a": a[ok], "b": b[ok], "cosine": sims.ravel()[ok].astype(np.float64)}))
+        return pa.concat_tables(parts)
 
     routed = base.select("id", "v", "asked", "copy").mapInArrow(route, "shard bigint, id bigint, x binary, member boolean, asked boolean")
     found = routed.groupBy("shard").applyInArrow(in_shard, "a bigint, b bigint, cosine double")
