@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crateflow.llm import bpe, neighbours, packing, quality, terms, visual
+from crateflow.llm import bpe, neighbours, packing, quality, terms, variants, visual
 from crateflow.session import table
 
 
@@ -20,6 +20,17 @@ def p1_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return visual.canonical_forms(table(spark, sf_dir, "candidate"), ["row_ord"])
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = variants.same_recording_pairs(table(spark, sf_dir, "redownload"), table(spark, sf_dir, "nickname"))
+    return pairs.select(F.col("a").alias("request_id_a"), F.col("b").alias("request_id_b"))
+
+
+def p2_linked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every request that names a recording with its parsed form and the form it is attributed to."""
+    got = variants.linked(table(spark, sf_dir, "redownload"), table(spark, sf_dir, "nickname"))
+    return got.select(F.col("id").alias("request_id"), "form", "version", F.col("root").alias("recording"))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = neighbours.mutual_pairs(table(spark, sf_dir, "taste_profile"), "profile_id", "embedding")
     return pairs.select(F.col("a").alias("profile_id_a"), F.col("b").alias("profile_id_b"))
@@ -71,6 +82,8 @@ def p10_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_canonical": p1_canonical,
+    "p2_found": p2_found,
+    "p2_linked": p2_linked,
     "p3_found": p3_found,
     "p3_neighbours": p3_neighbours,
     "p5_found": p5_found,
