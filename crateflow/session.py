@@ -30,7 +30,13 @@ def build_session(name: str = "crateflow", master: str | None = None, **conf: st
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One input table of a data folder."""
+    """One input table of a data folder.
+
+    Spark 4.1 may plan a union as if its branches kept one partitioning although adaptive execution gave them different
+    numbers of partitions, and then fails ("Can't zip RDDs"); that planning is switched off.
+    """
+    if spark.conf.get("spark.sql.unionOutputPartitioning", "false") == "true":
+        spark.conf.set("spark.sql.unionOutputPartitioning", "false")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -58,6 +64,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def written_all(frames: list[DataFrame], name: str) -> DataFrame:
+    """Write frames of one schema side by side and read them as one; each is planned alone, so their partitionings needn't agree."""
+    spark, path = frames[0].sparkSession, scratch_path(frames[0].sparkSession, name)
+    paths = [f"{path}/{i}" for i in range(len(frames))]
+    for f, p in zip(frames, paths, strict=True):
+        f.select(frames[0].columns).write.parquet(p)
+    return spark.read.schema(frames[0].schema).parquet(*paths)
+
+
 def folder_bytes(spark: SparkSession, path: str) -> int:
     """Bytes on disk under a path, asked of Hadoop's file system (local, HDFS and object stores alike)."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
