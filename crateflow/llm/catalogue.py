@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crateflow.llm import bpe, neighbours, packing, quality, terms, variants, visual
+from crateflow.llm import bpe, linkage, neighbours, packing, quality, terms, variants, visual
 from crateflow.session import table
 
 
@@ -42,6 +42,17 @@ def p3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.select(F.col("a").alias("profile_id"), F.col("b").alias("neighbour_id"), F.col("place"), F.round("cosine", 4).alias("cosine"))
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = linkage.matches(table(spark, sf_dir, "search_result"), table(spark, sf_dir, "track_features"), table(spark, sf_dir, "nickname"))
+    return got.select(F.col("clip").alias("result_id"), "track_key")
+
+
+def p4_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every matched clip with its track and the confidence of the match."""
+    got = linkage.matches(table(spark, sf_dir, "search_result"), table(spark, sf_dir, "track_features"), table(spark, sf_dir, "nickname"), 0.0)
+    return got.withColumnRenamed("clip", "result_id")
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = terms.term_counts(spark, table(spark, sf_dir, "genre_result"), table(spark, sf_dir, "track_features"))
     return counts.where("mark IS NOT NULL").select("field_name", "term", "mark")
@@ -86,6 +97,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_linked": p2_linked,
     "p3_found": p3_found,
     "p3_neighbours": p3_neighbours,
+    "p4_found": p4_found,
+    "p4_matches": p4_matches,
     "p5_found": p5_found,
     "p5_counts": p5_counts,
     "p8_ids": p8_ids,

@@ -33,6 +33,8 @@ _TAIL = re.compile(
 )
 _WORD = re.compile(r"\w+")
 _ELIDED = re.compile(r"\b(?:l|d|s|n|j|c|qu)['’`]", re.I)
+_CAMEL = re.compile(r"(?<=[a-zß-öø-ÿα-ωа-яё]{2})(?=[A-ZÀ-ÖØ-ÞΑ-ΩА-ЯЁ][a-zß-öø-ÿα-ωа-яё])|(?<=\bDJ)(?=[A-Z][a-z])")
+_ASIDE = re.compile(r"\b(?:official\s+(?:music\s+)?(?:audio|video)|lyrics?\s+video|please)\b", re.I)
 PLACEHOLDER_ARTIST = re.compile(r"^\W*(?:unknown(?:\s+artist)?|various(?:\s+artists)?|va|v\.a\.|n/?a|none|artist|untitled)?\W*$", re.I)
 PLACEHOLDER_TITLE = re.compile(r"^\W*(?:(?:audio\s*)?track\s*\d*|untitled(?:\s*\d*)|audio\s*file\s*\d*|new\s+recording\s*\d*|unknown(?:\s+title)?|recording\s*\d*|title|\d*)\W*$", re.I)
 
@@ -47,7 +49,7 @@ def words(s: str, nicknames: dict[str, str] | None = None) -> list[str]:
     """Folded words; camel-cased joins are split, elided articles dropped, nicknames and usual short forms written out."""
     s = re.sub(r"\bw\s*/\s*o\b", "without", s, flags=re.I)
     s = re.sub(r"\bd\s*\.\s*j\b\.?", "DJ", s, flags=re.I)
-    s = re.sub(r"(?<=[a-z]{2})(?=[A-Z][a-z])|(?<=\bDJ)(?=[A-Z][a-z])", " ", s)
+    s = _CAMEL.sub(" ", s)
     s = fold(_ELIDED.sub(" ", s)).replace("&", " and ").replace("+", " and ").replace("_", " ").replace("'", "")
     got = _WORD.findall(s)
     nick = nicknames or {}
@@ -92,14 +94,15 @@ def parse(text: str | None) -> tuple[str, tuple[str, ...]]:
 
     flat = s if not re.search(r"\w-\w+-\w|[-_]\(|\(\w+-", s) else re.sub(r"(?<=[\w)\]])[-_](?=[\w(\[])", " ", s)
     s = _BRACKET.sub(bracket, flat)
-    s = _FEAT.sub(" ", s)
+    s = _FEAT.sub(" ", _ASIDE.sub(" ", s))
+    s = s.rstrip(' "”»')
     while m := _TAIL.search(s):
         if m.start() == 0:
             break
         if m.group("other"):
             kind, detail = _note(m.group("other").strip(" -–—|"), None)
             marks.append(detail or fold(m.group("other")).strip())
-        s = s[: m.start()]
+        s = s[: m.start()].rstrip(' "”»')
     m = _PART.search(s)
     if m and m.start() > 0:
         marks.append("part " + NUMBER.get(m.group(1).lower(), m.group(1)))
@@ -125,9 +128,9 @@ def _hash(*parts: str) -> int:
 KEY_WORDS = 9
 
 
-def keys(tokens: list[str], version: str) -> list[int]:
-    """Blocking keys of a bag: any two whole words with the first letters of the others, of which one may be left out; any three whole words; of small bags also one whole word with all first letters."""
-    full = [w for w in tokens if w not in LIGHT]
+def keys(tokens: list[str], version: str, loose: bool = True) -> list[int]:
+    """Blocking keys of a bag: any two whole words with the first letters of the others, of which one may be left out; any three whole words; of small bags also one whole word with all first letters. Without ``loose`` no word is left out. A word ending in * is cut off."""
+    full = [w for w in tokens if w not in LIGHT or len(w) == 1]
     if len(full) > KEY_WORDS:
         full = sorted(sorted(full, key=_hash)[:KEY_WORDS])
     out = set()
@@ -138,9 +141,9 @@ def keys(tokens: list[str], version: str) -> list[int]:
         left = list(first)
         for w in used:
             left.remove(w[0])
-        return {"".join(left), *("".join(left[:i] + left[i + 1 :]) for i in range(len(left)))}
+        return {"".join(left), *("".join(left[:i] + left[i + 1 :]) for i in range(len(left)) if loose or n <= 3)}
 
-    whole = [w for w in full if len(w) > 1]
+    whole = [w for w in full if len(w) > 1 and w[-1] != "*"]
     if n <= 3:
         out.update(_hash("1", version, w, "".join(sorted(first))) for w in whole)
     for pair in combinations(whole, 2):
@@ -173,7 +176,7 @@ def distance(a: str, b: str, most: int) -> int:
     return min(row[-1], most + 1)
 
 
-TYPO, INITIAL, SHORTENED, JOINED, LOST, LOST_LIGHT, CANNOT = 2.2, 1.2, 1.2, 1.5, 7.5, 1.6, 99.0
+TYPO, INITIAL, SHORTENED, JOINED, CUT_OFF, LOST, LOST_LIGHT, CANNOT = 2.2, 1.2, 1.2, 1.5, 0.4, 7.5, 1.6, 99.0
 #: A writing is a variant if its cost is at most this.
 LIMIT = 7.0
 
@@ -181,6 +184,9 @@ LIMIT = 7.0
 @lru_cache(maxsize=1 << 16)
 def word_cost(x: str, y: str) -> float:
     """Cost of one word as another."""
+    if x[-1] == "*" or y[-1] == "*":
+        x, y = (x, y) if x[-1] == "*" else (y, x)
+        return CUT_OFF if y.startswith(x[:-1]) else CANNOT
     if len(x) > len(y):
         x, y = y, x
     if len(x) == 1:
@@ -200,7 +206,7 @@ def word_cost(x: str, y: str) -> float:
 
 @lru_cache(maxsize=1 << 14)
 def _lost_word(w: str) -> float:
-    if w in LIGHT or len(w) == 1:
+    if w in LIGHT or len(w) == 1 or w[-1] == "*":
         return LOST_LIGHT
     if len(w) <= 5 and any(len(a) > 1 and distance(w, a, 1) <= 1 for a in ARTICLES):
         return TYPO  # an article with a typo
