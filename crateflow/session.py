@@ -29,14 +29,18 @@ def build_session(name: str = "crateflow", master: str | None = None, **conf: st
     return b.getOrCreate()
 
 
+def plain_unions(spark: SparkSession) -> None:
+    if spark.conf.get("spark.sql.unionOutputPartitioning", "false") == "true":
+        spark.conf.set("spark.sql.unionOutputPartitioning", "false")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table of a data folder.
 
     Spark 4.1 may plan a union as if its branches kept one partitioning although adaptive execution gave them different
     numbers of partitions, and then fails ("Can't zip RDDs"); that planning is switched off.
     """
-    if spark.conf.get("spark.sql.unionOutputPartitioning", "false") == "true":
-        spark.conf.set("spark.sql.unionOutputPartitioning", "false")
+    plain_unions(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
