@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crateflow.llm import bpe, linkage, neighbours, packing, quality, terms, variants, visual
+from crateflow.llm import bpe, intake, linkage, neighbours, packing, quality, terms, variants, visual
 from crateflow.session import table
 
 
@@ -63,6 +63,11 @@ def p5_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return terms.term_counts(spark, table(spark, sf_dir, "genre_result"), table(spark, sf_dir, "track_features"))
 
 
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = intake.repeated_tracks(table(spark, sf_dir, "tracks"), table(spark, sf_dir, "audio_fingerprints"))
+    return got.where("batch_no BETWEEN 1 AND 10").select(F.col("a").alias("track_id_a"), F.col("b").alias("track_id_b"))
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.ByteBpe().encode(table(spark, sf_dir, "documents"), "doc_id", "text")
 
@@ -101,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p4_matches": p4_matches,
     "p5_found": p5_found,
     "p5_counts": p5_counts,
+    "p7_found": p7_found,
     "p8_ids": p8_ids,
     "p8_round_trip": p8_round_trip,
     "p9_containers": p9_containers,
