@@ -44,7 +44,7 @@ _ITEM = re.compile(r"^\s*(?:[-*•·+>»–—]|\[[ xX]?\]|\(?\d{1,3}[.):]\)?|\(
 _CREDIT = re.compile(r"^\s*[^\W\d][^:.,!?]{0,24}:\s")
 _RULE = re.compile(r"^[\s|:+=\-_*~#.]+$")
 _COLUMNS = re.compile(r"\S(?:\s{2,}|\t)(?=\S)")
-_NUMBERED = re.compile(r"(?:^|[/|,;])\s*\d{1,3}[.)]?\s+[^\W\d]")
+_NUMBERED = re.compile(r"(?:^|[/|,;:])\s*\d{1,3}[.)]?\s+[^\W\d]")
 _END = tuple(".!?…:;,\"”»)。")
 _CELLS = re.compile(r"[;,|]\S")
 

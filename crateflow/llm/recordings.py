@@ -8,12 +8,13 @@ writing one bag as another: typos, initials, short forms, words run together.
 
 from __future__ import annotations
 
-import hashlib
 import re
 import unicodedata
 from functools import lru_cache
 from itertools import combinations, permutations
 
+import xxhash
+
 #: Words that carry no name; articles may come and go freely.
 ARTICLES = frozenset("the an le la les el los las der die das un une ein eine".split())
 LIGHT = frozenset("a o y of in and for on to by with without when de des du del al en et sur sous dans au aux pour par dem den im am von vom und auf ohne para sin".split())
@@ -32,6 +33,14 @@ _TAIL = re.compile(
     re.I,
 )
 _WORD = re.compile(r"\w+")
+_MARKS = re.compile("[\u0300-\u036f\u0483-\u0489\u0591-\u05bd\u064b-\u065f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff\u3099\u309a\ufe20-\ufe2f]+")
+_WITHOUT = re.compile(r"\bw\s*/\s*o\b", re.I)
+_DOTTED_DJ = re.compile(r"\bd\s*\.\s*j\b\.?", re.I)
+#: A text without any of these has no note after its end.
+_HINT = re.compile(r"live|slowed|sped|nightc|karaoke|instrumental|acoustic|tutorial|hour|cover|remix|demo|8d|song|single|hq|hd|master|official|lyric|album|original|new|please|pls|♫|♪", re.I)
+_JOINED = re.compile(r"\w-\w+-\w|[-_]\(|\(\w+-")
+_JOINT = re.compile(r"(?<=[\w)\]])[-_](?=[\w(\[])")
+_OPENING = re.compile(r"[(\[【{<]")
 _ELIDED = re.compile(r"\b(?:l|d|s|n|j|c|qu)['’`]", re.I)
 _CAMEL = re.compile(r"(?<=[a-zß-öø-ÿα-ωа-яё]{2})(?=[A-ZÀ-ÖØ-ÞΑ-ΩА-ЯЁ][a-zß-öø-ÿα-ωа-яё])|(?<=\bDJ)(?=[A-Z][a-z])")
 _ASIDE = re.compile(r"\b(?:official\s+(?:music\s+)?(?:audio|video)|lyrics?\s+video|please)\b", re.I)
@@ -41,19 +50,28 @@ PLACEHOLDER_TITLE = re.compile(r"^\W*(?:(?:audio\s*)?track\s*\d*|untitled(?:\s*\
 
 def fold(s: str) -> str:
     """Lower case without marks; signs of one width."""
-    s = unicodedata.normalize("NFKD", s)
-    return "".join(c for c in s if not unicodedata.combining(c)).casefold().replace("・", "")
+    if s.isascii():
+        return s.lower()
+    return _MARKS.sub("", unicodedata.normalize("NFKD", s)).casefold()
+
+
+@lru_cache(maxsize=1 << 15)
+def _words(s: str) -> tuple[str, ...]:
+    if "/" in s:
+        s = _WITHOUT.sub("without", s)
+    if "." in s:
+        s = _DOTTED_DJ.sub("DJ", s)
+    if not (s.islower() or s.isupper()):
+        s = _CAMEL.sub(" ", s)
+    if "'" in s or "’" in s or "`" in s:
+        s = _ELIDED.sub(" ", s).replace("'", "")
+    return tuple(_WORD.findall(fold(s).replace("&", " and ").replace("+", " and ").replace("_", " ").replace("・", "")))
 
 
 def words(s: str, nicknames: dict[str, str] | None = None) -> list[str]:
     """Folded words; camel-cased joins are split, elided articles dropped, nicknames and usual short forms written out."""
-    s = re.sub(r"\bw\s*/\s*o\b", "without", s, flags=re.I)
-    s = re.sub(r"\bd\s*\.\s*j\b\.?", "DJ", s, flags=re.I)
-    s = _CAMEL.sub(" ", s)
-    s = fold(_ELIDED.sub(" ", s)).replace("&", " and ").replace("+", " and ").replace("_", " ").replace("'", "")
-    got = _WORD.findall(s)
     nick = nicknames or {}
-    return [nick.get(w) or SHORT.get(w) or w for w in got]
+    return [nick.get(w) or SHORT.get(w) or w for w in _words(s)]
 
 
 def _note(text: str, number: str | None) -> tuple[str, str]:
@@ -74,6 +92,7 @@ def _note(text: str, number: str | None) -> tuple[str, str]:
     return ("same", "") if len(near) == len(w) else ("text", text)
 
 
+@lru_cache(maxsize=1 << 15)
 def parse(text: str | None) -> tuple[str, tuple[str, ...]]:
     """(text without notes, version marks in order)."""
     if not text:
@@ -92,18 +111,24 @@ def parse(text: str | None) -> tuple[str, tuple[str, ...]]:
             return f" {m.group(1)} {m.group(2) or ''} "
         return f" {m.group(2) or ''} "
 
-    flat = s if not re.search(r"\w-\w+-\w|[-_]\(|\(\w+-", s) else re.sub(r"(?<=[\w)\]])[-_](?=[\w(\[])", " ", s)
-    s = _BRACKET.sub(bracket, flat)
-    s = _FEAT.sub(" ", _ASIDE.sub(" ", s))
+    if ("-" in s or "_" in s) and _JOINED.search(s):
+        s = _JOINT.sub(" ", s)
+    if _OPENING.search(s):
+        s = _BRACKET.sub(bracket, s)
+    low = s.lower()
+    if "official" in low or "please" in low or "lyric" in low:
+        s = _ASIDE.sub(" ", s)
+    if "f" in low and ("feat" in low or "ft" in low):
+        s = _FEAT.sub(" ", s)
     s = s.rstrip(' "”»')
-    while m := _TAIL.search(s):
+    while _HINT.search(s) and (m := _TAIL.search(s)):
         if m.start() == 0:
             break
         if m.group("other"):
             kind, detail = _note(m.group("other").strip(" -–—|"), None)
             marks.append(detail or fold(m.group("other")).strip())
         s = s[: m.start()].rstrip(' "”»')
-    m = _PART.search(s)
+    m = _PART.search(s) if "p" in low or "P" in s else None
     if m and m.start() > 0:
         marks.append("part " + NUMBER.get(m.group(1).lower(), m.group(1)))
         s = s[: m.start()] + " " + s[m.end() :]
@@ -121,14 +146,19 @@ def bag(*texts: str, nicknames: dict[str, str] | None = None) -> list[str]:
 
 
 def _hash(*parts: str) -> int:
-    return int.from_bytes(hashlib.blake2b("\x1f".join(parts).encode(), digest_size=8).digest(), "big", signed=True)
+    return xxhash.xxh64_intdigest("\x1f".join(parts)) - (1 << 63)
 
 
 #: Bags of more words than this draw their keys from the words of smallest hash, the same in every similar bag.
 KEY_WORDS = 9
 
 
-def keys(tokens: list[str], version: str, loose: bool = True) -> list[int]:
+def lean_keys(tokens: list[str], version: str) -> list[int]:
+    """Fewer blocking keys: of bags of five words and more any three whole words only, of smaller ones also two with the first letters of the others."""
+    return keys(tokens, version, loose=False, pairs=len([w for w in tokens if w not in LIGHT or len(w) == 1]) < 5)
+
+
+def keys(tokens: list[str], version: str, loose: bool = True, pairs: bool = True) -> list[int]:
     """Blocking keys of a bag: any two whole words with the first letters of the others, of which one may be left out; any three whole words; of small bags also one whole word with all first letters. Without ``loose`` no word is left out. A word ending in * is cut off."""
     full = [w for w in tokens if w not in LIGHT or len(w) == 1]
     if len(full) > KEY_WORDS:
@@ -146,7 +176,7 @@ def keys(tokens: list[str], version: str, loose: bool = True) -> list[int]:
     whole = [w for w in full if len(w) > 1 and w[-1] != "*"]
     if n <= 3:
         out.update(_hash("1", version, w, "".join(sorted(first))) for w in whole)
-    for pair in combinations(whole, 2):
+    for pair in combinations(whole, 2) if pairs else ():
         out.update(_hash("2", version, *pair, rest) for rest in others(pair))
     for three in combinations(whole, 3):
         out.add(_hash("3", version, *three))
@@ -194,6 +224,8 @@ def word_cost(x: str, y: str) -> float:
     if x in LIGHT and y in LIGHT and len(x) + len(y) < 7 and distance(x, y, 1) > 1:
         return CANNOT
     most = 1 if len(y) < 5 else 2 if len(y) < 10 else 3
+    if len(set(x) ^ set(y)) > 2 * most + 2 * ("ph" in x or "ph" in y):
+        return SHORTENED if len(x) >= 3 and y.startswith(x) and len(x) <= len(y) - 2 else CANNOT
     d = distance(x, y, most)
     if d > 1 and ("ph" in x) != ("ph" in y):
         d = min(d, 1 + distance(x.replace("ph", "f"), y.replace("ph", "f"), most))
