@@ -31,8 +31,8 @@ SHARD_ROWS = 4_096
 MOST_SHARDS = 1_024
 MOST_ROWS = 1 << 19
 LINKS = 20
-EF_BUILD = 32
-EF_SEARCH = 16
+EF_BUILD = 24
+EF_SEARCH = 12
 ENTRIES = 4
 #: A further shard is searched if its squared distance exceeds the nearest one's by no more than this.
 MARGIN = 0.08

@@ -16,7 +16,6 @@ document; texts of any length are read whole; an empty table gives no rows.
 from __future__ import annotations
 
 import re
-import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -46,33 +45,28 @@ _RULE = re.compile(r"^[\s|:+=\-_*~#.]+$")
 _COLUMNS = re.compile(r"\S(?:\s{2,}|\t)(?=\S)")
 _NUMBERED = re.compile(r"(?:^|[/|,;:])\s*\d{1,3}[.)]?\s+[^\W\d]")
 _END = tuple(".!?…:;,\"”»)。")
+_NO_LETTER = re.compile(r"[\W\d_]+")
+_NO_DIGIT = re.compile(r"\D+")
+_SYMBOLS = re.compile(r"[!-/:-@\[-`{-~](?<![.,'\"!?-])")
+_ODD = re.compile("[\x80-\x9f\ufffdÃÂÐÑ¤¦¨¬±\u0300-\u036f\u0483-\u0489\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff\ue000-\uf8ff\ufe20-\ufe2f]+")
 _CELLS = re.compile(r"[;,|]\S")
 
 
-def _broken(s: str) -> bool:
-    """More than a fifth of the marks, controls, private or mis-decoded characters, or symbols, that prose has few of."""
-    n = odd = symbols = 0
-    for c in s:
-        if c.isspace():
-            continue
-        n += 1
-        o = ord(c)
-        if o < 128:
-            if not c.isalnum() and c not in ".,'\"-!?":
-                symbols += 1
-        elif 0x80 <= o < 0xA0 or o == 0xFFFD or c in "ÃÂÐÑ¤¦¨¬±" or unicodedata.category(c) in ("Mn", "Co", "Cn", "Me"):
-            odd += 1
-    return n > 0 and (odd > 0.12 * n or symbols > 0.2 * n)
+def _broken(s: str, solid: int) -> bool:
+    """Many marks, controls, private or mis-decoded characters, or symbols, that prose has few of; ``solid`` is the number of characters but white space."""
+    if not s.isascii() and len(_ODD.sub("", s)) < len(s) - 0.12 * solid:
+        return True
+    return len(_SYMBOLS.findall(s)) > 0.2 * solid
 
 
-def _marked(s: str, words: int, common: int) -> bool:
+def _marked(s: str, words: int, common: int, solid: int) -> bool:
     """Whether a piece of a line bears the marks of markup, tables, lists or machine output."""
     t = s.strip()
     n = len(t)
     if _RULE.match(t):
         return True
-    tags = sum(len(m) for m in _TAG.findall(t))
-    if tags > 0.2 * n or _broken(t) or _LOG.search(t):
+    tags = sum(len(m) for m in _TAG.findall(t)) if "<" in t or "&" in t or "://" in t else 0
+    if tags > 0.2 * n or _broken(t, solid) or _LOG.search(t):
         return True
     share = common / words if words else 0.0
     if words == 0:
@@ -122,9 +116,9 @@ FIELDS = ("chars", "spaces", "letters", "digits", "symbols", "words", "word_lett
 
 def chunk_counts(before: str, body: str, after: str, at: int) -> list[int]:
     """Counts of one chunk in the order of FIELDS; ``at`` is its offset in the document."""
-    spaces = sum(map(str.isspace, body))
-    letters = sum(map(str.isalpha, body))
-    digits = sum(map(str.isnumeric, body))
+    spaces = len(body) - len("".join(body.split()))
+    letters = len(_NO_LETTER.sub("", body))
+    digits = len(_NO_DIGIT.sub("", body))
     marks = len(body) - spaces - letters - digits
     words = word_letters = common = 0
     whole = body + after
@@ -160,7 +154,7 @@ def chunk_counts(before: str, body: str, after: str, at: int) -> list[int]:
         while p < j:
             stop = min(j, p + PIECE - (at + p) % PIECE)
             piece = whole[p:stop]
-            size = len(piece) - sum(map(str.isspace, piece))
+            size = len("".join(piece.split()))
             if size:
                 found = WORD.findall(low, p, stop) if same else WORD.findall(piece.lower())
                 if stop < len(whole) and found and whole[stop - 1].isalpha() and whole[stop : stop + 1].isalpha():
@@ -173,7 +167,7 @@ def chunk_counts(before: str, body: str, after: str, at: int) -> list[int]:
                 word_letters += sum(map(len, found))
                 common += hits
                 judged += size
-                if _marked(piece, len(found), hits):
+                if _marked(piece, len(found), hits, size):
                     close()
                     junk += size
                 else:

@@ -37,7 +37,7 @@ _MARKS = re.compile("[\u0300-\u036f\u0483-\u0489\u0591-\u05bd\u064b-\u065f\u1ab0
 _WITHOUT = re.compile(r"\bw\s*/\s*o\b", re.I)
 _DOTTED_DJ = re.compile(r"\bd\s*\.\s*j\b\.?", re.I)
 #: A text without any of these has no note after its end.
-_HINT = re.compile(r"live|slowed|sped|nightc|karaoke|instrumental|acoustic|tutorial|hour|cover|remix|demo|8d|song|single|hq|hd|master|official|lyric|album|original|new|please|pls|♫|♪", re.I)
+_HINTS = ("live", "slowed", "sped", "nightc", "karaoke", "instrumental", "acoustic", "tutorial", "hour", "cover", "remix", "demo", "8d", "song", "single", "hq", "hd", "master", "official", "lyric", "album", "original", "new", "please", "pls", "♫", "♪")
 _JOINED = re.compile(r"\w-\w+-\w|[-_]\(|\(\w+-")
 _JOINT = re.compile(r"(?<=[\w)\]])[-_](?=[\w(\[])")
 _OPENING = re.compile(r"[(\[【{<]")
@@ -121,14 +121,15 @@ def parse(text: str | None) -> tuple[str, tuple[str, ...]]:
     if "f" in low and ("feat" in low or "ft" in low):
         s = _FEAT.sub(" ", s)
     s = s.rstrip(' "”»')
-    while _HINT.search(s) and (m := _TAIL.search(s)):
+    while any(h in low for h in _HINTS) and (m := _TAIL.search(s)):
         if m.start() == 0:
             break
         if m.group("other"):
             kind, detail = _note(m.group("other").strip(" -–—|"), None)
             marks.append(detail or fold(m.group("other")).strip())
         s = s[: m.start()].rstrip(' "”»')
-    m = _PART.search(s) if "p" in low or "P" in s else None
+        low = s.lower()
+    m = _PART.search(s) if "pt" in low or "par" in low or "prt" in low or "teil" in low else None
     if m and m.start() > 0:
         marks.append("part " + NUMBER.get(m.group(1).lower(), m.group(1)))
         s = s[: m.start()] + " " + s[m.end() :]
@@ -153,33 +154,50 @@ def _hash(*parts: str) -> int:
 KEY_WORDS = 9
 
 
-def lean_keys(tokens: list[str], version: str) -> list[int]:
-    """Fewer blocking keys: of bags of five words and more any three whole words only, of smaller ones also two with the first letters of the others."""
-    return keys(tokens, version, loose=False, pairs=len([w for w in tokens if w not in LIGHT or len(w) == 1]) < 5)
+def key_words(tokens: list[str], version: str, lean: bool = False) -> dict[int, tuple[str, ...]]:
+    """Blocking keys of a bag with the whole words that each holds.
 
-
-def keys(tokens: list[str], version: str, loose: bool = True, pairs: bool = True) -> list[int]:
-    """Blocking keys of a bag: any two whole words with the first letters of the others, of which one may be left out; any three whole words; of small bags also one whole word with all first letters. Without ``loose`` no word is left out. A word ending in * is cut off."""
+    Any two whole words with the first letters of the others, of which one may be left out; any three whole words; of small
+    bags also one whole word with all first letters. ``lean``: no letter is left out in bags of over three words, and bags of
+    five and more have the keys of three words only. A word ending in * is cut off and is no whole word.
+    """
     full = [w for w in tokens if w not in LIGHT or len(w) == 1]
     if len(full) > KEY_WORDS:
         full = sorted(sorted(full, key=_hash)[:KEY_WORDS])
-    out = set()
+    out: dict[int, tuple[str, ...]] = {}
     n = len(full)
     first = sorted(w[0] for w in full)
-
-    def others(used: tuple[str, ...]) -> set[str]:
-        left = list(first)
-        for w in used:
-            left.remove(w[0])
-        return {"".join(left), *("".join(left[:i] + left[i + 1 :]) for i in range(len(left)) if loose or n <= 3)}
-
     whole = [w for w in full if len(w) > 1 and w[-1] != "*"]
     if n <= 3:
-        out.update(_hash("1", version, w, "".join(sorted(first))) for w in whole)
-    for pair in combinations(whole, 2) if pairs else ():
-        out.update(_hash("2", version, *pair, rest) for rest in others(pair))
+        for w in whole:
+            out[_hash("1", version, w, "".join(first))] = (w,)
+    for pair in combinations(whole, 2) if n < 5 or not lean else ():
+        left = list(first)
+        for w in pair:
+            left.remove(w[0])
+        out[_hash("2", version, *pair, "".join(left))] = pair
+        if not lean or n <= 3:
+            for i in range(len(left)):
+                out[_hash("2", version, *pair, "".join(left[:i] + left[i + 1 :]))] = pair
     for three in combinations(whole, 3):
-        out.add(_hash("3", version, *three))
+        out[_hash("3", version, *three)] = three
+    return out
+
+
+def keys(tokens: list[str], version: str, lean: bool = False) -> list[int]:
+    return list(key_words(tokens, version, lean))
+
+
+def finer_keys(tokens: list[str], version: str, crowded: list[int], lean: bool = False) -> list[int]:
+    """Crowded keys with each one-letter deletion of each other word, so that bags with one typo in one of these still meet."""
+    held = key_words(tokens, version, lean)
+    out = set()
+    for k in crowded:
+        used = held.get(k, ())
+        for w in tokens:
+            if len(w) > 3 and w not in used and w not in LIGHT:
+                out.add(_hash(str(k), w))
+                out.update(_hash(str(k), w[:i] + w[i + 1 :]) for i in range(len(w)))
     return list(out)
 
 
@@ -224,6 +242,9 @@ def word_cost(x: str, y: str) -> float:
     if x in LIGHT and y in LIGHT and len(x) + len(y) < 7 and distance(x, y, 1) > 1:
         return CANNOT
     most = 1 if len(y) < 5 else 2 if len(y) < 10 else 3
+    far = len(y) - len(x) > most or (x[0] != y[0] and x[-1] != y[-1] and x[:2] != y[1::-1])
+    if far and "ph" not in x and "ph" not in y:  # both ends differ: no typo of so few letters is that unlucky
+        return SHORTENED if len(x) >= 3 and y.startswith(x) and len(x) <= len(y) - 2 else CANNOT
     if len(set(x) ^ set(y)) > 2 * most + 2 * ("ph" in x or "ph" in y):
         return SHORTENED if len(x) >= 3 and y.startswith(x) and len(x) <= len(y) - 2 else CANNOT
     d = distance(x, y, most)
@@ -237,12 +258,15 @@ def word_cost(x: str, y: str) -> float:
 
 
 @lru_cache(maxsize=1 << 14)
+def is_near_article(w: str) -> bool:
+    """An article, maybe with a typo."""
+    return len(w) <= 5 and any(len(a) > 1 and distance(w, a, 1) <= 1 for a in ARTICLES)
+
+
 def _lost_word(w: str) -> float:
     if w in LIGHT or len(w) == 1 or w[-1] == "*":
         return LOST_LIGHT
-    if len(w) <= 5 and any(len(a) > 1 and distance(w, a, 1) <= 1 for a in ARTICLES):
-        return TYPO  # an article with a typo
-    return LOST
+    return TYPO if is_near_article(w) else LOST
 
 
 def _lost(ws: list[str]) -> float:
@@ -272,7 +296,7 @@ def _run_together(ra: list[str], rb: list[str]) -> float:
     for p in permutations(long):
         t = "".join(p)
         for s in whole:
-            if abs(len(s) - len(t)) < 3:
+            if abs(len(s) - len(t)) < 3 and (s[0] == t[0] or s[-1] == t[-1]) and len(set(s) ^ set(t)) < 5:
                 d = distance(s, t, 2)
                 if d <= 2:
                     best = min(best, JOINED + TYPO * d)
@@ -287,8 +311,18 @@ def channel_cost(a: list[str], b: list[str]) -> tuple[float, list[tuple[str, str
         return 0.0, []
     if len(ra) > 5 or len(rb) > 5 or len(sa & sb) == 0:
         return CANNOT, []
-    cost, typos = _aligned(ra, rb)
     heavy_a, heavy_b = [w for w in ra if w not in LIGHT], [w for w in rb if w not in LIGHT]
+    if len(heavy_a) == len(heavy_b) > 1:
+        first = [w[0] for w in heavy_b]
+        odd = 0
+        for w in heavy_a:
+            if w[0] in first:
+                first.remove(w[0])
+            else:
+                odd += 1
+        if odd > 1:
+            return CANNOT, []
+    cost, typos = _aligned(ra, rb)
     if cost > JOINED and len(heavy_a) != len(heavy_b):
         other = _run_together(heavy_a, heavy_b) + _lost([w for w in ra if w in LIGHT]) + _lost([w for w in rb if w in LIGHT])
         if other < cost:
