@@ -124,7 +124,35 @@ totals AS (SELECT field_name, count(DISTINCT k) AS total FROM ok GROUP BY 1),
 counts AS (SELECT field_name, term, count(*) AS occurrences, count(DISTINCT k) AS records FROM ok GROUP BY 1, 2),
 marks AS (SELECT field_name, term, occurrences, records, CASE WHEN records < 5 THEN 'rare' WHEN records > total * 0.2 THEN 'common' END AS mark FROM counts JOIN totals USING (field_name))
 """
+
+
+def _seen_sql(x: str, composed: bool = True) -> str:
+    """SQL of what a reader sees; composing marks stands in for the collation."""
+    q = lambda t: "'" + t.replace("'", "''") + "'"
+    out = f"translate(regexp_replace({x}, '{visual.INVISIBLE}', '', 'g'), {q(visual._WIDE)}, {q(visual._USUAL)})"
+    for k, v in visual.LIGATURE.items():
+        out = f"replace({out}, {q(k)}, {q(v)})"
+    out = f"translate({out}, {q(''.join(visual.LOOKALIKE))}, {q(''.join(visual.LOOKALIKE.values()))})"
+    out = f"trim(regexp_replace({out}, '{visual.SPACES}', ' ', 'g'))"
+    return f"nfc_normalize({out})" if composed else out
+
+
+_P1_FOUND = f"""
+WITH c AS (SELECT row_ord, artist, title, {_seen_sql("artist")} AS a, {_seen_sql("title")} AS t FROM candidate), l AS (SELECT DISTINCT track_key, artist, title, {_seen_sql("artist")} AS a, {_seen_sql("title")} AS t FROM tracks)
+SELECT DISTINCT row_ord, track_key FROM c JOIN l USING (a, t) WHERE c.artist <> l.artist OR c.title <> l.title"""
+_P1_CANONICAL = f"""
+WITH c AS (SELECT row_ord, artist, title, {_seen_sql("artist")} AS a, {_seen_sql("title")} AS t, {_seen_sql("artist", False)} AS pa, {_seen_sql("title", False)} AS pt FROM candidate),
+f AS (SELECT artist, title, a, t, row_number() OVER (PARTITION BY a, t ORDER BY (artist <> pa)::INT + (title <> pt)::INT, length(artist) + length(title), artist, title) AS rn FROM (SELECT DISTINCT artist, title, a, t, pa, pt FROM c WHERE artist IS NOT NULL AND title IS NOT NULL))
+SELECT row_ord, f.artist AS canonical_artist, f.title AS canonical_title FROM c LEFT JOIN f ON f.rn = 1 AND f.a = c.a AND f.t = c.t"""
+_P3_FOUND = """
+WITH v AS (SELECT profile_id AS id, embedding::DOUBLE[64] AS e FROM taste_profile WHERE len(embedding) = 64 AND list_sum(list_transform(embedding, lambda x: abs(x))) > 0),
+p AS (SELECT x.id AS a, y.id AS b, array_cosine_similarity(x.e, y.e) AS s FROM v x JOIN v y ON x.id <> y.id),
+r AS (SELECT a, b, s, row_number() OVER (PARTITION BY a ORDER BY s DESC, b) AS place FROM p WHERE s > 0.9)
+SELECT l.a AS profile_id_a, l.b AS profile_id_b FROM r l JOIN r m ON l.a = m.b AND l.b = m.a WHERE l.a < l.b AND l.place <= 5 AND m.place <= 5 AND l.s >= 0.95"""
 ORACLE: dict[str, str] = {
+    "p1_found": _P1_FOUND,
+    "p1_canonical": _P1_CANONICAL,
+    "p3_found": _P3_FOUND,
     "p5_found": _P5 + "SELECT field_name, term, mark FROM marks WHERE mark IS NOT NULL",
     "p5_counts": _P5 + "SELECT field_name, term, occurrences, records, mark FROM marks",
 }

@@ -154,43 +154,73 @@ def _hash(*parts: str) -> int:
 KEY_WORDS = 9
 
 
-def key_words(tokens: list[str], version: str, lean: bool = False) -> dict[int, tuple[str, ...]]:
+@lru_cache(maxsize=1 << 14)
+def is_near_light(w: str) -> bool:
+    """An article or a light word, maybe with a typo."""
+    return len(w) > 1 and (w in LIGHT or is_near_article(w) or (len(w) <= 5 and any(len(a) > 1 and distance(w, a, 1) <= 1 for a in LIGHT)) or distance(w, "without", 1) <= 1)
+
+
+def _full(tokens: list[str]) -> list[str]:
+    full = [w for w in tokens if w not in LIGHT or len(w) == 1]
+    if len(full) > 3:
+        less = [w for w in full if not is_near_light(w)]
+        full = less if len(less) >= 3 else full
+    return full if len(full) <= KEY_WORDS else sorted(sorted(full, key=_hash)[:KEY_WORDS])
+
+
+def _initials(full: list[str], used: tuple[str, ...]) -> str:
+    left = sorted(w[0] for w in full)
+    for w in used:
+        left.remove(w[0])
+    return "".join(left)
+
+
+def _whole(full: list[str]) -> list[str]:
+    return [w for w in full if len(w) > 1 and w[-1] != "*"]
+
+
+def key_words(tokens: list[str], version: str) -> dict[int, tuple[str, ...]]:
     """Blocking keys of a bag with the whole words that each holds.
 
     Any two whole words with the first letters of the others, of which one may be left out; any three whole words; of small
-    bags also one whole word with all first letters. ``lean``: no letter is left out in bags of over three words, and bags of
-    five and more have the keys of three words only. A word ending in * is cut off and is no whole word.
+    bags also one whole word with all first letters. A word ending in * is cut off and is no whole word.
     """
-    full = [w for w in tokens if w not in LIGHT or len(w) == 1]
-    if len(full) > KEY_WORDS:
-        full = sorted(sorted(full, key=_hash)[:KEY_WORDS])
+    full = _full(tokens)
+    whole = _whole(full)
     out: dict[int, tuple[str, ...]] = {}
-    n = len(full)
-    first = sorted(w[0] for w in full)
-    whole = [w for w in full if len(w) > 1 and w[-1] != "*"]
-    if n <= 3:
+    if len(full) <= 3:
         for w in whole:
-            out[_hash("1", version, w, "".join(first))] = (w,)
-    for pair in combinations(whole, 2) if n < 5 or not lean else ():
-        left = list(first)
-        for w in pair:
-            left.remove(w[0])
-        out[_hash("2", version, *pair, "".join(left))] = pair
-        if not lean or n <= 3:
-            for i in range(len(left)):
-                out[_hash("2", version, *pair, "".join(left[:i] + left[i + 1 :]))] = pair
+            out[_hash("1", version, w, _initials(full, ()))] = (w,)
+    for pair in combinations(whole, 2):
+        left = _initials(full, pair)
+        out[_hash("2", version, *pair, left)] = pair
+        for i in range(len(left)):
+            out[_hash("2", version, *pair, left[:i] + left[i + 1 :])] = pair
     for three in combinations(whole, 3):
         out[_hash("3", version, *three)] = three
     return out
 
 
+def lean_key_words(tokens: list[str], version: str) -> dict[int, tuple[str, ...]]:
+    """Keys of a bag against clean ones: all words, all but one, and all but two with the first letters of these two."""
+    full = _full(tokens)
+    whole, n = _whole(full), len(full)
+    out: dict[int, tuple[str, ...]] = {}
+    for size in (n, n - 1):
+        for some in combinations(whole, size) if size > 1 else ():
+            out[_hash("w", version, *some)] = some
+    for some in combinations(whole, n - 2) if n > 2 else ():
+        out[_hash("i", version, *some, _initials(full, some))] = some
+    return out
+
+
 def keys(tokens: list[str], version: str, lean: bool = False) -> list[int]:
-    return list(key_words(tokens, version, lean))
+    return list((lean_key_words if lean else key_words)(tokens, version))
 
 
 def finer_keys(tokens: list[str], version: str, crowded: list[int], lean: bool = False) -> list[int]:
     """Crowded keys with each one-letter deletion of each other word, so that bags with one typo in one of these still meet."""
-    held = key_words(tokens, version, lean)
+    held = (lean_key_words if lean else key_words)(tokens, version)
     out = set()
     for k in crowded:
         used = held.get(k, ())

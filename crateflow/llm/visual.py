@@ -8,7 +8,7 @@ gets one deterministic member as its canonical form, which is joined back to all
 
 Defined cases: a null stays null and is in no class; an empty or blank text maps to the empty string;
 repeated rows get the same canonical form; ties for the canonical form go to the text that equals its own
-mapped form, then to the smallest in byte order; texts of any length are mapped whole; an empty table gives
+mapped form, then to the one of fewest characters (composed marks), then to the smallest in byte order; texts of any length are mapped whole; an empty table gives
 an empty result; other columns of the inputs are never read.
 """
 
@@ -66,7 +66,7 @@ def visible(c: Column) -> Column:
 
 
 _CLASSES = """
-SELECT seen_a, seen_t, min(struct(off, a, t)) AS best
+SELECT seen_a, seen_t, min(struct(off, length(a) + length(t) AS letters, a, t)) AS best
 FROM (SELECT seen_a COLLATE UNICODE AS seen_a, seen_t COLLATE UNICODE AS seen_t, off, a, t FROM {members})
 GROUP BY seen_a, seen_t
 """
