@@ -19,11 +19,14 @@ def nearest(df: DataFrame, key: str, field: str, seed, k: int, restrict: DataFra
 
     ``overfetch``: take 4k + 1 first and restrict then, so fewer than k may come out.
     """
-    q = F.broadcast(df.where(F.col(key) == seed).select(F.col(field).alias("_q")).limit(1))
+    held = df.where(F.col(key) == seed).select(field).limit(1).collect()
+    if not held or held[0][0] is None:
+        return df.select(key, F.lit(0.0).alias("similarity")).limit(0)
+    q = F.array(*[F.lit(float(x)) for x in held[0][0]])
     rows = df.where(F.col(key) != seed)
     if restrict is not None and not overfetch:
         rows = rows.join(restrict.select(key), key, "left_semi")
-    rows = rows.join(q).select(key, dot(field, "_q").alias("similarity"))
+    rows = rows.where(F.col(field).isNotNull()).select(key, dot(F.col(field), q).alias("similarity"))
     top = rows.orderBy(F.desc("similarity"), key).limit(4 * k if overfetch else k)
     if restrict is not None and overfetch:
         top = top.join(restrict.select(key), key, "left_semi").orderBy(F.desc("similarity"), key).limit(k)
@@ -56,9 +59,9 @@ def best_mean(queries: DataFrame, reference: DataFrame, key: str, field: str, k:
     The reference is cut into blocks that each query batch meets once; each block yields k values a query, which are
     merged by a second small aggregation. k is clamped to the size of the reference.
     """
-    blocks = max(1, -(-reference.count() // BLOCK))
-    ref = reference.select(F.col(field).alias("x"), F.pmod(F.xxhash64(field), F.lit(blocks)).cast("int").alias("block"), F.lit(None).cast("long").alias("k"), F.explode(F.sequence(F.lit(0), F.lit(15))).alias("share"))
-    q = queries.select(F.col(field).alias("x"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.col(key).cast("long").alias("k"), F.pmod(F.xxhash64(key), F.lit(16)).cast("int").alias("share"))
+    blocks, shares = max(1, -(-reference.count() // BLOCK)), max(16, -(-queries.count() // (8 * BLOCK)))
+    ref = reference.select(F.col(field).alias("x"), F.pmod(F.xxhash64(field), F.lit(blocks)).cast("int").alias("block"), F.lit(None).cast("long").alias("k"), F.explode(F.sequence(F.lit(0), F.lit(shares - 1))).alias("share"))
+    q = queries.select(F.col(field).alias("x"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.col(key).cast("long").alias("k"), F.pmod(F.xxhash64(key), F.lit(shares)).cast("int").alias("share"))
 
     def top(t: pa.Table) -> pa.Table:
         x = np.array(t.column("x").to_pylist(), dtype=np.float64)
