@@ -604,3 +604,101 @@ def s_play_counts(spark, sf_dir):
 @query("SELECT user_id, count(*) FILTER (event_type = 'click') AS clicks, count(*) AS n, arg_max(event_type, (ts, event_id)) AS last_type FROM events GROUP BY 1")
 def s_lifecycle(spark, sf_dir):
     return streams.lifecycle(spark, sf_dir)
+
+
+# dimensions, status rules, quotas and membership changes
+
+_PARTS_OF_MOOD = (("Calm", ("Dawn", "Night")), ("Relaxed", ("Dawn", "Day", "Dusk")), ("Energetic", ("Day",)), ("Excited", ("Day",)), ("Melancholic", ("Day", "Dusk", "Night")), ("Sad", ("Dusk", "Night")), ("Angry", ("Dusk", "Night")), ("Intense", ("Night",)))
+
+
+@query("WITH p(name, a, b) AS (VALUES ('Dawn', 5, 9), ('Day', 9, 17), ('Dusk', 17, 22), ('Night', 22, 5)) SELECT name, count(*) AS n, count(DISTINCT user_id) AS users FROM events JOIN p ON (a < b AND hour(ts) >= a AND hour(ts) < b) OR (a > b AND (hour(ts) >= a OR hour(ts) < b)) GROUP BY name")
+def q_hour_join(spark, sf_dir):
+    """Range join with wrap-around as an equi-join on a dimension of 24 hours, so nothing is compared row by row."""
+    p = spark.createDataFrame(numbers.DAYPARTS, "name string, a int, b int")
+    hours = p.select("name", F.explode(F.when(F.col("a") < F.col("b"), F.sequence("a", F.col("b") - 1)).otherwise(F.concat(F.sequence("a", F.lit(23)), F.sequence(F.lit(0), F.col("b") - 1)))).alias("h"))
+    e = table(spark, sf_dir, "events").select("user_id", F.hour("ts").alias("h"))
+    return e.join(F.broadcast(hours), "h").groupBy("name").agg(F.count("*").alias("n"), F.countDistinct("user_id").alias("users"))
+
+
+@query("WITH d(mood, part, place) AS (VALUES " + ", ".join(f"('{m}', '{p}', {i})" for m, ps in _PARTS_OF_MOOD for i, p in enumerate(ps, 1)) + ") SELECT part, place, count(*) AS n FROM (SELECT DISTINCT feature_id, mood FROM track_features) JOIN d USING (mood) GROUP BY 1, 2")
+def q_mood_daypart(spark, sf_dir):
+    """Many-to-many dimension join that keeps the order of each list."""
+    d = spark.createDataFrame(_PARTS_OF_MOOD, "mood string, parts array<string>").select("mood", F.posexplode("parts").alias("pos", "part"))
+    t = table(spark, sf_dir, "track_features").select("feature_id", "mood").distinct()
+    return t.join(F.broadcast(d), "mood").groupBy("part", (F.col("pos") + 1).alias("place")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT status, count(*) AS n, round(avg(duration), 3) AS mean FROM (SELECT duration, CASE WHEN duration IS NULL THEN 'unknown' WHEN duration <= 0 THEN 'invalid' WHEN duration < 60 THEN 'truncated' WHEN duration > 600 THEN 'oversized' ELSE 'ok' END AS status FROM search_result) GROUP BY status")
+def q_probe_status(spark, sf_dir):
+    d = F.col("duration")
+    status = F.coalesce(rel.first_reason((d.isNull(), "unknown"), (d <= 0, "invalid"), (d < 60, "truncated"), (d > 600, "oversized")), F.lit("ok"))
+    return table(spark, sf_dir, "search_result").groupBy(status.alias("status")).agg(F.count("*").alias("n"), F.round(F.avg("duration"), 3).alias("mean"))
+
+
+@query("SELECT source, result_id, CASE WHEN rn <= 6 THEN 'kept' ELSE 'carried' END AS state FROM (SELECT source, result_id, row_number() OVER (PARTITION BY source ORDER BY coalesce(score, -1) DESC, result_id) AS rn FROM search_result) WHERE rn <= 30")
+def q_ranked_quota(spark, sf_dir):
+    """The best six of each source are kept, the next 24 carried over; missing scores rank last."""
+    top = rel.head_of_groups(table(spark, sf_dir, "search_result").withColumn("s", F.coalesce("score", F.lit(-1.0))), ["source"], [F.desc("s"), "result_id"], 30)
+    rn = F.row_number().over(Window.partitionBy("source").orderBy(F.desc("s"), "result_id"))
+    return top.select("source", "result_id", F.when(rn <= 6, "kept").otherwise("carried").alias("state"))
+
+
+@query(f"WITH s AS ({_TASTE}), l AS (SELECT label, score FROM s JOIN embeddings USING (vec_id)) SELECT round(quantile_cont(score, 0.05) FILTER (label = 1) - max(score) FILTER (label = 2), 5) AS margin FROM l")
+def q_margin(spark, sf_dir):
+    """Distance of the low end of one class from the high end of another."""
+    s = vectors.best_mean(table(spark, sf_dir, "embeddings").where("label <> 0"), table(spark, sf_dir, "embeddings").where("label = 0"), "vec_id", "embedding", 5)
+    s = s.join(table(spark, sf_dir, "embeddings").select("vec_id", "label"), "vec_id").select("label", F.round("score", 6).alias("score"))
+    return s.agg(F.round(F.percentile(F.when(F.col("label") == 1, F.col("score")), 0.05) - F.max(F.when(F.col("label") == 2, F.col("score"))), 5).alias("margin"))
+
+
+@query("""
+WITH a AS (SELECT track_key, min(mood) AS mood, min(bpm) AS bpm FROM track_features WHERE origin = 'analysis' GROUP BY 1), i AS (SELECT track_key, min(mood) AS mood, min(bpm) AS bpm FROM track_features WHERE origin = 'id3' GROUP BY 1)
+SELECT track_key, coalesce(i.mood, a.mood) AS mood, coalesce(i.bpm, a.bpm) AS bpm, i.track_key IS NULL AS computed FROM a LEFT JOIN i USING (track_key)""")
+def q_reuse_or_compute(spark, sf_dir):
+    """Values read back from a file where there are any, else those computed."""
+    t = table(spark, sf_dir, "track_features")
+    one = lambda o: t.where(F.col("origin") == o).groupBy("track_key").agg(F.min("mood").alias("mood"), F.min("bpm").alias("bpm"))
+    back = one("id3").select("track_key", F.col("mood").alias("m"), F.col("bpm").alias("b"), F.lit(True).alias("had"))
+    j = one("analysis").join(back, "track_key", "left")
+    return j.select("track_key", F.coalesce("m", "mood").alias("mood"), F.coalesce("b", "bpm").alias("bpm"), F.col("had").isNull().alias("computed"))
+
+
+@query(f"""
+WITH g AS (SELECT lookup_id, artist, list_sort(list_distinct({_TAGS})) AS l FROM (SELECT DISTINCT lookup_id, artist, tags FROM genre_result WHERE tags IS NOT NULL AND artist IS NOT NULL)),
+w AS (SELECT lookup_id, l, coalesce(lag(l) OVER (PARTITION BY artist ORDER BY lookup_id), []::VARCHAR[]) AS p FROM g)
+SELECT lookup_id, len(list_filter(l, lambda x: NOT list_contains(p, x))) AS added, len(list_filter(p, lambda x: NOT list_contains(l, x))) AS removed, l = p AS same FROM w""")
+def q_membership_change(spark, sf_dir):
+    """Tags added and removed since the artist's previous look-up; equal sets need no write."""
+    g = table(spark, sf_dir, "genre_result").where("tags IS NOT NULL AND artist IS NOT NULL").select("lookup_id", "artist", "tags").distinct()
+    g = g.select("lookup_id", "artist", F.array_sort(rel.ordered_distinct(F.col("tags"))).alias("l"))
+    p = F.coalesce(F.lag("l").over(Window.partitionBy("artist").orderBy("lookup_id")), F.array().cast("array<string>"))
+    return g.withColumn("p", p).select("lookup_id", F.size(F.array_except("l", "p")).cast("long").alias("added"), F.size(F.array_except("p", "l")).cast("long").alias("removed"), (F.col("l") == F.col("p")).alias("same"))
+
+
+@query(r"SELECT host, count(*) AS n, count(*) FILTER (safe) AS allowed FROM (SELECT split_part(split_part(u, '://', 2), '/', 1) AS host, starts_with(u, 'https://') OR regexp_matches(u, '^http://(localhost|127\.0\.0\.1)(:[0-9]+)?/') AS safe FROM (SELECT CASE WHEN result_id % 3 = 0 THEN replace(url, 'https://', 'http://') ELSE url END AS u FROM search_result WHERE url IS NOT NULL)) GROUP BY host")
+def q_url_policy(spark, sf_dir):
+    """Encrypted links, or plain ones to this machine only."""
+    s = table(spark, sf_dir, "search_result").where("url IS NOT NULL").select(F.when(F.col("result_id") % 3 == 0, F.replace("url", F.lit("https://"), F.lit("http://"))).otherwise(F.col("url")).alias("u"))
+    safe = F.col("u").startswith("https://") | F.col("u").rlike(r"^http://(localhost|127\.0\.0\.1)(:[0-9]+)?/")
+    return s.groupBy(F.parse_url("u", F.lit("HOST")).alias("host")).agg(F.count("*").alias("n"), F.count_if(safe).alias("allowed"))
+
+
+@query("SELECT coalesce(origin, 'all') AS origin, coalesce(mood, 'all') AS mood, count(*) AS n FROM (SELECT coalesce(origin, 'none') AS origin, coalesce(mood, 'none') AS mood FROM track_features) GROUP BY CUBE (origin, mood)")
+def q_cube(spark, sf_dir):
+    t = table(spark, sf_dir, "track_features").select(F.coalesce("origin", F.lit("none")).alias("origin"), F.coalesce("mood", F.lit("none")).alias("mood"))
+    return t.cube("origin", "mood").agg(F.count("*").alias("n")).select(F.coalesce("origin", F.lit("all")).alias("origin"), F.coalesce("mood", F.lit("all")).alias("mood"), "n")
+
+
+@query("SELECT k, count(*) AS n FROM (SELECT lower(trim(search)) AS k FROM redownload r WHERE search IS NOT NULL AND NOT EXISTS (SELECT 1 FROM candidate c WHERE lower(trim(c.search)) = lower(trim(r.search)))) GROUP BY k")
+def q_queue_append(spark, sf_dir):
+    """Requests whose search text isn't queued yet."""
+    k = F.lower(F.trim("search")).alias("k")
+    new = rel.not_in(table(spark, sf_dir, "redownload").where("search IS NOT NULL").select(k), table(spark, sf_dir, "candidate").where("search IS NOT NULL").select(k), "k")
+    return new.groupBy("k").agg(F.count("*").alias("n"))
+
+
+@query("SELECT o_custkey AS customer, count(*) AS orders, sum(n)::BIGINT AS lines, round(sum(o_totalprice), 2) AS total FROM orders JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey GROUP BY 1")
+def q_library_lines(spark, sf_dir):
+    """Lines are counted before the join, so only one row an order is shuffled."""
+    lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("n"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice").join(lines, "o_orderkey").groupBy(F.col("o_custkey").alias("customer")).agg(F.count("*").alias("orders"), F.sum("n").alias("lines"), F.round(F.sum("o_totalprice"), 2).alias("total"))
