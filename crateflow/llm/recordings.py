@@ -204,13 +204,22 @@ def key_words(tokens: list[str], version: str) -> dict[int, tuple[str, ...]]:
 def lean_key_words(tokens: list[str], version: str) -> dict[int, tuple[str, ...]]:
     """Keys of a bag against clean ones: all words, all but one, and all but two with the first letters of these two."""
     full = _full(tokens)
-    whole, n = _whole(full), len(full)
+    n, sep = len(full), "\x1f"
+    cut = [i for i, w in enumerate(full) if len(w) == 1 or w[-1] == "*"]
     out: dict[int, tuple[str, ...]] = {}
-    for size in (n, n - 1):
-        for some in combinations(whole, size) if size > 1 else ():
-            out[_hash("w", version, *some)] = some
-    for some in combinations(whole, n - 2) if n > 2 else ():
-        out[_hash("i", version, *some, _initials(full, some))] = some
+
+    def add(kind: str, left: tuple[int, ...], letters: str) -> None:
+        if all(i in left for i in cut):
+            used = tuple(w for i, w in enumerate(full) if i not in left)
+            out[xxhash.xxh64_intdigest(f"{kind}{sep}{version}{sep}{sep.join(used)}{sep}{letters}") - (1 << 63)] = used
+
+    if n > 1:
+        add("w", (), "")
+    for i in range(n) if n > 2 else ():
+        add("w", (i,), "")
+        for j in range(i):
+            x, y = full[j][0], full[i][0]
+            add("i", (j, i), x + y if x <= y else y + x)
     return out
 
 
