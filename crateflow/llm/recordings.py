@@ -70,8 +70,13 @@ def _words(s: str) -> tuple[str, ...]:
 
 def words(s: str, nicknames: dict[str, str] | None = None) -> list[str]:
     """Folded words; camel-cased joins are split, elided articles dropped, nicknames and usual short forms written out."""
-    nick = nicknames or {}
-    return [nick.get(w) or SHORT.get(w) or w for w in _words(s)]
+    full = nicknames or SHORT
+    return [full.get(w, w) for w in _words(s)]
+
+
+def full_forms(pairs) -> dict[str, str]:
+    """Usual short forms and nicknames with their full forms; ``pairs`` are rows of (short form, full form)."""
+    return SHORT | {a.casefold(): b.casefold() for a, b in pairs if a and b}
 
 
 def _note(text: str, number: str | None) -> tuple[str, str]:
@@ -223,8 +228,27 @@ def lean_key_words(tokens: list[str], version: str) -> dict[int, tuple[str, ...]
     return out
 
 
+def lean_keys(tokens: list[str], version: str) -> list[int]:
+    """The keys of ``lean_key_words`` alone."""
+    full = _full(tokens)
+    n, sep, digest = len(full), "\x1f", xxhash.xxh64_intdigest
+    if any(len(w) == 1 or w[-1] == "*" for w in full):
+        return list(lean_key_words(tokens, version))
+    w, i = f"w{sep}{version}{sep}", f"i{sep}{version}{sep}"
+    texts = [f"{w}{sep.join(full)}{sep}"] if n > 1 else []
+    if n > 2:
+        for a in range(n):
+            x = full[a][0]
+            rest = full[:a] + full[a + 1 :]
+            texts.append(f"{w}{sep.join(rest)}{sep}")
+            for b in range(a):
+                y = full[b][0]
+                texts.append(f"{i}{sep.join(rest[:b] + rest[b + 1 :])}{sep}{x + y if x <= y else y + x}")
+    return [digest(t) - (1 << 63) for t in dict.fromkeys(texts)]
+
+
 def keys(tokens: list[str], version: str, lean: bool = False) -> list[int]:
-    return list((lean_key_words if lean else key_words)(tokens, version))
+    return lean_keys(tokens, version) if lean else list(key_words(tokens, version))
 
 
 def finer_keys(tokens: list[str], version: str, crowded: list[int], lean: bool = False) -> list[int]:
