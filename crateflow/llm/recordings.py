@@ -206,49 +206,46 @@ def key_words(tokens: list[str], version: str) -> dict[int, tuple[str, ...]]:
     return out
 
 
-def lean_key_words(tokens: list[str], version: str) -> dict[int, tuple[str, ...]]:
-    """Keys of a bag against clean ones: all words, all but one, and all but two with the first letters of these two."""
+_MASK, _HALF = (1 << 64) - 1, 1 << 63
+
+
+@lru_cache(maxsize=1 << 16)
+def _mark(kind: str, text: str) -> int:
+    return xxhash.xxh64_intdigest(f"{kind}\x1f{text}")
+
+
+def lean_key_words(tokens: list[str], version: str, words_too: bool = True) -> dict[int, tuple[str, ...]]:
+    """Keys of a bag against clean ones: all words, all but one, and all but two with the first letters of these two.
+
+    A key is the sum of its words' hashes, so leaving a word out is a subtraction. A cut-off word is never held whole.
+    """
     full = _full(tokens)
-    n, sep = len(full), "\x1f"
-    cut = [i for i, w in enumerate(full) if len(w) == 1 or w[-1] == "*"]
+    n = len(full)
+    h = [_mark("word", w) for w in full]
+    cut = sum(1 for w in full if len(w) == 1 or w[-1] == "*")
+    ok = [not (len(w) == 1 or w[-1] == "*") for w in full] if cut else None
+    total = sum(h) + _mark("version", version)
+    letters = [_mark("letter", w[0]) for w in full]
     out: dict[int, tuple[str, ...]] = {}
 
-    def add(kind: str, left: tuple[int, ...], letters: str) -> None:
-        if all(i in left for i in cut):
-            used = tuple(w for i, w in enumerate(full) if i not in left)
-            out[xxhash.xxh64_intdigest(f"{kind}{sep}{version}{sep}{sep.join(used)}{sep}{letters}") - (1 << 63)] = used
+    def used(left: tuple[int, ...]) -> tuple[str, ...]:
+        return tuple(w for i, w in enumerate(full) if i not in left) if words_too else ()
 
-    if n > 1:
-        add("w", (), "")
-    for i in range(n) if n > 2 else ():
-        add("w", (i,), "")
+    if n > 1 and not cut:
+        out[(total & _MASK) - _HALF] = used(())
+    for i in range(n) if n > 2 and cut < 3 else ():
+        one = total - h[i]
+        if not cut or (cut == 1 and not ok[i]):
+            out[(one & _MASK) - _HALF] = used((i,))
+        one += letters[i] + 1
         for j in range(i):
-            x, y = full[j][0], full[i][0]
-            add("i", (j, i), x + y if x <= y else y + x)
+            if not cut or cut == (not ok[i]) + (not ok[j]):
+                out[((one - h[j] + letters[j]) & _MASK) - _HALF] = used((i, j))
     return out
 
 
-def lean_keys(tokens: list[str], version: str) -> list[int]:
-    """The keys of ``lean_key_words`` alone."""
-    full = _full(tokens)
-    n, sep, digest = len(full), "\x1f", xxhash.xxh64_intdigest
-    if any(len(w) == 1 or w[-1] == "*" for w in full):
-        return list(lean_key_words(tokens, version))
-    w, i = f"w{sep}{version}{sep}", f"i{sep}{version}{sep}"
-    texts = [f"{w}{sep.join(full)}{sep}"] if n > 1 else []
-    if n > 2:
-        for a in range(n):
-            x = full[a][0]
-            rest = full[:a] + full[a + 1 :]
-            texts.append(f"{w}{sep.join(rest)}{sep}")
-            for b in range(a):
-                y = full[b][0]
-                texts.append(f"{i}{sep.join(rest[:b] + rest[b + 1 :])}{sep}{x + y if x <= y else y + x}")
-    return [digest(t) - (1 << 63) for t in dict.fromkeys(texts)]
-
-
 def keys(tokens: list[str], version: str, lean: bool = False) -> list[int]:
-    return lean_keys(tokens, version) if lean else list(key_words(tokens, version))
+    return list(lean_key_words(tokens, version, False) if lean else key_words(tokens, version))
 
 
 def finer_keys(tokens: list[str], version: str, crowded: list[int], lean: bool = False) -> list[int]:
