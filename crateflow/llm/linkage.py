@@ -109,7 +109,7 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for r in batches:
         out_f, out_k = [], []
         for f, form, version in zip(r.column(0).to_pylist(), r.column(1).to_pylist(), r.column(2).to_pylist(), strict=True):
-            ks = keys(form.split(" "), version, lean=True)
+            ks = keys(form.split(" "), version)
             out_f += [f] * len(ks)
             out_k += ks
         yield pa.RecordBatch.from_arrays([pa.array(out_f, pa.int64()), pa.array(out_k, pa.int64())], ["f", "key"])
@@ -162,7 +162,7 @@ def _near_forms(mine: DataFrame, theirs: DataFrame, block: int = BLOCK) -> DataF
     pairs = met.where("key IS NULL").select("f", "g")
     crowded = met.where("key IS NOT NULL")
     if crowded.limit(1).count():
-        fine = refined(crowded.where("f IS NOT NULL").select("f", "key"), mine, lean=True).join(refined(crowded.where("g IS NOT NULL").select(F.col("g").alias("f"), "key"), theirs, lean=True).select("key", F.col("f").alias("g")), "key").select("f", "g")
+        fine = refined(crowded.where("f IS NOT NULL").select("f", "key"), mine).join(refined(crowded.where("g IS NOT NULL").select(F.col("g").alias("f"), "key"), theirs).select("key", F.col("f").alias("g")), "key").select("f", "g")
         pairs = pairs.unionByName(fine)
     text = pairs.distinct().join(mine.select("f", "form"), "f").join(theirs.select(F.col("f").alias("g"), F.col("form").alias("lib_form")), "g").select("f", "g", "form", "lib_form")
     return text.mapInArrow(_weighed, "f bigint, g bigint, cost double")

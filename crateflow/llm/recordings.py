@@ -173,39 +173,10 @@ def _full(tokens: list[str]) -> list[str]:
     return full if len(full) <= KEY_WORDS else sorted(sorted(full, key=_hash)[:KEY_WORDS])
 
 
-def _initials(full: list[str], used: tuple[str, ...]) -> str:
-    left = sorted(w[0] for w in full)
-    for w in used:
-        left.remove(w[0])
-    return "".join(left)
-
-
 def _whole(full: list[str]) -> list[str]:
     return [w for w in full if len(w) > 1 and w[-1] != "*"]
 
 
-def key_words(tokens: list[str], version: str) -> dict[int, tuple[str, ...]]:
-    """Blocking keys of a bag with the whole words that each holds.
-
-    Any two whole words with the first letters of the others, of which one may be left out; any three whole words; of small
-    bags also one whole word with all first letters. A word ending in * is cut off and is no whole word.
-    """
-    full = _full(tokens)
-    whole = _whole(full)
-    out: dict[int, tuple[str, ...]] = {}
-    if len(full) <= 3:
-        for w in whole:
-            out[_hash("1", version, w, _initials(full, ()))] = (w,)
-    for pair in combinations(whole, 2):
-        left = _initials(full, pair)
-        out[_hash("2", version, *pair, left)] = pair
-        for i in range(len(left)):
-            out[_hash("2", version, *pair, left[:i] + left[i + 1 :])] = pair
-    for three in combinations(whole, 3):
-        out[_hash("3", version, *three)] = three
-    return out
-
-
 _MASK, _HALF = (1 << 64) - 1, 1 << 63
 
 
@@ -214,43 +185,46 @@ def _mark(kind: str, text: str) -> int:
     return xxhash.xxh64_intdigest(f"{kind}\x1f{text}")
 
 
-def lean_key_words(tokens: list[str], version: str, words_too: bool = True) -> dict[int, tuple[str, ...]]:
-    """Keys of a bag against clean ones: all words, all but one, and all but two with the first letters of these two.
+def key_words(tokens: list[str], version: str) -> dict[int, tuple[str, ...]]:
+    """Blocking keys of a bag with the whole words that each holds.
 
-    A key is the sum of its words' hashes, so leaving a word out is a subtraction. A cut-off word is never held whole.
+    Any two whole words with the first letters of the others, of which one may be left out; any three whole words; of small
+    bags also one whole word with all first letters; all letters, which stay the same if words are run together. A word
+    ending in * is cut off and is no whole word. A key is the sum of the hashes of what it holds, so leaving something out
+    is a subtraction.
     """
     full = _full(tokens)
-    n = len(full)
-    h = [_mark("word", w) for w in full]
-    cut = sum(1 for w in full if len(w) == 1 or w[-1] == "*")
-    ok = [not (len(w) == 1 or w[-1] == "*") for w in full] if cut else None
-    total = sum(h) + _mark("version", version)
-    letters = [_mark("letter", w[0]) for w in full]
+    whole = _whole(full)
+    base = _mark("version", version)
+    first = {w: _mark("letter", w[0]) for w in full}
+    net = {w: _mark("word", w) - first[w] for w in whole}
+    total = base + sum(first.values())
     out: dict[int, tuple[str, ...]] = {}
-
-    def used(left: tuple[int, ...]) -> tuple[str, ...]:
-        return tuple(w for i, w in enumerate(full) if i not in left) if words_too else ()
-
-    if n > 1 and not cut:
-        out[(total & _MASK) - _HALF] = used(())
-    for i in range(n) if n > 2 and cut < 3 else ():
-        one = total - h[i]
-        if not cut or (cut == 1 and not ok[i]):
-            out[(one & _MASK) - _HALF] = used((i,))
-        one += letters[i] + 1
-        for j in range(i):
-            if not cut or cut == (not ok[i]) + (not ok[j]):
-                out[((one - h[j] + letters[j]) & _MASK) - _HALF] = used((i, j))
+    if len(whole) == len(full) > 1:
+        out[((base + _mark("letters", "".join(sorted("".join(full))))) & _MASK) - _HALF] = ()
+    if len(full) <= 3:
+        for w in whole:
+            out[((total + net[w]) & _MASK) - _HALF] = (w,)
+    for pair in combinations(whole, 2):
+        x, y = pair
+        key = total + net[x] + net[y]
+        out[(key & _MASK) - _HALF] = pair
+        for w in full:
+            if w != x and w != y:
+                out[((key - first[w]) & _MASK) - _HALF] = pair
+    h = [(w, _mark("word", w)) for w in whole]
+    for (x, i), (y, j), (z, k) in combinations(h, 3):
+        out[((base + i + j + k) & _MASK) - _HALF] = (x, y, z)
     return out
 
 
-def keys(tokens: list[str], version: str, lean: bool = False) -> list[int]:
-    return list(lean_key_words(tokens, version, False) if lean else key_words(tokens, version))
+def keys(tokens: list[str], version: str) -> list[int]:
+    return list(key_words(tokens, version))
 
 
-def finer_keys(tokens: list[str], version: str, crowded: list[int], lean: bool = False) -> list[int]:
+def finer_keys(tokens: list[str], version: str, crowded: list[int]) -> list[int]:
     """Crowded keys with each one-letter deletion of each other word, so that bags with one typo in one of these still meet."""
-    held = (lean_key_words if lean else key_words)(tokens, version)
+    held = key_words(tokens, version)
     out = set()
     for k in crowded:
         used = held.get(k, ())

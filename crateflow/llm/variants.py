@@ -85,14 +85,14 @@ def block_keys(forms: DataFrame) -> DataFrame:
     return forms.select("f", "form", "version").mapInArrow(emit, "f bigint, key bigint")
 
 
-def refined(crowded: DataFrame, forms: DataFrame, lean: bool = False) -> DataFrame:
+def refined(crowded: DataFrame, forms: DataFrame) -> DataFrame:
     """(f, key): finer keys in the place of the crowded (f, key); ``forms`` has f, form and version."""
 
     def finer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r in batches:
             out_f, out_k = [], []
             for f, ks, form, version in zip(*(r.column(i).to_pylist() for i in range(4)), strict=True):
-                got = finer_keys(form.split(" "), version, ks, lean)
+                got = finer_keys(form.split(" "), version, ks)
                 out_f += [f] * len(got)
                 out_k += got
             yield pa.RecordBatch.from_arrays([pa.array(out_f, pa.int64()), pa.array(out_k, pa.int64())], ["f", "key"])
