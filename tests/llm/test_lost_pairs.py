@@ -1,7 +1,13 @@
 """Pairs that the channel model accepts have to become candidates."""
 
+import random
+
+import pyarrow as pa
+
+from crateflow.llm.intake import REACH, RecordingIndex, _near_artists, letters
 from crateflow.llm.linkage import _near_forms
 from crateflow.llm.recordings import LIMIT, channel_cost
+from crateflow.session import scratch_path
 from tests.llm.test_blocking import frame
 
 
@@ -19,3 +25,28 @@ def test_words_run_together_or_changed_meet_their_track(spark):
     mine, theirs = frame(spark, [a for a, _ in pairs]), frame(spark, [b for _, b in pairs])
     name = {r.f: r.form for r in mine.union(theirs).collect()}
     assert set(pairs) <= {(name[r.f], name[r.g]) for r in _near_forms(mine, theirs).collect()}
+
+
+def _directory(names, asked):
+    vec = [letters(n.split()).tobytes() for n in names]
+    rows = [(i, v, q) for q in (False, True) for i, v in enumerate(vec) if not q or i in asked]
+    return pa.table({"cell": pa.array([r[0] for r in rows], pa.int64()), "avec": pa.array([r[1] for r in rows], pa.binary()), "asked": pa.array([r[2] for r in rows])})
+
+
+def test_near_artists_do_not_depend_on_the_number_of_artists():
+    # 6,000 artists of one letter total, which fill several chunks, and one whose total is 3 larger
+    rnd = random.Random(1)
+    many = ["".join(rnd.choices("bcdfghjklmnp", k=12)) + " foxes" for _ in range(6000)]
+    names = ["corpolken wolves of", "corpolken wolves ofrst", *many]
+    for keep in (2, len(names)):
+        got = _near_artists(_directory(names[:keep], range(keep)))
+        assert (0, 1) in set(zip(got["artist"].to_pylist(), got["cell"].to_pylist()))
+
+
+def test_a_batch_probes_title_sums_within_reach(spark, monkeypatch):
+    seen = []
+    homes = RecordingIndex._homes
+    monkeypatch.setattr(RecordingIndex, "_homes", staticmethod(lambda df, reach: seen.append(reach) or homes(df, reach)))
+    index = RecordingIndex(spark, scratch_path(spark, "sums"))
+    index.add(spark.createDataFrame([(1, 1, "Corpolken Wolves", "Red Moon", None)], "track_id long, ord long, artist string, title string, hash string"))
+    assert seen == [0, REACH]
