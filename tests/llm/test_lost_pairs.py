@@ -4,9 +4,9 @@ import random
 
 import pyarrow as pa
 
-from crateflow.llm.intake import REACH, RecordingIndex, _near_artists, letters
+from crateflow.llm.intake import COST, REACH, RecordingIndex, _cost, _near_artists, letters, repeated_tracks
 from crateflow.llm.linkage import _near_forms
-from crateflow.llm.recordings import LIMIT, channel_cost
+from crateflow.llm.recordings import LIMIT, channel_cost, words
 from crateflow.session import scratch_path
 from tests.llm.test_blocking import frame
 
@@ -50,3 +50,17 @@ def test_a_batch_probes_title_sums_within_reach(spark, monkeypatch):
     index = RecordingIndex(spark, scratch_path(spark, "sums"))
     index.add(spark.createDataFrame([(1, 1, "Corpolken Wolves", "Red Moon", None)], "track_id long, ord long, artist string, title string, hash string"))
     assert seen == [0, REACH]
+
+
+def test_two_edits_find_the_earlier_track(spark):
+    said = [
+        (("The Drofrozabpol Foxes", "Red Meadow Song"), ("Thhe Drofrozabpol Foxes", "Red Meadow Song")), (("Tammirquojin and Wolves", "Amber Song"), ("Tammirquojin annd Wolves", "Amber Song")),
+        (("Corpolken Barrabin", "Silver Moon"), ("Cotpolken Batrabin", "Silver Moon")), (("Kettlering Harbour", "Slow Fjord"), ("Tettlering Hatbour", "Slow Fjord")), (("Phillipson Gardener", "Dusk Hymn"), ("Fillipson Gatdener", "Dusk Hymn")),
+        (("Quibblestone Lost", "Grey Paper"), ("Quibblestone Loast", "Grey Paper")), (("Tge Vandermolen Lost", "Birch Paper"), ("Vandermolen Loast", "Birch Paper")), (("Jostlebury Trio", "Last Lantern"), ("Jostlebury Trio", "Laast Lanetrn")),
+    ]
+    assert all(_cost(*(" ".join(sorted(set(words(a)) - {"the", "and"} | set(words(t)) | ({"&"} if "and" in words(a) else set()))) for a, t in p))[0] <= COST for p in said)
+    rows = [(10 * i + k, a, t, k) for i, p in enumerate(said) for k, (a, t) in enumerate(p)]
+    rows += [(900, "Quibblestone Band", "Night Paper", 0), (901, "Quibblestone", "Night Paper", 1)]
+    tracks = spark.createDataFrame(rows, "track_id long, artist string, title string, batch_no int")
+    got = repeated_tracks(tracks, spark.createDataFrame([], "track_id long, fingerprint_hash string")).collect()
+    assert sorted((r.a, r.b) for r in got) == [(10 * i, 10 * i + 1) for i in range(len(said))]
