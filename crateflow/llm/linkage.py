@@ -1,8 +1,8 @@
 """Problem 4: clips and tracks matched without a common key, each match with a confidence.
 
-Method: label-model linkage. Candidates are found by bags of words (exact ones by a plain equi-join, the others by blocking
-keys and the channel model). Many heuristic matching functions vote on each candidate: wording, duration, uploader, shared
-words, rivals. A generative model of the votes with a hidden class learns by expectation maximisation how accurate each
+Method: label-model linkage. Candidates are found by bags of words (equal ones, and those that blocking keys and the
+channel model bring together) and by titles that stand alone. Heuristic matching functions vote on each candidate: wording,
+duration, uploader, shared words, rivals, the place of the artist. A generative model of the votes with a hidden class learns by expectation maximisation how accurate each
 function is and along which tree the functions depend on each other; its posterior is the confidence. Votes have few values,
 so the model needs only the counts of vote patterns: their number is bounded by the product of the value counts, whatever
 the size of the data.
@@ -24,21 +24,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from crateflow.llm.recordings import ARTICLES, LIMIT, bag, channel_cost, full_forms, keys, parse, words
-from crateflow.llm.variants import refined
+from crateflow.llm.blocking import BLOCK, LEFT, RIGHT, near_bags
+from crateflow.llm.recordings import ARTICLES, LIMIT, bag, channel_cost, full_forms, parse, words
 from crateflow.session import plain_unions, written
 
-#: Library forms that may share a key before finer keys are used.
-BLOCK = 24
-BUCKET_FORMS = 10_000
+#: Seconds of a band of durations, more than the largest gap that speaks for a match.
+BAND = 16
 #: Votes: name -> number of values. Value tables below are the prior pseudo-counts (share given no match, given match).
-VOTES = {"wording": 5, "duration": 5, "uploader": 3, "shared": 3, "rivals": 2}
+VOTES = {"wording": 5, "duration": 5, "uploader": 3, "shared": 3, "rivals": 2, "placed": 2}
 PRIOR = {
     "wording": ([0.08, 0.15, 0.22, 0.25, 0.30], [0.65, 0.15, 0.10, 0.05, 0.05]),
     "duration": ([0.12, 0.08, 0.10, 0.10, 0.60], [0.70, 0.12, 0.08, 0.0995, 0.0005]),
     "uploader": ([0.15, 0.60, 0.25], [0.38, 0.60, 0.02]),
     "shared": ([0.50, 0.30, 0.20], [0.15, 0.35, 0.50]),
     "rivals": ([0.40, 0.60], [0.90, 0.10]),
+    "placed": ([0.80, 0.20], [0.80, 0.20]),
 }
 PSEUDO = 40.0
 #: Weight of a prior as a share of all candidates, where a vote is known to be near certain.
@@ -105,16 +105,6 @@ def _track_rows(batches: Iterator[pa.RecordBatch], nicks: dict[str, str]) -> Ite
         yield pa.RecordBatch.from_arrays([r.column(0), r.column(3), r.column(4), pa.array(forms, pa.string()), pa.array(versions, pa.string()), pa.array(names, pa.string()), pa.array(titles, pa.string())], ["track_key", "short", "long", "form", "version", "name", "alone"])
 
 
-def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for r in batches:
-        out_f, out_k = [], []
-        for f, form, version in zip(r.column(0).to_pylist(), r.column(1).to_pylist(), r.column(2).to_pylist(), strict=True):
-            ks = keys(form.split(" "), version)
-            out_f += [f] * len(ks)
-            out_k += ks
-        yield pa.RecordBatch.from_arrays([pa.array(out_f, pa.int64()), pa.array(out_k, pa.int64())], ["f", "key"])
-
-
 def _weighed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for r in batches:
         cost = [channel_cost(a.split(" "), b.split(" "))[0] for a, b in zip(r.column(2).to_pylist(), r.column(3).to_pylist(), strict=True)]
@@ -122,56 +112,18 @@ def _weighed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([r.column(0).take(ok), r.column(1).take(ok), pa.array([c for c in cost if c <= LIMIT], pa.float64())], ["f", "g", "cost"])
 
 
-def _meet(block: int):
-    """Join of two buckets of keys: pairs of forms, and the members of crowded keys, marked by which side is null."""
-
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        lk, rk = left.column("key").to_numpy(), right.column("key").to_numpy()
-        lo, ro = np.argsort(lk, kind="stable"), np.argsort(rk, kind="stable")
-        lk, rk, lf, rf = lk[lo], rk[ro], left.column("f").to_numpy()[lo], right.column("f").to_numpy()[ro]
-        a, b = np.searchsorted(rk, lk), np.searchsorted(rk, lk, "right")
-        n = b - a
-        few = n * (n <= block)
-        f = np.repeat(lf, few)
-        g = rf[np.repeat(a, few) + np.arange(few.sum()) - np.repeat(np.cumsum(few) - few, few)]
-        if len(f):
-            o = np.lexsort((g, f))
-            f, g = f[o], g[o]
-            new = np.r_[True, (f[1:] != f[:-1]) | (g[1:] != g[:-1])]
-            f, g = f[new], g[new]
-        many = n > block
-        full = np.unique(lk[many])
-        at = np.isin(rk, full)
-        key = pa.concat_arrays([pa.nulls(len(f), pa.int64()), pa.array(lk[many]), pa.array(rk[at])])
-        fs = pa.concat_arrays([pa.array(f), pa.array(lf[many]), pa.nulls(int(at.sum()), pa.int64())])
-        gs = pa.concat_arrays([pa.array(g), pa.nulls(int(many.sum()), pa.int64()), pa.array(rf[at])])
-        return pa.table({"key": key, "f": fs, "g": gs})
-
-    return run
-
-
-def _near_forms(mine: DataFrame, theirs: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(f, g, cost): forms within the channel limit that share a key; both inputs have f, form and version.
-
-    A key under which more than ``block`` library forms stand is made finer with each one-letter deletion of each other word,
-    so that forms with a single typo there still meet. Keys are made and shuffled once; buckets hold about BUCKET_FORMS forms.
-    """
-    buckets = max(48, (mine.count() + theirs.count()) // BUCKET_FORMS)
-    left, right = (x.mapInArrow(_keyed, "f bigint, key bigint").withColumn("bucket", F.pmod("key", F.lit(buckets))).groupBy("bucket") for x in (mine, theirs))
-    met = written(left.cogroup(right).applyInArrow(_meet(block), "key bigint, f bigint, g bigint"), "linkage-met")
-    pairs = met.where("key IS NULL").select("f", "g")
-    crowded = met.where("key IS NOT NULL")
-    if crowded.limit(1).count():
-        fine = refined(crowded.where("f IS NOT NULL").select("f", "key"), mine).join(refined(crowded.where("g IS NOT NULL").select(F.col("g").alias("f"), "key"), theirs).select("key", F.col("f").alias("g")), "key").select("f", "g")
-        pairs = pairs.unionByName(fine)
-    text = pairs.distinct().join(mine.select("f", "form"), "f").join(theirs.select(F.col("f").alias("g"), F.col("form").alias("lib_form")), "g").select("f", "g", "form", "lib_form")
-    return text.mapInArrow(_weighed, "f bigint, g bigint, cost double")
-
-
-def candidates(clips: DataFrame, tracks: DataFrame, nickname: DataFrame) -> DataFrame:
-    """(clip, track_key, cost, words, uploader, gap): possible matches; gap is the difference in seconds or null.
-
-    The cost is null where only the title stands in the clip. ``nickname`` is a fixed small table.
+def _near_forms(forms: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(f, g, cost): clip forms with library forms within the channel limit; ``forms`` has f, form, version and role."""
+    text = near_bags(forms, False, block).join(forms.select("f", "form"), "f").join(forms.select(F.col("f").alias("g"), F.col("form").alias("lib_form")), "g").select("f", "g", "form", "lib_form")
+    near = text.mapInArrow(_weighed, "f bigint, g bigint, cost double")
+    return near.unionByName(forms.where(F.col("role") == LEFT + RIGHT).select("f", F.col("f").alias("g"), F.lit(0.0).alias("cost")))
+
+
+def candidates(clips: DataFrame, tracks: DataFrame, nickname: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(clip, track_key, cost, words, uploader, placed, gap): possible matches; gap is the difference in seconds or null.
+
+    The cost is null where only the title stands in the clip. ``nickname`` is a fixed small table. Titles alone meet tracks of
+    about their duration only, if the clip has one, so a common title doesn't meet all its tracks.
     """
     plain_unions(clips.sparkSession)
     nicks = full_forms(nickname.select("short_form", "full_form").collect())
@@ -182,31 +134,32 @@ def candidates(clips: DataFrame, tracks: DataFrame, nickname: DataFrame) -> Data
     mine = clips.select(F.col("result_id").alias("clip"), "title", "uploader", "channel", seconds.alias("seconds"))
     mine = mine.mapInArrow(partial(_clip_rows, nicks=nicks), "clip bigint, seconds double, form string, version string, host string, own boolean, alone string")
     mine = written(mine.withColumn("f", F.xxhash64("form", "version")), "linkage-clips")
-    carried, side = ["clip", "seconds", "host", "own"], ["track_key", "short", "long", "name"]
+    sides = mine.where("instr(form, ' ') > 0").select("f", "form", "version", F.lit(LEFT).alias("role")).unionByName(lib.select(F.col("g").alias("f"), "form", "version", F.lit(RIGHT).alias("role")))
+    forms = written(sides.groupBy("f").agg(F.min("form").alias("form"), F.min("version").alias("version"), F.bit_or("role").alias("role")), "linkage-forms")
+    carried, side = ["clip", "seconds", "host", "own", "alone"], ["track_key", "short", "long", "name"]
     # votes on the uploader and the duration are cast as soon as clip and track meet, so no text is carried on
     names = F.col("host").contains(F.col("name")) | ((F.length("host") > 4) & F.col("name").contains(F.col("host")))
     uploader = F.when(names, 0).when(F.col("own") & (F.levenshtein(F.substring("host", 1, 64), F.substring("name", 1, 64)) > 6), 2).otherwise(1)
     gap = F.when(F.col("seconds").isNotNull() & F.col("long").isNotNull(), F.greatest(F.col("seconds") - F.col("long"), F.col("short") - F.col("seconds"), F.lit(0.0)))
-    met = lambda df, cost, form: df.select("clip", "track_key", cost.alias("cost"), F.size(F.split(form, " ")).alias("words"), uploader.alias("uploader"), gap.alias("gap"))
-    whole = mine.where("instr(form, ' ') > 0")
-    exact = written(met(whole.select(*carried, "f", "form").join(lib.select(F.col("g").alias("f"), *side), "f"), F.lit(0.0), "form"), "linkage-exact")
-    open_ = written(mine.join(exact.select("clip").distinct(), "clip", "left_anti"), "linkage-open")
-    forms = written(open_.where("instr(form, ' ') > 0").select("f", "form", "version").distinct(), "linkage-forms")
-    # tracks of one form are few and their pairs meet again below, so the library's forms need no distinct
-    near = _near_forms(forms, lib.select(F.col("g").alias("f"), "form", "version"))
-    fuzzy = met(open_.select(*carried, "f", "form").join(near, "f").join(lib.select("g", *side), "g"), F.col("cost"), "form")
-    title = open_.where("alone <> ''").select(*carried, "alone", "version").join(lib.where("alone <> ''").select("alone", "version", *side), ["alone", "version"])
-    title = met(title, F.lit(None).cast("double"), "alone")
+    placed = lambda cost: F.when(cost.isNotNull() & (F.col("alone") != ""), 1).otherwise(0)
+    met = lambda df, cost, form: df.select("clip", "track_key", cost.alias("cost"), F.size(F.split(form, " ")).alias("words"), uploader.alias("uploader"), placed(cost).alias("placed"), gap.alias("gap"))
+    worded = met(mine.select(*carried, "f", "form").join(_near_forms(forms, block), "f").join(lib.select("g", *side), "g"), F.col("cost"), "form")
+    band = lambda c: F.floor(F.col(c) / BAND)
+    asking = mine.where("alone <> ''").select(*carried, "version", F.explode(F.when(F.col("seconds").isNull(), F.array(F.lit(-9).cast("long"))).otherwise(F.sequence(band("seconds") - 1, band("seconds") + 1))).alias("band"))
+    # a track stands in each band of its durations, or, without one, among those that any clip may be
+    bands = F.array_append(F.when(F.col("long").isNull(), F.array().cast("array<bigint>")).otherwise(F.array_distinct(F.array(band("short"), band("long")))), F.lit(-9).cast("long"))
+    titled = lib.where("alone <> ''").select("alone", "version", *side, F.explode(bands).alias("band"))
+    title = met(asking.join(titled, ["alone", "version", "band"]), F.lit(None).cast("double"), "alone")
     # one shuffle by clip serves the grouping here and the window over a clip's candidates
-    return exact.unionByName(fuzzy).unionByName(title).repartition("clip").groupBy("clip", "track_key").agg(F.min("cost").alias("cost"), F.max("words").alias("words"), F.min("uploader").alias("uploader"), F.min("gap").alias("gap"))
+    return worded.unionByName(title).repartition("clip").groupBy("clip", "track_key").agg(F.min("cost").alias("cost"), F.max("words").alias("words"), F.min("uploader").alias("uploader"), F.max("placed").alias("placed"), F.min("gap").alias("gap"))
 
 
 def votes(found: DataFrame) -> DataFrame:
-    """The candidate's votes, each a small number."""
+    """The candidate's votes, each a small number; a rival is another candidate whose wording is no worse."""
     wording = F.when(F.col("cost").isNull(), 4).when(F.col("cost") == 0, 0).when(F.col("cost") <= 2.3, 1).when(F.col("cost") <= 4.5, 2).otherwise(3)
     length = F.when(F.col("gap").isNull(), 3).when(F.col("gap") <= 3, 0).when(F.col("gap") <= 6, 1).when(F.col("gap") <= 15, 2).otherwise(4)
     shared = F.when(F.col("words") <= 3, 0).when(F.col("words") == 4, 1).otherwise(2)
-    rivals = F.when(F.count("*").over(Window.partitionBy("clip")) > 1, 1).otherwise(0)
+    rivals = F.when(F.count("*").over(Window.partitionBy("clip").orderBy(F.coalesce("cost", F.lit(99.0)))) > 1, 1).otherwise(0)
     return found.withColumns({"wording": wording, "duration": length, "shared": shared, "rivals": rivals})
 
 
@@ -285,7 +238,7 @@ def matches(clips: DataFrame, tracks: DataFrame, nickname: DataFrame, confident:
     """(clip, track_key, confidence): each clip's most confident track."""
     voted = written(votes(candidates(clips, tracks, nickname)), "linkage-votes")
     names = list(VOTES)
-    # vote patterns: at most the product of the value counts, 450
+    # vote patterns: at most the product of the value counts, 900
     seen = voted.groupBy(*names).agg(F.count("*").alias("n")).collect()
     x = np.array([[r[n] for n in names] for r in seen], dtype=int).reshape(-1, len(names))
     model = LabelModel().fit(x, np.array([r["n"] for r in seen], dtype=float))

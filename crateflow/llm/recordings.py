@@ -11,7 +11,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from functools import lru_cache
-from itertools import combinations, permutations
+from itertools import permutations
 
 import xxhash
 
@@ -155,86 +155,17 @@ def _hash(*parts: str) -> int:
     return xxhash.xxh64_intdigest("\x1f".join(parts)) - (1 << 63)
 
 
-#: Bags of more words than this draw their keys from the words of smallest hash, the same in every similar bag.
-KEY_WORDS = 9
-
-
 @lru_cache(maxsize=1 << 14)
 def is_near_light(w: str) -> bool:
     """An article or a light word, maybe with a typo."""
     return len(w) > 1 and (w in LIGHT or is_near_article(w) or (len(w) <= 5 and any(len(a) > 1 and distance(w, a, 1) <= 1 for a in LIGHT)) or distance(w, "without", 1) <= 1)
 
 
-def _full(tokens: list[str]) -> list[str]:
-    full = [w for w in tokens if w not in LIGHT or len(w) == 1]
-    if len(full) > 3:
-        less = [w for w in full if not is_near_light(w)]
-        full = less if len(less) >= 3 else full
-    return full if len(full) <= KEY_WORDS else sorted(sorted(full, key=_hash)[:KEY_WORDS])
-
-
-def _whole(full: list[str]) -> list[str]:
-    return [w for w in full if len(w) > 1 and w[-1] != "*"]
-
-
-_MASK, _HALF = (1 << 64) - 1, 1 << 63
-
-
 @lru_cache(maxsize=1 << 16)
 def _mark(kind: str, text: str) -> int:
     return xxhash.xxh64_intdigest(f"{kind}\x1f{text}")
 
 
-def key_words(tokens: list[str], version: str) -> dict[int, tuple[str, ...]]:
-    """Blocking keys of a bag with the whole words that each holds.
-
-    Any two whole words with the first letters of the others, of which one may be left out; any three whole words; of small
-    bags also one whole word with all first letters; all letters, which stay the same if words are run together. A word
-    ending in * is cut off and is no whole word. A key is the sum of the hashes of what it holds, so leaving something out
-    is a subtraction.
-    """
-    full = _full(tokens)
-    whole = _whole(full)
-    base = _mark("version", version)
-    first = {w: _mark("letter", w[0]) for w in full}
-    net = {w: _mark("word", w) - first[w] for w in whole}
-    total = base + sum(first.values())
-    out: dict[int, tuple[str, ...]] = {}
-    if len(whole) == len(full) > 1:
-        out[((base + _mark("letters", "".join(sorted("".join(full))))) & _MASK) - _HALF] = ()
-    if len(full) <= 3:
-        for w in whole:
-            out[((total + net[w]) & _MASK) - _HALF] = (w,)
-    for pair in combinations(whole, 2):
-        x, y = pair
-        key = total + net[x] + net[y]
-        out[(key & _MASK) - _HALF] = pair
-        for w in full:
-            if w != x and w != y:
-                out[((key - first[w]) & _MASK) - _HALF] = pair
-    h = [(w, _mark("word", w)) for w in whole]
-    for (x, i), (y, j), (z, k) in combinations(h, 3):
-        out[((base + i + j + k) & _MASK) - _HALF] = (x, y, z)
-    return out
-
-
-def keys(tokens: list[str], version: str) -> list[int]:
-    return list(key_words(tokens, version))
-
-
-def finer_keys(tokens: list[str], version: str, crowded: list[int]) -> list[int]:
-    """Crowded keys with each one-letter deletion of each other word, so that bags with one typo in one of these still meet."""
-    held = key_words(tokens, version)
-    out = set()
-    for k in crowded:
-        used = held.get(k, ())
-        for w in tokens:
-            if len(w) > 3 and w not in used and w not in LIGHT:
-                out.add(_hash(str(k), w))
-                out.update(_hash(str(k), w[:i] + w[i + 1 :]) for i in range(len(w)))
-    return list(out)
-
-
 @lru_cache(maxsize=1 << 16)
 def distance(a: str, b: str, most: int) -> int:
     """Edits with swaps of neighbours (optimal string alignment), most + 1 if there are more than ``most``."""
@@ -337,6 +268,20 @@ def _run_together(ra: list[str], rb: list[str]) -> float:
     return best
 
 
+def _only_joined(ra: list[str], rb: list[str]) -> bool:
+    """Whether the words are the same letters with other spaces, however many there are."""
+    short, long = (ra, rb) if len(ra) <= len(rb) else (rb, ra)
+    if not short or sorted("".join(short)) != sorted("".join(long)):
+        return False
+
+    def fits(s: str, at: int, left: tuple[str, ...]) -> bool:
+        if not s:
+            return not left if at == len(short) else fits(short[at], at + 1, left)
+        return any(s.startswith(w) and fits(s[len(w) :], at, left[:i] + left[i + 1 :]) for i, w in enumerate(left))
+
+    return fits("", 0, tuple(long))
+
+
 def channel_cost(a: list[str], b: list[str]) -> tuple[float, list[tuple[str, str]]]:
     """Cost of two bags as writings of one recording, and the word pairs taken as typos."""
     sa, sb = set(a), set(b)
@@ -344,7 +289,7 @@ def channel_cost(a: list[str], b: list[str]) -> tuple[float, list[tuple[str, str
     if not ra and not rb:
         return 0.0, []
     if len(ra) > 5 or len(rb) > 5 or len(sa & sb) == 0:
-        return CANNOT, []
+        return (JOINED if _only_joined(ra, rb) else CANNOT), []
     heavy_a, heavy_b = [w for w in ra if w not in LIGHT], [w for w in rb if w not in LIGHT]
     if len(heavy_a) == len(heavy_b) > 1:
         first = [w[0] for w in heavy_b]

@@ -24,12 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crateflow.llm.recordings import bag, channel_cost, finer_keys, full_forms, keys, parse
+from crateflow.llm.blocking import BLOCK, LEFT, RIGHT, near_bags
+from crateflow.llm.recordings import bag, channel_cost, full_forms, parse
 from crateflow.llm.recordings import LIMIT as COST_LIMIT
-from crateflow.session import plain_unions, written
+from crateflow.session import written
 
-#: Writings that may share a key before finer keys are used.
-BLOCK = 64
 #: A word seen in this many writings is a word of its own, unless the other one is this many times as frequent.
 KNOWN, RATIO = 6, 10
 _BOTH = re.compile(r"\s[-–—|~·/]+\s|:\s|\sby\b:?\s|\"\S", re.I)
@@ -70,48 +69,9 @@ def writings(requests: DataFrame, nickname: DataFrame, key: str, artist: str, ti
     return rows.mapInArrow(read, "id bigint, form string, version string")
 
 
-def block_keys(forms: DataFrame) -> DataFrame:
-    """(f, key) of every form: f, form, version."""
-
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for r in batches:
-            f, out_f, out_k = r.column(0).to_pylist(), [], []
-            for i, form, version in zip(f, r.column(1).to_pylist(), r.column(2).to_pylist(), strict=True):
-                ks = keys(form.split(" "), version)
-                out_f += [i] * len(ks)
-                out_k += ks
-            yield pa.RecordBatch.from_arrays([pa.array(out_f, pa.int64()), pa.array(out_k, pa.int64())], ["f", "key"])
-
-    return forms.select("f", "form", "version").mapInArrow(emit, "f bigint, key bigint")
-
-
-def refined(crowded: DataFrame, forms: DataFrame) -> DataFrame:
-    """(f, key): finer keys in the place of the crowded (f, key); ``forms`` has f, form and version."""
-
-    def finer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for r in batches:
-            out_f, out_k = [], []
-            for f, ks, form, version in zip(*(r.column(i).to_pylist() for i in range(4)), strict=True):
-                got = finer_keys(form.split(" "), version, ks)
-                out_f += [f] * len(got)
-                out_k += got
-            yield pa.RecordBatch.from_arrays([pa.array(out_f, pa.int64()), pa.array(out_k, pa.int64())], ["f", "key"])
-
-    mine = crowded.groupBy("f").agg(F.collect_list("key").alias("ks"))
-    return mine.join(forms.select("f", "form", "version"), "f").select("f", "ks", "form", "version").mapInArrow(finer, "f bigint, key bigint")
-
-
 def candidate_pairs(forms: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Distinct (f, g), f < g, of forms that share a key."""
-    plain_unions(forms.sparkSession)
-    keyed = written(block_keys(forms), "variant-keys")
-    sizes = written(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "variant-sizes")
-    shared = keyed.join(sizes.select("key"), "key", "left_semi")
-    crowded = sizes.where(F.col("n") > block).select("key")
-    fine = shared.select("f", "key")
-    if crowded.limit(1).count():
-        fine = written(fine.join(crowded, "key", "left_anti").select("f", "key").unionByName(refined(fine.join(crowded, "key"), forms)), "variant-blocks")
-    return fine.select("key", "f").join(fine.select("key", F.col("f").alias("g")), "key").where("f < g").select("f", "g").distinct()
+    """Distinct (f, g), f < g, of forms that may be writings of one recording."""
+    return near_bags(forms.withColumn("role", F.lit(LEFT + RIGHT)), True, block)
 
 
 def _costs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

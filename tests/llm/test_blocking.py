@@ -1,29 +1,90 @@
-"""Crowded keys are replaced by finer ones without losing pairs that a single typo separates."""
+"""Every two bags that the channel accepts and that share what level 1 asks for have to meet, however crowded their keys are."""
+
+import random
+from itertools import product
 
 from pyspark.sql import functions as F
 
+from crateflow.llm.blocking import LEFT, RIGHT, near_bags
 from crateflow.llm.linkage import _near_forms
-from crateflow.llm.recordings import finer_keys, keys
+from crateflow.llm.recordings import LIMIT, channel_cost
 from crateflow.llm.variants import attach, candidate_pairs, weighed_pairs
 
 WORDS = "amber birch cedar dusk fjord grove harbour island jacket kettle lantern meadow".split()
 LIB = [" ".join(sorted(["ann", "bell", a, b])) for a in WORDS for b in WORDS if a < b]
 
 
-def frame(spark, forms):
-    return spark.createDataFrame([(f, "") for f in forms], "form string, version string").withColumn("f", F.xxhash64("form", "version")).select("f", "form", "version")
+def frame(spark, forms, role=LEFT + RIGHT):
+    rows = spark.createDataFrame([(f, "") for f in forms], "form string, version string")
+    return rows.withColumn("f", F.xxhash64("form", "version")).select("f", "form", "version", F.lit(role).alias("role"))
+
+
+def sides(spark, mine, theirs):
+    return frame(spark, mine, LEFT).union(frame(spark, theirs, RIGHT)).groupBy("f").agg(F.min("form").alias("form"), F.min("version").alias("version"), F.bit_or("role").alias("role"))
+
+
+def typed(rnd, form):
+    """A writing of a form: typos, initials, short forms, words run together."""
+    ws = form.split()
+    for _ in range(rnd.choice((1, 1, 2, 3))):
+        i = rnd.randrange(len(ws))
+        w = ws[i]
+        kind = rnd.random()
+        at = rnd.randrange(len(w))
+        if kind < 0.55:
+            w = rnd.choice((w[:at] + w[at + 1 :], w[:at] + rnd.choice("abcxyz") + w[at:], w[:at] + rnd.choice("abcxyz") + w[at + 1 :]))
+        elif kind < 0.7:
+            w = w[0]
+        elif kind < 0.85:
+            w = w[: max(3, len(w) - 3)]
+        elif len(ws) > 3:
+            w += ws.pop((i + 1) % len(ws))
+            i = min(i, len(ws) - 1)
+        if w:
+            ws[i] = w
+    return " ".join(sorted(set(ws)))
+
+
+def held_by_level_one(a, b):
+    x, y = set(a.split()), set(b.split())
+    return len([w for w in x & y if len(w) > 1]) >= 2
+
+
+def test_no_pair_is_lost_whatever_the_block(spark):
+    rnd = random.Random(5)
+    lib = LIB + ["ann bell dusk", "ann bell", "cedar of the dusk", " ".join(sorted(WORDS + ["ann", "bell"]))]
+    mine = sorted({typed(rnd, f) for f in lib for _ in range(6)})
+    want = {(a, b) for a, b in product(mine, lib) if a != b and held_by_level_one(a, b) and channel_cost(a.split(), b.split())[0] <= LIMIT}
+    forms = sides(spark, mine, lib)
+    name = {r.f: r.form for r in forms.collect()}
+    assert len(want) > 250
+    for block in (1, 4, 100_000):
+        got = {(name[r.f], name[r.g]) for r in near_bags(forms, False, block).collect()}
+        # the stated exception: words run together and misspelt besides, under a crowded key
+        both = {p for p in want if block < 100 and len(p[0].split()) < len(p[1].split()) and sorted(p[0]) != sorted(p[1].replace(" ", "") + " " * p[0].count(" "))}
+        assert not want - got - both and len(both - got) < 20
+        assert all(a != b for a, b in got)
 
 
 def test_library_side(spark):
     typos = [f.replace("a", "aa", 1) if i % 2 else f[:-1] + "x" for i, f in enumerate(LIB)]
     typos = [" ".join(sorted(t.split())) for t in typos]
-    mine, theirs = frame(spark, typos), frame(spark, LIB)
-    name = {r.f: r.form for r in mine.union(theirs).collect()}
-    wide = {(name[r.f], name[r.g]) for r in _near_forms(mine, theirs, 10_000).collect()}
-    tight = {(name[r.f], name[r.g]) for r in _near_forms(mine, theirs, 2).collect()}
-    want = set(zip(typos, LIB))
-    assert want <= wide and want <= tight
-    assert _near_forms(mine, theirs.limit(0)).count() == _near_forms(mine.limit(0), theirs).count() == 0
+    forms = sides(spark, typos, LIB)
+    name = {r.f: r.form for r in forms.collect()}
+    for block in (2, 10_000):
+        assert set(zip(typos, LIB)) <= {(name[r.f], name[r.g]) for r in _near_forms(forms, block).collect()}
+    assert _near_forms(forms.limit(0)).count() == 0 == _near_forms(frame(spark, LIB, LEFT)).count()
+
+
+def test_long_bags_meet_by_their_words_of_smallest_hash(spark):
+    rnd = random.Random(3)
+    many = ["".join(rnd.choices("bcdfghklmnprst", k=8)) for _ in range(60)]
+    a = sorted(many[:40])
+    b = sorted(many[5:40] + many[50:55])  # five words differ
+    forms = sides(spark, [" ".join(a)], [" ".join(b)])
+    assert near_bags(forms, False).count() in (0, 1)
+    b = sorted(many[1:40] + [many[0][:-1] + "x"])
+    assert near_bags(sides(spark, [" ".join(a)], [" ".join(b)]), False).count() == 1
 
 
 def test_variants_side(spark):
@@ -32,15 +93,11 @@ def test_variants_side(spark):
     name = {r.f: r.form for r in df.collect()}
     want = {tuple(sorted((f, f.replace("bell", "bel")))) for f in LIB[::20]}
     for block in (2, 10_000):
-        pairs = candidate_pairs(df, block)
-        assert want <= {tuple(sorted((name[r.f], name[r.g]))) for r in pairs.collect()}
+        assert want <= {tuple(sorted((name[r.f], name[r.g]))) for r in candidate_pairs(df, block).collect()}
     roots = {name[r.f]: name[r.root] for r in attach(df, weighed_pairs(df, candidate_pairs(df))).collect()}
     assert all(roots[f.replace("bell", "bel")] == f for f in LIB[::20])
 
 
-def test_finer_keys_leave_out_the_words_of_the_key():
-    bag = ["ann", "bell", "cedar", "meadow"]
-    ks = keys(bag, "")
-    fine = finer_keys(bag, "", ks)
-    other = finer_keys(["ann", "bell", "cedar", "zzzzz"], "", [k for k in ks if k in keys(["ann", "bell", "cedar", "zzzzz"], "")])
-    assert fine and not set(fine) & set(other)
+def test_words_run_together():
+    assert channel_cost("daftpunkaroundtheworld".split(), "around daft punk the world".split())[0] <= LIMIT
+    assert channel_cost(["abc"], ["bca"])[0] > LIMIT

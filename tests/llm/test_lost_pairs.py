@@ -8,7 +8,7 @@ from crateflow.llm.intake import COST, REACH, RecordingIndex, _cost, _near_artis
 from crateflow.llm.linkage import _near_forms
 from crateflow.llm.recordings import LIMIT, channel_cost, words
 from crateflow.session import scratch_path
-from tests.llm.test_blocking import frame
+from tests.llm.test_blocking import sides
 
 
 def bagged(text):
@@ -22,9 +22,9 @@ def test_words_run_together_or_changed_meet_their_track(spark):
     ]
     pairs = [(bagged(a), bagged(b)) for a, b in pairs]
     assert all(channel_cost(a.split(), b.split())[0] <= LIMIT for a, b in pairs)
-    mine, theirs = frame(spark, [a for a, _ in pairs]), frame(spark, [b for _, b in pairs])
-    name = {r.f: r.form for r in mine.union(theirs).collect()}
-    assert set(pairs) <= {(name[r.f], name[r.g]) for r in _near_forms(mine, theirs).collect()}
+    forms = sides(spark, [a for a, _ in pairs], [b for _, b in pairs])
+    name = {r.f: r.form for r in forms.collect()}
+    assert set(pairs) <= {(name[r.f], name[r.g]) for r in _near_forms(forms).collect()}
 
 
 def _directory(names, asked):

@@ -1,6 +1,6 @@
 from crateflow.llm.intake import RecordingIndex, repeated_tracks
 from crateflow.llm.linkage import LabelModel, matches
-from crateflow.llm.recordings import LIMIT, bag, channel_cost, distance, is_placeholder, keys, parse
+from crateflow.llm.recordings import LIMIT, bag, channel_cost, distance, is_placeholder, parse
 from crateflow.llm.variants import linked, same_recording_pairs
 
 NICK = [("Nell", "Eleanor"), ("Bob", "Robert")]
@@ -27,7 +27,6 @@ def test_channel():
     assert cost("FrovaFrocornor Cold Sun", "frovafrocornor cold sun") <= 2
     assert cost("Kind Clover Rinjin", "Red Clover Rinjin") > LIMIT
     assert cost("Charles Stone Old Moon", "Nicholas Stone Old Moon") > LIMIT
-    assert len(keys([f"w{i}" for i in range(500)], "")) < 1000
 
 
 REQ = [
