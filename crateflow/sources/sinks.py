@@ -6,6 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def finished_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders under a path whose writing has ended, sorted."""
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory() and fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS")))
+
+
 class VersionedTable:
     """A table whose versions are folders; readers see the last finished one."""
 
@@ -13,12 +23,7 @@ class VersionedTable:
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
 
     def versions(self) -> list[str]:
-        jvm = self.spark._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(root):
-            return []
-        return sorted(s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory() and fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS")))
+        return finished_folders(self.spark, self.path)
 
     def read(self) -> DataFrame:
         v = self.versions()
