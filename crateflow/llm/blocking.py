@@ -32,7 +32,7 @@ from crateflow.llm.recordings import LIGHT, _mark, is_near_article, is_near_ligh
 from crateflow.session import plain_unions, written
 
 #: Right bags that may share a key before finer keys are used; so many times as many left ones.
-BLOCK, LEFT_TIMES = 24, 100
+BLOCK, LEFT_TIMES = 256, 16
 BUCKET_FORMS = 10_000
 #: Words that the keys of a bag are made of: 5 differing ones and 4 shared ones.
 KEY_WORDS = 9
@@ -41,16 +41,18 @@ LEVELS = 8
 LEFT, RIGHT, HOT = 1, 2, 4
 #: Kinds of keys in the lowest bits: may be refined, or is complete.
 OPEN, CLOSED = 0, 1
-_ROWS = "key bigint, f bigint, sig int, role int, mask int, bucket int"
-_NEAR = np.uint32(1 << 27)
+_ROWS = "key bigint, f bigint, sig bigint, meta bigint"
+#: Signature: first letters as bits, is there a word that may be light, are the words' ends told (WORDS of 12 bits each) instead.
+WORDS = 5
 
 
 @lru_cache(maxsize=1 << 15)
-def _traits(w: str) -> tuple[int, int, int, int, bool, bool, bool]:
-    """Hashes of a word, its first letter and its letters; bit of the first letter; is it light, near light, whole."""
-    o = ord(w[0]) - 97
+def _traits(w: str) -> tuple[int, int, int, int, bool, bool, bool, bool]:
+    """Hashes of a word, its first letter and its letters; its ends; is it light, near light, whole, do its ends tell it apart."""
     letters = sum(_mark("letters", c) for c in w) & ((1 << 64) - 1)
-    return _mark("word", w), _mark("letter", w[0]), letters, 1 << (o if 0 <= o < 26 else 26), w in LIGHT and len(w) > 1, is_near_light(w), len(w) > 1 and w[-1] != "*"
+    end = lambda c: min(max(ord(c) - 96, 0), 27) if "a" <= c <= "z" else 27
+    ends = end(w[0]) << 7 | end(w[-1]) << 2 | _mark("word", w) & 3
+    return _mark("word", w), _mark("letter", w[0]), letters, ends, w in LIGHT and len(w) > 1, is_near_light(w), len(w) > 1 and w[-1] != "*", len(w) != 2 and w[-1] != "*"
 
 
 def _table(form: pa.Array, version: pa.Array) -> dict:
@@ -58,22 +60,28 @@ def _table(form: pa.Array, version: pa.Array) -> dict:
     lists = pc.split_pattern(form.combine_chunks() if isinstance(form, pa.ChunkedArray) else form, " ")
     flat = lists.flatten().dictionary_encode()
     code = flat.indices.to_numpy()
-    cols = list(zip(*map(_traits, flat.dictionary.to_pylist()), strict=True)) if len(flat.dictionary) else [()] * 7
-    word, first, letters = (np.array(c, np.uint64)[code] for c in cols[:3])
-    bit = np.array(cols[3], np.uint32)[code]
-    light, near, whole = (np.array(c, bool)[code] for c in cols[4:])
+    cols = list(zip(*map(_traits, flat.dictionary.to_pylist()), strict=True)) if len(flat.dictionary) else [()] * 8
+    word, first, letters, ends = (np.array(c, np.uint64)[code] for c in cols[:4])
+    light, near, whole, told = (np.array(c, bool)[code] for c in cols[4:])
     sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
     row = np.repeat(np.arange(len(sizes)), sizes)
     count = lambda m: np.bincount(row[m], minlength=len(sizes))
     seen = ~light & ~near
-    first = np.where(seen, first, np.uint64(0))
+    sure = np.where(seen, first, np.uint64(0))
     marks = [_mark("version", v) for v in version.dictionary_encode().dictionary.to_pylist()] if len(version) else []
     base = np.array(marks, np.uint64)[version.dictionary_encode().indices.to_numpy()] if len(version) else np.zeros(0, np.uint64)
-    # first letters of words that are surely no light ones, their number, and whether a word may be light
-    sig = np.zeros(len(sizes), np.uint32)
-    np.bitwise_or.at(sig, row[seen], bit[seen])
-    sig |= (np.minimum(count(seen), 15).astype(np.uint32) << np.uint32(28)) | np.where(count(near & ~light) > 0, _NEAR, np.uint32(0))
-    return {"row": row, "word": word, "first": first, "letters": letters, "whole": whole, "full": ~light, "few": count(seen) <= 3, "base": base, "sig": sig, "n": len(sizes)}
+    # of words that are surely no light ones: first letters, or both ends of each if these are few
+    n, may = count(seen), count(near & ~light) > 0
+    sig = np.zeros(len(sizes), np.uint64)
+    np.bitwise_or.at(sig, row[seen], np.uint64(1) << (ends[seen] >> np.uint64(7)))
+    by_words = (n <= WORDS) & ~may & (count(seen & ~told) == 0)
+    at = np.flatnonzero(seen & by_words[row])
+    start = np.r_[0, np.flatnonzero(row[at][1:] != row[at][:-1]) + 1] if len(at) else np.zeros(0, np.int64)
+    place = (np.arange(len(at)) - np.repeat(start, np.diff(np.r_[start, len(at)]))).astype(np.uint64)
+    sig[by_words] = 0
+    np.bitwise_or.at(sig, row[at], ends[at] << (place * np.uint64(12)))
+    meta = np.minimum(n, 15) << 12 | may.astype(np.int64) << 16 | by_words.astype(np.int64) << 17
+    return {"row": row, "word": word, "first": first, "sure": sure, "letters": letters, "whole": whole, "full": ~light, "few": count(seen) <= 3, "base": base, "sig": sig.view(np.int64), "meta": meta, "n": len(sizes)}
 
 
 def _key_words(t: dict) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -110,7 +118,7 @@ def _first_level(t: dict) -> tuple[np.ndarray, np.ndarray]:
     with np.errstate(over="ignore"):
         for rows, at in _key_words(t):
             k = at.shape[1]
-            word, first, whole, base = t["word"][at], t["first"][at], t["whole"][at], t["base"][rows]
+            word, first, whole, base = t["word"][at], t["sure"][at], t["whole"][at], t["base"][rows]
             for i, j in combinations(range(k), 2):
                 add(rows, base + _PAIR + word[:, i] + word[:, j], whole[:, i] & whole[:, j], OPEN)
             few = t["few"][rows]
@@ -139,7 +147,8 @@ def _second_level(t: dict, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     with np.errstate(over="ignore"):
         for rows, at in _key_words(t):
             k = at.shape[1]
-            word, first, whole, base, want = t["word"][at], t["first"][at], t["whole"][at], t["base"][rows], asked[rows]
+            word, first, whole, base, want = t["word"][at], t["sure"][at], t["whole"][at], t["base"][rows], asked[rows]
+            every = t["first"][at]
             for i, j in combinations(range(k), 2):
                 pair = base + _PAIR + word[:, i] + word[:, j]
                 hit = np.flatnonzero((_kind(pair, OPEN) == want) & whole[:, i] & whole[:, j])
@@ -147,10 +156,13 @@ def _second_level(t: dict, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
                     continue
                 held = np.full(len(hit), 1 << i | 1 << j)
                 others = [x for x in range(k) if x not in (i, j)]
-                rest = pair[hit] + _MORE + first[hit][:, others].sum(1, dtype=np.uint64)
-                add(rows[hit], rest, held)
+                # with and without words that may be light ones, as these come and go
+                for letters in (first[hit], every[hit]):
+                    rest = pair[hit] + _MORE + letters[:, others].sum(1, dtype=np.uint64)
+                    add(rows[hit], rest, held)
+                    for x in others:
+                        add(rows[hit], rest - letters[:, x], held)
                 for x in others:
-                    add(rows[hit], rest - first[hit, x], held)
                     ok = whole[hit, x]
                     add(rows[hit][ok], pair[hit][ok] + word[hit, x][ok], held[ok] | 1 << x)
             few = t["few"][rows]
@@ -188,115 +200,147 @@ def _key_order(tokens: list[str]) -> list[str]:
     return sorted((w for w in tokens if w not in LIGHT or len(w) == 1), key=lambda w: _mark("word", w))[:KEY_WORDS]
 
 
-def _finer(f: int, key: int, sig: int, role: int, mask: int, form: str, last: bool) -> Iterator[tuple[int, int, int, int, int]]:
-    """(key, f, sig, role, mask) in the place of a crowded key of level 2 or more."""
+def _finer(f: int, key: int, sig: int, meta: int, form: str, last: bool) -> Iterator[tuple[int, int, int, int]]:
+    """(key, f, sig, meta) in the place of a crowded key of level 2 or more."""
     ws = _key_order(form.split(" "))
+    mask, role = meta >> 3 & 511, meta & 3
     left = [i for i in range(len(ws)) if not mask >> i & 1]
     top = (1 << 64) - 2
     signed = lambda x: x - (1 << 64) if x >= 1 << 63 else x
     if last or all(len(ws[i]) == 1 or ws[i][-1] == "*" or is_near_article(ws[i]) for i in left):  # what is left may be lost
-        yield signed(_mark("rest", str(key)) & top | CLOSED), f, sig, role, mask
+        yield signed(_mark("rest", str(key)) & top | CLOSED), f, sig, meta
     if last or not left:
         return
     letters = sum(_mark("letters", c) for i in left for c in ws[i])
-    yield signed((_mark("run", str(key)) + letters) & top | CLOSED), f, sig, role, mask
+    yield signed((_mark("run", str(key)) + letters) & top | CLOSED), f, sig, meta
     seen = set()
     for i in left:
         for x, side in _typed(ws[i], len(left) == 1):
             if (side == 0 or role & side) and (x, side) not in seen:
                 seen.add((x, side))
-                yield signed(_mark(str(key), x) & top), f, sig, role & side if side else role, mask | 1 << i
+                yield signed(_mark(str(key), x) & top), f, sig, (meta & ~3) | (role & side if side else role) | 1 << (i + 3)
 
 
-def _spread(key: np.ndarray, f: np.ndarray, sig: np.ndarray, role: np.ndarray, mask: np.ndarray, buckets: int, block: int) -> pa.RecordBatch:
-    """Rows with their bucket. Keys crowded in this batch alone go, by bag, to buckets that pass them on; a mark tells the key's bucket."""
+def _spread(key: np.ndarray, f: np.ndarray, sig: np.ndarray, meta: np.ndarray, buckets: int, block: int) -> pa.RecordBatch:
+    """Rows with their bucket in the upper half of meta.
+
+    Keys crowded in this batch alone go, by bag, to buckets that pass them on; a mark without a role tells the key's bucket.
+    """
     if len(key):
         o = np.lexsort((f, key))
-        key, f, sig, role, mask = key[o], f[o], sig[o], role[o], mask[o]
-        new = np.r_[True, (key[1:] != key[:-1]) | (f[1:] != f[:-1]) | (role[1:] != role[:-1])]
-        key, f, sig, role, mask = key[new], f[new], sig[new], role[new], mask[new]
+        key, f, sig, meta = key[o], f[o], sig[o], meta[o]
+        new = np.r_[True, (key[1:] != key[:-1]) | (f[1:] != f[:-1]) | (meta[1:] != meta[:-1])]
+        key, f, sig, meta = key[new], f[new], sig[new], meta[new]
         run = np.r_[0, np.flatnonzero(key[1:] != key[:-1]) + 1]
-        right, left = np.add.reduceat((role & RIGHT) > 0, run), np.add.reduceat((role & LEFT) > 0, run)
+        right, left = np.add.reduceat((meta & RIGHT) > 0, run, dtype=np.int64), np.add.reduceat((meta & LEFT) > 0, run, dtype=np.int64)
         hot = ((right > block) | (left > block * LEFT_TIMES)) & ((key[run] & 1) == OPEN)
-        size = np.diff(np.r_[run, len(key)])
-        is_hot = np.repeat(hot, size)
+        is_hot = np.repeat(hot, np.diff(np.r_[run, len(key)]))
         marks = key[run][hot]
-        bucket = np.where(is_hot, f % buckets, key % buckets)
-        role = np.where(is_hot, role | HOT, role)
+        meta = np.where(is_hot, meta | HOT, meta) | np.where(is_hot, f % buckets, key % buckets) << 32
         zero = np.zeros(len(marks), np.int64)
-        key, f, sig, role, mask, bucket = (np.concatenate(x) for x in ((key, marks), (f, zero), (sig, zero), (role, zero), (mask, zero), (bucket, marks % buckets)))
-    else:
-        bucket = key
-    return pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(f, pa.int64()), pa.array(sig.astype(np.int64).astype(np.uint32).view(np.int32)), pa.array(role.astype(np.int32)), pa.array(mask.astype(np.int32)), pa.array(bucket.astype(np.int32))], ["key", "f", "sig", "role", "mask", "bucket"])
+        key, f, sig, meta = np.concatenate([key, marks]), np.concatenate([f, zero]), np.concatenate([sig, zero]), np.concatenate([meta, marks % buckets << 32])
+    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (key, f, sig, meta)], ["key", "f", "sig", "meta"])
+
+
+def _bits(x: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(x.astype(np.uint32)).astype(int)
+
 
+def _ends(sig: np.ndarray) -> np.ndarray:
+    return (sig.view(np.uint64)[:, None] >> (np.arange(WORDS, dtype=np.uint64) * np.uint64(12))) & np.uint64(4095)
 
-def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Pairs of signatures that the channel rules out.
 
-    With equally many words and none that may be light, at most one first letter may differ, so at most two bits do. Else the
-    limit leaves, besides a lost or joined word for each word of difference, room for two typos in first letters.
+def _letters(sig: np.ndarray, meta: np.ndarray) -> np.ndarray:
+    """First letters as bits."""
+    out = sig.copy()
+    w = np.flatnonzero(meta >> 17 & 1)
+    e = _ends(sig[w]) >> np.uint64(7)
+    out[w] = np.bitwise_or.reduce(np.where(e > 0, np.uint64(1) << e, np.uint64(0)), axis=1).view(np.int64)
+    return out
+
+
+def _apart(sa: np.ndarray, ma: np.ndarray, sb: np.ndarray, mb: np.ndarray) -> np.ndarray:
+    """Pairs that the channel rules out by what their signatures tell.
+
+    With equally many words and none that may be light, at most one first letter may differ, so at most two bits do; a word
+    that is not shared needs a partner of the same first letter, all but one, or of the same last one. Else the limit leaves,
+    besides a lost or joined word for each word of difference, room for two typos in first letters.
     """
-    x = (a ^ b) & np.uint32((1 << 27) - 1)
-    bits = np.unpackbits(x.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1).sum(1).astype(int)
-    na, nb = (a >> np.uint32(28)).astype(int), (b >> np.uint32(28)).astype(int)
-    d = np.abs(na - nb)
-    near = ((a | b) & _NEAR) > 0
-    return (bits > np.where((d == 0) & ~near, 2, d + 4)) & (np.minimum(na, nb) < 15)
+    na, nb = ma >> 12 & 15, mb >> 12 & 15
+    even = (na == nb) & ((ma | mb) >> 16 & 1 == 0)
+    out = (_bits(_letters(sa, ma) ^ _letters(sb, mb)) > np.where(even, 2, np.abs(na - nb) + 4)) & (np.minimum(na, nb) < 15)
+    at = np.flatnonzero(~out & even & ((ma & mb) >> 17 & 1 == 1))
+    for s in range(0, len(at), 1 << 16):
+        w = at[s : s + (1 << 16)]
+        a, b = _ends(sa[w]), _ends(sb[w])
+        same = (a[:, :, None] == b[:, None, :]) & (a > 0)[:, :, None]
+        first = (a >> np.uint64(7))[:, :, None] == (b >> np.uint64(7))[:, None, :]
+        last = (a >> np.uint64(2) & np.uint64(31))[:, :, None] == (b >> np.uint64(2) & np.uint64(31))[:, None, :]
+        bad = np.zeros(len(w), bool)
+        for axis, words in ((2, a > 0), (1, b > 0)):
+            lone = words & ~same.any(axis)
+            bad |= (lone & ~(first | last).any(axis)).any(1) | ((lone & ~first.any(axis)).sum(1) > 1)
+        out[w] = bad
+    return out
 
 
 def _meet(block: int, symmetric: bool):
-    """Pairs of one bucket's rows, and the members of crowded keys: (key, f, g, sig, role, mask), key null for pairs."""
+    """Pairs of one bucket's rows, and the members of crowded keys: (key, f, g, sig, meta), key null for pairs."""
 
     def run(t: pa.Table) -> pa.Table:
-        key, f, sig, role, mask = (t.column(c).to_numpy() for c in ("key", "f", "sig", "role", "mask"))
-        sig = sig.view(np.uint32)
-        passing = (role & HOT) > 0
-        out = [(key[passing], f[passing], sig[passing], role[passing] & ~HOT, mask[passing])]
-        marks = np.unique(key[role == 0])
-        live = ~passing & (role > 0)
-        key, f, sig, role, mask = key[live], f[live], sig[live], role[live], mask[live]
+        key, f, sig, meta = (t.column(c).to_numpy() for c in ("key", "f", "sig", "meta"))
+        meta = meta & 0xFFFFFFFF
+        passing = (meta & HOT) > 0
+        out = [(key[passing], f[passing], sig[passing], meta[passing] & ~HOT)]
+        marks = np.unique(key[meta == 0])
+        live = ~passing & (meta > 0)
+        key, f, sig, meta = key[live], f[live], sig[live], meta[live]
         o = np.lexsort((f, key))
-        key, f, sig, role, mask = key[o], f[o], sig[o], role[o], mask[o]
+        key, f, sig, meta = key[o], f[o], sig[o], meta[o]
         pf, pg = np.zeros(0, np.int64), np.zeros(0, np.int64)
         if len(key):
             run_at = np.r_[0, np.flatnonzero(key[1:] != key[:-1]) + 1]
             size = np.diff(np.r_[run_at, len(key)])
-            right, left = np.add.reduceat((role & RIGHT) > 0, run_at).astype(int), np.add.reduceat((role & LEFT) > 0, run_at).astype(int)
+            right, left = np.add.reduceat((meta & RIGHT) > 0, run_at, dtype=np.int64), np.add.reduceat((meta & LEFT) > 0, run_at, dtype=np.int64)
             full = (((right > block) | (left > block * LEFT_TIMES)) & (right > 0) & (left > 0) & ((key[run_at] & 1) == OPEN)) | np.isin(key[run_at], marks)
             crowded = np.repeat(full, size)
-            out.append((key[crowded], f[crowded], sig[crowded], role[crowded], mask[crowded]))
+            out.append((key[crowded], f[crowded], sig[crowded], meta[crowded]))
             use = ~crowded & np.repeat((right > 0) & (left > 0) & (size > 1), size)
-            key, f, sig, role = key[use], f[use], sig[use], role[use]
-            li, ri = np.flatnonzero(role & LEFT), np.flatnonzero(role & RIGHT)
+            key, f, sig, meta = key[use], f[use], sig[use], meta[use]
+            li, ri = np.flatnonzero(meta & LEFT), np.flatnonzero(meta & RIGHT)
             parts = []
-            for s in range(0, len(li), 1 << 15):
-                mine = li[s : s + (1 << 15)]
+            for s in range(0, len(li), 1 << 13):
+                mine = li[s : s + (1 << 13)]
                 a, b = np.searchsorted(key[ri], key[mine]), np.searchsorted(key[ri], key[mine], "right")
                 n = b - a
                 x = np.repeat(mine, n)
                 y = ri[np.repeat(a, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
-                ok = f[x] != f[y]
-                ok[ok] = ~_apart(sig[x[ok]], sig[y[ok]])
-                x, y = f[x[ok]], f[y[ok]]
-                parts.append((np.minimum(x, y), np.maximum(x, y)) if symmetric else (x, y))
+                ok = f[x] < f[y] if symmetric else f[x] != f[y]
+                x, y = x[ok], y[ok]
+                ok = ~_apart(sig[x], meta[x], sig[y], meta[y])
+                parts.append((f[x[ok]], f[y[ok]]))
+                if symmetric:  # sided keys: the other way round
+                    x, y = np.repeat(mine, n), ri[np.repeat(a, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+                    ok = (f[x] > f[y]) & ((meta[x] & meta[y] & 3) != 3)
+                    x, y = x[ok], y[ok]
+                    ok = ~_apart(sig[x], meta[x], sig[y], meta[y])
+                    parts.append((f[y[ok]], f[x[ok]]))
             if parts:
                 pf, pg = (np.concatenate(c) for c in zip(*parts, strict=True))
                 o = np.lexsort((pg, pf))
                 pf, pg = pf[o], pg[o]
                 new = np.r_[True, (pf[1:] != pf[:-1]) | (pg[1:] != pg[:-1])] if len(pf) else np.zeros(0, bool)
                 pf, pg = pf[new], pg[new]
-        ck, cf, cs, cr, cm = (np.concatenate(c) for c in zip(*out, strict=True))
+        ck, cf, cs, cm = (np.concatenate(c) for c in zip(*out, strict=True))
+        blank = lambda n: pa.nulls(n, pa.int64())
+        both = lambda a, b: pa.concat_arrays([a if isinstance(a, pa.Array) else pa.array(a, pa.int64()), b if isinstance(b, pa.Array) else pa.array(b, pa.int64())])
         none = len(pf)
-        blank = lambda n, k: pa.nulls(n, k)
-        return pa.table({
-            "key": pa.concat_arrays([blank(none, pa.int64()), pa.array(ck, pa.int64())]), "f": pa.concat_arrays([pa.array(pf, pa.int64()), pa.array(cf, pa.int64())]), "g": pa.concat_arrays([pa.array(pg, pa.int64()), blank(len(ck), pa.int64())]),
-            "sig": pa.concat_arrays([blank(none, pa.int32()), pa.array(cs.astype(np.uint32).view(np.int32))]), "role": pa.concat_arrays([blank(none, pa.int32()), pa.array(cr.astype(np.int32))]), "mask": pa.concat_arrays([blank(none, pa.int32()), pa.array(cm.astype(np.int32))]),
-        })
+        return pa.table({"key": both(blank(none), ck), "f": both(pf, cf), "g": both(pg, blank(len(ck))), "sig": both(blank(none), cs), "meta": both(blank(none), cm)})
 
     return run
 
 
-_MET = "key bigint, f bigint, g bigint, sig int, role int, mask int"
+_MET = "key bigint, f bigint, g bigint, sig bigint, meta bigint"
 
 
 def near_bags(forms: DataFrame, symmetric: bool, block: int = BLOCK) -> DataFrame:
@@ -312,30 +356,29 @@ def near_bags(forms: DataFrame, symmetric: bool, block: int = BLOCK) -> DataFram
         for r in batches:
             t = _table(r.column(1), r.column(2))
             rows, keys = _first_level(t)
-            yield _spread(keys, r.column(0).to_numpy()[rows], t["sig"][rows].astype(np.int64), r.column(3).to_numpy()[rows].astype(np.int64), np.zeros(len(rows), np.int64), buckets, block)
+            yield _spread(keys, r.column(0).to_numpy()[rows], t["sig"][rows], (t["meta"] | r.column(3).to_numpy())[rows], buckets, block)
 
     def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r in batches:
-            t = _table(r.column(5), r.column(6))
-            rows, keys, mask = _second_level(t, r.column(1).to_numpy().view(np.uint64))
-            yield _spread(keys, r.column(0).to_numpy()[rows], t["sig"][rows].astype(np.int64), r.column(3).to_numpy()[rows].astype(np.int64), mask, buckets, block)
+            rows, keys, mask = _second_level(_table(r.column(4), r.column(5)), r.column(1).to_numpy().view(np.uint64))
+            yield _spread(keys, *(r.column(i).to_numpy()[rows] for i in (0, 2)), r.column(3).to_numpy()[rows] | mask << 3, buckets, block)
 
     def further(last: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for r in batches:
-                got = [x for a in zip(*(r.column(i).to_pylist() for i in range(6)), strict=True) for x in _finer(*a, last)]
-                yield _spread(*(np.array(c, np.int64) for c in zip(*got, strict=True)), buckets, block) if got else _spread(*(np.zeros(0, np.int64),) * 5, buckets, block)
+                got = [x for a in zip(*(r.column(i).to_pylist() for i in range(5)), strict=True) for x in _finer(*a, last)]
+                yield _spread(*(np.array(c, np.int64) for c in (zip(*got, strict=True) if got else [()] * 4)), buckets, block)
 
         return run
 
-    meet = lambda keyed, level: written(keyed.groupBy("bucket").applyInArrow(_meet(block, symmetric), _MET), f"bags-met-{level}")
+    meet = lambda keyed, level: written(keyed.groupBy(F.shiftright("meta", 32).alias("bucket")).applyInArrow(_meet(block, symmetric), _MET), f"bags-met-{level}")
     met = meet(forms.mapInArrow(first, _ROWS), 1)
     pairs = [met.where("key IS NULL").select("f", "g")]
     for level in range(2, LEVELS + 1):
-        crowded = met.where("key IS NOT NULL").select("f", "key", "sig", "role", "mask")
+        crowded = met.where("key IS NOT NULL").select("f", "key", "sig", "meta")
         if not crowded.limit(1).count():
             break
-        rows = crowded.join(forms.select("f", "form", "version"), "f").select("f", "key", "sig", "role", "mask", "form", "version")
+        rows = crowded.join(forms.select("f", "form", "version"), "f").select("f", "key", "sig", "meta", "form", "version")
         met = meet(rows.mapInArrow(second if level == 2 else further(level == LEVELS), _ROWS), level)
         pairs.append(met.where("key IS NULL").select("f", "g"))
     out = pairs[0]
