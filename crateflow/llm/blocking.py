@@ -12,14 +12,14 @@ the channel's limit that share a key share such a finer one: with two or more wo
 at most, as two edits each would exceed the limit, and a last word is met up to as many edits as the channel allows. Words
 run together and misspelt besides are the one exception.
 
-Very frequent keys are found in each batch before the shuffle and never meet in one task. Pairs whose first letters rule
-the channel out are left out where they meet; ``_apart`` states why none is lost.
+Very frequent keys are found in each batch before the shuffle and never meet in one task. Pairs that the looks of their words
+rule out are left out where they meet, all at once in NumPy; the channel weighs the others on the spot.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 from itertools import combinations
 
 import numpy as np
@@ -28,11 +28,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crateflow.llm.recordings import LIGHT, _mark, is_near_article, is_near_light
+from crateflow.llm.recordings import LIGHT, LIMIT, _mark, channel_cost, is_near_article, is_near_light
 from crateflow.session import plain_unions, written
 
 #: Right bags that may share a key before finer keys are used; so many times as many left ones.
-BLOCK, LEFT_TIMES = 256, 16
+BLOCK, LEFT_TIMES = 64, 32
 BUCKET_FORMS = 10_000
 #: Words that the keys of a bag are made of: 5 differing ones and 4 shared ones.
 KEY_WORDS = 9
@@ -41,18 +41,26 @@ LEVELS = 8
 LEFT, RIGHT, HOT = 1, 2, 4
 #: Kinds of keys in the lowest bits: may be refined, or is complete.
 OPEN, CLOSED = 0, 1
-_ROWS = "key bigint, f bigint, sig bigint, meta bigint"
-#: Signature: first letters as bits, is there a word that may be light, are the words' ends told (WORDS of 12 bits each) instead.
-WORDS = 5
+_ROWS = "key bigint, form string, version string, meta bigint"
+#: Words of a bag that pairs are compared by before the channel is asked; longer bags go there at once.
+SEEN = 10
 
 
 @lru_cache(maxsize=1 << 15)
-def _traits(w: str) -> tuple[int, int, int, int, bool, bool, bool, bool]:
-    """Hashes of a word, its first letter and its letters; its ends; is it light, near light, whole, do its ends tell it apart."""
+def _traits(w: str) -> tuple[int, int, int, bool, bool, bool]:
+    """Hashes of a word, its first letter and its letters; is it light, near light, whole."""
     letters = sum(_mark("letters", c) for c in w) & ((1 << 64) - 1)
-    end = lambda c: min(max(ord(c) - 96, 0), 27) if "a" <= c <= "z" else 27
-    ends = end(w[0]) << 7 | end(w[-1]) << 2 | _mark("word", w) & 3
-    return _mark("word", w), _mark("letter", w[0]), letters, ends, w in LIGHT and len(w) > 1, is_near_light(w), len(w) > 1 and w[-1] != "*", len(w) != 2 and w[-1] != "*"
+    return _mark("word", w), _mark("letter", w[0]), letters, w in LIGHT and len(w) > 1, is_near_light(w), len(w) > 1 and w[-1] != "*"
+
+
+@lru_cache(maxsize=1 << 15)
+def _looks(w: str) -> tuple[int, int, int, int, int, int]:
+    """First and last letter, beginning and length of a word, its letters as bits, and kinds: 1 light, 2 may be lost, 4 cut off."""
+    bits = 0
+    for c in w.replace("ph", "f"):
+        bits |= 1 << (ord(c) - 97 if "a" <= c <= "z" else 26 + ord(c) % 6)
+    kinds = (w in LIGHT) | 2 * (w in LIGHT or len(w) == 1 or w[-1] == "*" or is_near_article(w)) | 4 * (w[-1] == "*")
+    return ord(w[0]), ord(w[-1]), _mark("begin", w[:3]) & 0x7FFFFFFF, len(w), bits, kinds
 
 
 def _table(form: pa.Array, version: pa.Array) -> dict:
@@ -60,9 +68,9 @@ def _table(form: pa.Array, version: pa.Array) -> dict:
     lists = pc.split_pattern(form.combine_chunks() if isinstance(form, pa.ChunkedArray) else form, " ")
     flat = lists.flatten().dictionary_encode()
     code = flat.indices.to_numpy()
-    cols = list(zip(*map(_traits, flat.dictionary.to_pylist()), strict=True)) if len(flat.dictionary) else [()] * 8
-    word, first, letters, ends = (np.array(c, np.uint64)[code] for c in cols[:4])
-    light, near, whole, told = (np.array(c, bool)[code] for c in cols[4:])
+    cols = list(zip(*map(_traits, flat.dictionary.to_pylist()), strict=True)) if len(flat.dictionary) else [()] * 6
+    word, first, letters = (np.array(c, np.uint64)[code] for c in cols[:3])
+    light, near, whole = (np.array(c, bool)[code] for c in cols[3:])
     sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
     row = np.repeat(np.arange(len(sizes)), sizes)
     count = lambda m: np.bincount(row[m], minlength=len(sizes))
@@ -70,18 +78,10 @@ def _table(form: pa.Array, version: pa.Array) -> dict:
     sure = np.where(seen, first, np.uint64(0))
     marks = [_mark("version", v) for v in version.dictionary_encode().dictionary.to_pylist()] if len(version) else []
     base = np.array(marks, np.uint64)[version.dictionary_encode().indices.to_numpy()] if len(version) else np.zeros(0, np.uint64)
-    # of words that are surely no light ones: first letters, or both ends of each if these are few
-    n, may = count(seen), count(near & ~light) > 0
-    sig = np.zeros(len(sizes), np.uint64)
-    np.bitwise_or.at(sig, row[seen], np.uint64(1) << (ends[seen] >> np.uint64(7)))
-    by_words = (n <= WORDS) & ~may & (count(seen & ~told) == 0)
-    at = np.flatnonzero(seen & by_words[row])
-    start = np.r_[0, np.flatnonzero(row[at][1:] != row[at][:-1]) + 1] if len(at) else np.zeros(0, np.int64)
-    place = (np.arange(len(at)) - np.repeat(start, np.diff(np.r_[start, len(at)]))).astype(np.uint64)
-    sig[by_words] = 0
-    np.bitwise_or.at(sig, row[at], ends[at] << (place * np.uint64(12)))
-    meta = np.minimum(n, 15) << 12 | may.astype(np.int64) << 16 | by_words.astype(np.int64) << 17
-    return {"row": row, "word": word, "first": first, "sure": sure, "letters": letters, "whole": whole, "full": ~light, "few": count(seen) <= 3, "base": base, "sig": sig.view(np.int64), "meta": meta, "n": len(sizes)}
+    own = base.copy()
+    with np.errstate(over="ignore"):
+        np.add.at(own, row, word)
+    return {"row": row, "word": word, "first": first, "sure": sure, "letters": letters, "whole": whole, "full": ~light, "few": count(seen) <= 3, "base": base, "own": own, "n": len(sizes)}
 
 
 def _key_words(t: dict) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -200,188 +200,199 @@ def _key_order(tokens: list[str]) -> list[str]:
     return sorted((w for w in tokens if w not in LIGHT or len(w) == 1), key=lambda w: _mark("word", w))[:KEY_WORDS]
 
 
-def _finer(f: int, key: int, sig: int, meta: int, form: str, last: bool) -> Iterator[tuple[int, int, int, int]]:
-    """(key, f, sig, meta) in the place of a crowded key of level 2 or more."""
+def _finer(key: int, form: str, version: str, meta: int, last: bool) -> Iterator[tuple[int, str, str, int]]:
+    """Rows in the place of a crowded key of level 2 or more."""
     ws = _key_order(form.split(" "))
     mask, role = meta >> 3 & 511, meta & 3
     left = [i for i in range(len(ws)) if not mask >> i & 1]
     top = (1 << 64) - 2
     signed = lambda x: x - (1 << 64) if x >= 1 << 63 else x
     if last or all(len(ws[i]) == 1 or ws[i][-1] == "*" or is_near_article(ws[i]) for i in left):  # what is left may be lost
-        yield signed(_mark("rest", str(key)) & top | CLOSED), f, sig, meta
+        yield signed(_mark("rest", str(key)) & top | CLOSED), form, version, meta
     if last or not left:
         return
     letters = sum(_mark("letters", c) for i in left for c in ws[i])
-    yield signed((_mark("run", str(key)) + letters) & top | CLOSED), f, sig, meta
+    yield signed((_mark("run", str(key)) + letters) & top | CLOSED), form, version, meta
     seen = set()
     for i in left:
         for x, side in _typed(ws[i], len(left) == 1):
             if (side == 0 or role & side) and (x, side) not in seen:
                 seen.add((x, side))
-                yield signed(_mark(str(key), x) & top), f, sig, (meta & ~3) | (role & side if side else role) | 1 << (i + 3)
+                yield signed(_mark(str(key), x) & top), form, version, (meta & ~3) | (role & side if side else role) | 1 << (i + 3)
 
 
-def _spread(key: np.ndarray, f: np.ndarray, sig: np.ndarray, meta: np.ndarray, buckets: int, block: int) -> pa.RecordBatch:
+def _spread(key: np.ndarray, form: pa.Array, version: pa.Array, own: np.ndarray, meta: np.ndarray, buckets: int, block: int) -> pa.RecordBatch:
     """Rows with their bucket in the upper half of meta.
 
     Keys crowded in this batch alone go, by bag, to buckets that pass them on; a mark without a role tells the key's bucket.
     """
     if len(key):
-        o = np.lexsort((f, key))
-        key, f, sig, meta = key[o], f[o], sig[o], meta[o]
-        new = np.r_[True, (key[1:] != key[:-1]) | (f[1:] != f[:-1]) | (meta[1:] != meta[:-1])]
-        key, f, sig, meta = key[new], f[new], sig[new], meta[new]
+        o = np.lexsort((own, key))
+        key, own, meta = key[o], own[o], meta[o]
+        new = np.r_[True, (key[1:] != key[:-1]) | (own[1:] != own[:-1]) | (meta[1:] != meta[:-1])]
+        key, own, meta, o = key[new], own[new], meta[new], o[new]
+        form, version = form.take(pa.array(o)), version.take(pa.array(o))
         run = np.r_[0, np.flatnonzero(key[1:] != key[:-1]) + 1]
         right, left = np.add.reduceat((meta & RIGHT) > 0, run, dtype=np.int64), np.add.reduceat((meta & LEFT) > 0, run, dtype=np.int64)
         hot = ((right > block) | (left > block * LEFT_TIMES)) & ((key[run] & 1) == OPEN)
         is_hot = np.repeat(hot, np.diff(np.r_[run, len(key)]))
         marks = key[run][hot]
-        meta = np.where(is_hot, meta | HOT, meta) | np.where(is_hot, f % buckets, key % buckets) << 32
-        zero = np.zeros(len(marks), np.int64)
-        key, f, sig, meta = np.concatenate([key, marks]), np.concatenate([f, zero]), np.concatenate([sig, zero]), np.concatenate([meta, marks % buckets << 32])
-    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (key, f, sig, meta)], ["key", "f", "sig", "meta"])
-
-
-def _bits(x: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(x.astype(np.uint32)).astype(int)
-
-
-def _ends(sig: np.ndarray) -> np.ndarray:
-    return (sig.view(np.uint64)[:, None] >> (np.arange(WORDS, dtype=np.uint64) * np.uint64(12))) & np.uint64(4095)
-
-
-def _letters(sig: np.ndarray, meta: np.ndarray) -> np.ndarray:
-    """First letters as bits."""
-    out = sig.copy()
-    w = np.flatnonzero(meta >> 17 & 1)
-    e = _ends(sig[w]) >> np.uint64(7)
-    out[w] = np.bitwise_or.reduce(np.where(e > 0, np.uint64(1) << e, np.uint64(0)), axis=1).view(np.int64)
-    return out
-
-
-def _apart(sa: np.ndarray, ma: np.ndarray, sb: np.ndarray, mb: np.ndarray) -> np.ndarray:
-    """Pairs that the channel rules out by what their signatures tell.
-
-    With equally many words and none that may be light, at most one first letter may differ, so at most two bits do; a word
-    that is not shared needs a partner of the same first letter, all but one, or of the same last one. Else the limit leaves,
-    besides a lost or joined word for each word of difference, room for two typos in first letters.
-    """
-    na, nb = ma >> 12 & 15, mb >> 12 & 15
-    even = (na == nb) & ((ma | mb) >> 16 & 1 == 0)
-    out = (_bits(_letters(sa, ma) ^ _letters(sb, mb)) > np.where(even, 2, np.abs(na - nb) + 4)) & (np.minimum(na, nb) < 15)
-    at = np.flatnonzero(~out & even & ((ma & mb) >> 17 & 1 == 1))
-    for s in range(0, len(at), 1 << 16):
-        w = at[s : s + (1 << 16)]
-        a, b = _ends(sa[w]), _ends(sb[w])
-        same = (a[:, :, None] == b[:, None, :]) & (a > 0)[:, :, None]
-        first = (a >> np.uint64(7))[:, :, None] == (b >> np.uint64(7))[:, None, :]
-        last = (a >> np.uint64(2) & np.uint64(31))[:, :, None] == (b >> np.uint64(2) & np.uint64(31))[:, None, :]
-        bad = np.zeros(len(w), bool)
-        for axis, words in ((2, a > 0), (1, b > 0)):
-            lone = words & ~same.any(axis)
-            bad |= (lone & ~(first | last).any(axis)).any(1) | ((lone & ~first.any(axis)).sum(1) > 1)
-        out[w] = bad
-    return out
+        bucket = np.where(is_hot, (own % np.uint64(buckets)).astype(np.int64), key % buckets)
+        meta = np.where(is_hot, meta | HOT, meta) | bucket << 32
+        key, meta = np.concatenate([key, marks]), np.concatenate([meta, marks % buckets << 32])
+        form, version = (pa.concat_arrays([x, pa.array([""] * len(marks), pa.string())]) for x in (form, version))
+    return pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), form, version, pa.array(meta, pa.int64())], ["key", "form", "version", "meta"])
+
+
+class _Words:
+    """Looks of the words of distinct bags, SEEN words a bag at most, for comparing many pairs at once."""
+
+    def __init__(self, forms: list[str]):
+        self.split = [f.split(" ") for f in forms]
+        ids: dict[str, int] = {}
+        n = min(SEEN, max((len(w) for w in self.split), default=1))
+        self.id = np.full((len(forms), n), -1, np.int32)
+        for i, ws in enumerate(self.split):
+            for k, w in enumerate(ws[:n]):
+                self.id[i, k] = ids.setdefault(w, len(ids))
+        self.long = np.array([len(w) > n for w in self.split], bool)
+        looks = np.array([_looks(w) for w in ids] or [(0,) * 6], np.int64)
+        self.first, self.last, self.begin, self.size, self.bits, self.kinds = (looks[:, k] for k in range(6))
+
+    def apart(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Pairs that the channel surely rules out: a word that can't be lost has no partner, and no words are run together."""
+        x, y = self.id[a], self.id[b]
+        same = (x[:, :, None] == y[:, None, :]) & (x >= 0)[:, :, None]
+        lx, ly = (x >= 0) & ~same.any(2), (y >= 0) & ~same.any(1)
+        out = np.ones(len(a), bool)
+        f = lambda t, at, m: np.where(m, t[at], 0)
+        heavy = lambda at, m: m & (self.kinds[at] & 1 == 0)
+        hx, hy = heavy(x, lx), heavy(y, ly)
+        # run together: about as many letters, about the same ones
+        letters = lambda at, m: np.bitwise_or.reduce(f(self.bits, at, m), axis=1)
+        sizes = np.abs(f(self.size, x, hx).sum(1) - f(self.size, y, hy).sum(1))
+        joined = (hx.sum(1) != hy.sum(1)) & (sizes <= 4) & (np.bitwise_count(letters(x, hx) ^ letters(y, hy)) <= 6)
+        i, j = x[:, :, None], y[:, None, :]
+        size_i, size_j = self.size[i], self.size[j]
+        first = self.first[i] == self.first[j]
+        cut = (self.kinds[i] | self.kinds[j]) & 4 > 0
+        small = np.minimum(size_i, size_j)
+        beginning = (self.begin[i] == self.begin[j]) & (small >= 3)
+        near = (np.abs(size_i - size_j) <= 4) & (np.bitwise_count(self.bits[i] ^ self.bits[j]) <= 6) & (first | (self.last[i] == self.last[j]) | (size_i == size_j))
+        may = ((first & ((small == 1) | cut)) | beginning | near) & lx[:, :, None] & ly[:, None, :]
+        firm = lambda at, m: m & (self.kinds[at] & 2 == 0)
+        fx, fy = firm(x, lx) & ~may.any(2), firm(y, ly) & ~may.any(1)
+        out = (fx.any(1) | fy.any(1)) & ~joined & ~self.long[a] & ~self.long[b]
+        return out
+
+
+_TYPOS = pa.list_(pa.struct([("x", pa.string()), ("y", pa.string())]))
+_MET = pa.schema([("key", pa.int64()), ("form", pa.string()), ("version", pa.string()), ("meta", pa.int64()), ("other", pa.string()), ("cost", pa.float64()), ("typos", _TYPOS)])
 
 
 def _meet(block: int, symmetric: bool):
-    """Pairs of one bucket's rows, and the members of crowded keys: (key, f, g, sig, meta), key null for pairs."""
+    """Near pairs of one bucket's rows with their costs, key null, and the members of crowded keys."""
 
     def run(t: pa.Table) -> pa.Table:
-        key, f, sig, meta = (t.column(c).to_numpy() for c in ("key", "f", "sig", "meta"))
-        meta = meta & 0xFFFFFFFF
+        t = t.combine_chunks()
+        key, meta = t.column("key").to_numpy(), t.column("meta").to_numpy() & 0xFFFFFFFF
         passing = (meta & HOT) > 0
-        out = [(key[passing], f[passing], sig[passing], meta[passing] & ~HOT)]
         marks = np.unique(key[meta == 0])
-        live = ~passing & (meta > 0)
-        key, f, sig, meta = key[live], f[live], sig[live], meta[live]
-        o = np.lexsort((f, key))
-        key, f, sig, meta = key[o], f[o], sig[o], meta[o]
-        pf, pg = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        if len(key):
-            run_at = np.r_[0, np.flatnonzero(key[1:] != key[:-1]) + 1]
-            size = np.diff(np.r_[run_at, len(key)])
-            right, left = np.add.reduceat((meta & RIGHT) > 0, run_at, dtype=np.int64), np.add.reduceat((meta & LEFT) > 0, run_at, dtype=np.int64)
-            full = (((right > block) | (left > block * LEFT_TIMES)) & (right > 0) & (left > 0) & ((key[run_at] & 1) == OPEN)) | np.isin(key[run_at], marks)
-            crowded = np.repeat(full, size)
-            out.append((key[crowded], f[crowded], sig[crowded], meta[crowded]))
-            use = ~crowded & np.repeat((right > 0) & (left > 0) & (size > 1), size)
-            key, f, sig, meta = key[use], f[use], sig[use], meta[use]
-            li, ri = np.flatnonzero(meta & LEFT), np.flatnonzero(meta & RIGHT)
-            parts = []
-            for s in range(0, len(li), 1 << 13):
-                mine = li[s : s + (1 << 13)]
-                a, b = np.searchsorted(key[ri], key[mine]), np.searchsorted(key[ri], key[mine], "right")
+        at = np.flatnonzero(~passing & (meta > 0))
+        at = at[np.argsort(key[at], kind="stable")]
+        crowded = [np.flatnonzero(passing)]
+        got: dict[tuple[int, int], tuple[float, list]] = {}
+        bags: list[tuple[str, str]] = []
+        if len(at):
+            k, m = key[at], meta[at]
+            run_at = np.r_[0, np.flatnonzero(k[1:] != k[:-1]) + 1]
+            size = np.diff(np.r_[run_at, len(k)])
+            right, left = np.add.reduceat((m & RIGHT) > 0, run_at, dtype=np.int64), np.add.reduceat((m & LEFT) > 0, run_at, dtype=np.int64)
+            full = (((right > block) | (left > block * LEFT_TIMES)) & (right > 0) & (left > 0) & ((k[run_at] & 1) == OPEN)) | np.isin(k[run_at], marks)
+            full_rows = np.repeat(full, size)
+            crowded.append(at[full_rows])
+            at = at[~full_rows & np.repeat((right > 0) & (left > 0) & (size > 1), size)]
+            k, m = key[at], meta[at]
+            rows = t.take(pa.array(at))
+            # one number for each distinct bag
+            named = pc.binary_join_element_wise(rows.column("form"), rows.column("version"), "\x1f").combine_chunks().dictionary_encode() if len(at) else None
+            code = named.indices.to_numpy() if named is not None else np.zeros(0, np.int32)
+            bags = [tuple(x.split("\x1f", 1)) for x in named.dictionary.to_pylist()] if named is not None else []
+            words = _Words([b[0] for b in bags])
+            li, ri = np.flatnonzero(m & LEFT), np.flatnonzero(m & RIGHT)
+            pairs = []
+            for s in range(0, len(li), 1 << 12):
+                mine = li[s : s + (1 << 12)]
+                a, b = np.searchsorted(k[ri], k[mine]), np.searchsorted(k[ri], k[mine], "right")
                 n = b - a
-                x = np.repeat(mine, n)
-                y = ri[np.repeat(a, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
-                ok = f[x] < f[y] if symmetric else f[x] != f[y]
-                x, y = x[ok], y[ok]
-                ok = ~_apart(sig[x], meta[x], sig[y], meta[y])
-                parts.append((f[x[ok]], f[y[ok]]))
-                if symmetric:  # sided keys: the other way round
-                    x, y = np.repeat(mine, n), ri[np.repeat(a, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
-                    ok = (f[x] > f[y]) & ((meta[x] & meta[y] & 3) != 3)
-                    x, y = x[ok], y[ok]
-                    ok = ~_apart(sig[x], meta[x], sig[y], meta[y])
-                    parts.append((f[y[ok]], f[x[ok]]))
-            if parts:
-                pf, pg = (np.concatenate(c) for c in zip(*parts, strict=True))
-                o = np.lexsort((pg, pf))
-                pf, pg = pf[o], pg[o]
-                new = np.r_[True, (pf[1:] != pf[:-1]) | (pg[1:] != pg[:-1])] if len(pf) else np.zeros(0, bool)
-                pf, pg = pf[new], pg[new]
-        ck, cf, cs, cm = (np.concatenate(c) for c in zip(*out, strict=True))
-        blank = lambda n: pa.nulls(n, pa.int64())
-        both = lambda a, b: pa.concat_arrays([a if isinstance(a, pa.Array) else pa.array(a, pa.int64()), b if isinstance(b, pa.Array) else pa.array(b, pa.int64())])
-        none = len(pf)
-        return pa.table({"key": both(blank(none), ck), "f": both(pf, cf), "g": both(pg, blank(len(ck))), "sig": both(blank(none), cs), "meta": both(blank(none), cm)})
+                x = code[np.repeat(mine, n)].astype(np.int64)
+                y = code[ri[np.repeat(a, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]].astype(np.int64)
+                if symmetric:
+                    x, y = np.minimum(x, y), np.maximum(x, y)
+                both = np.unique((x << 32 | y)[x != y])
+                x, y = both >> 32, both & 0xFFFFFFFF
+                for p in range(0, len(x), 1 << 14):
+                    ok = ~words.apart(x[p : p + (1 << 14)], y[p : p + (1 << 14)])
+                    pairs.append(both[p : p + (1 << 14)][ok])
+            for p in np.unique(np.concatenate(pairs)) if pairs else ():
+                x, y = int(p >> 32), int(p & 0xFFFFFFFF)
+                cost, typos = channel_cost(words.split[x], words.split[y])
+                if cost <= LIMIT:
+                    got[x, y] = cost, typos
+        out = t.take(pa.array(np.concatenate(crowded)))
+        more = pa.table([out.column("key"), out.column("form"), out.column("version"), pa.array(out.column("meta").to_numpy() & 0xFFFFFFFF & ~HOT), pa.nulls(len(out), pa.string()), pa.nulls(len(out), pa.float64()), pa.nulls(len(out), _TYPOS)], schema=_MET)
+        ends = [(bags[x], bags[y]) if bags[x] < bags[y] or not symmetric else (bags[y], bags[x]) for x, y in got]
+        typos = pa.array([[{"x": p, "y": q} for p, q in v[1]] for v in got.values()], _TYPOS)
+        found = pa.table([pa.nulls(len(got), pa.int64()), pa.array([a[0] for a, _ in ends], pa.string()), pa.array([a[1] for a, _ in ends], pa.string()), pa.nulls(len(got), pa.int64()), pa.array([b[0] for _, b in ends], pa.string()), pa.array([v[0] for v in got.values()], pa.float64()), typos], schema=_MET)
+        return pa.concat_tables([found, more])
 
     return run
 
 
-_MET = "key bigint, f bigint, g bigint, sig bigint, meta bigint"
-
-
 def near_bags(forms: DataFrame, symmetric: bool, block: int = BLOCK) -> DataFrame:
-    """Distinct (f, g): left bags with right bags that may be writings of one recording.
+    """(f, g, cost, typos): left bags with right bags within the channel's limit; f and g are the hashes of form and version.
 
-    ``forms`` has f (unique), form, version and role (LEFT, RIGHT or both added); if ``symmetric``, all are both and f < g.
+    ``forms`` has form, version and role (LEFT, RIGHT or both added), each bag once; if ``symmetric``, all are both and a pair
+    comes once. Rows carry the bags themselves, so pairs are weighed where they meet and only near ones leave.
     """
     plain_unions(forms.sparkSession)
-    forms = forms.select("f", "form", "version", "role")
+    forms = forms.select("form", "version", "role")
     buckets = max(48, forms.count() // BUCKET_FORMS)
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r in batches:
-            t = _table(r.column(1), r.column(2))
+            t = _table(r.column(0), r.column(1))
             rows, keys = _first_level(t)
-            yield _spread(keys, r.column(0).to_numpy()[rows], t["sig"][rows], (t["meta"] | r.column(3).to_numpy())[rows], buckets, block)
+            at = pa.array(rows)
+            yield _spread(keys, r.column(0).take(at), r.column(1).take(at), t["own"][rows], r.column(2).to_numpy().astype(np.int64)[rows], buckets, block)
 
     def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r in batches:
-            rows, keys, mask = _second_level(_table(r.column(4), r.column(5)), r.column(1).to_numpy().view(np.uint64))
-            yield _spread(keys, *(r.column(i).to_numpy()[rows] for i in (0, 2)), r.column(3).to_numpy()[rows] | mask << 3, buckets, block)
+            t = _table(r.column(1), r.column(2))
+            rows, keys, mask = _second_level(t, r.column(0).to_numpy().view(np.uint64))
+            at = pa.array(rows)
+            yield _spread(keys, r.column(1).take(at), r.column(2).take(at), t["own"][rows], r.column(3).to_numpy()[rows] | mask << 3, buckets, block)
 
     def further(last: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for r in batches:
-                got = [x for a in zip(*(r.column(i).to_pylist() for i in range(5)), strict=True) for x in _finer(*a, last)]
-                yield _spread(*(np.array(c, np.int64) for c in (zip(*got, strict=True) if got else [()] * 4)), buckets, block)
+                got = [x for a in zip(*(r.column(i).to_pylist() for i in range(4)), strict=True) for x in _finer(*a, last)]
+                key, form, version, meta = zip(*got, strict=True) if got else [()] * 4
+                form, version = pa.array(form, pa.string()), pa.array(version, pa.string())
+                yield _spread(np.array(key, np.int64), form, version, _table(form, version)["own"], np.array(meta, np.int64), buckets, block)
 
         return run
 
-    meet = lambda keyed, level: written(keyed.groupBy(F.shiftright("meta", 32).alias("bucket")).applyInArrow(_meet(block, symmetric), _MET), f"bags-met-{level}")
+    shape = "key bigint, form string, version string, meta bigint, other string, cost double, typos array<struct<x: string, y: string>>"
+    meet = lambda keyed, level: written(keyed.groupBy(F.shiftright("meta", 32).alias("bucket")).applyInArrow(_meet(block, symmetric), shape), f"bags-met-{level}")
     met = meet(forms.mapInArrow(first, _ROWS), 1)
-    pairs = [met.where("key IS NULL").select("f", "g")]
+    found = [met.where("key IS NULL")]
     for level in range(2, LEVELS + 1):
-        crowded = met.where("key IS NOT NULL").select("f", "key", "sig", "meta")
+        crowded = met.where("key IS NOT NULL").select("key", "form", "version", "meta")
         if not crowded.limit(1).count():
             break
-        rows = crowded.join(forms.select("f", "form", "version"), "f").select("f", "key", "sig", "meta", "form", "version")
-        met = meet(rows.mapInArrow(second if level == 2 else further(level == LEVELS), _ROWS), level)
-        pairs.append(met.where("key IS NULL").select("f", "g"))
-    out = pairs[0]
-    for p in pairs[1:]:
-        out = out.unionByName(p)
-    return out.distinct()
+        met = meet(crowded.mapInArrow(second if level == 2 else further(level == LEVELS), _ROWS), level)
+        found.append(met.where("key IS NULL"))
+    out = reduce(DataFrame.unionByName, found)
+    ends = out.select(F.xxhash64("form", "version").alias("f"), F.xxhash64("other", "version").alias("g"), "cost", "typos")
+    return ends.groupBy("f", "g").agg(F.min(F.struct("cost", "typos")).alias("m")).select("f", "g", "m.cost", "m.typos")

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from crateflow.llm.blocking import BLOCK, LEFT, RIGHT, near_bags
-from crateflow.llm.recordings import ARTICLES, LIMIT, bag, channel_cost, full_forms, parse, words
+from crateflow.llm.recordings import ARTICLES, bag, full_forms, parse, words
 from crateflow.session import plain_unions, written
 
 #: Seconds of a band of durations, more than the largest gap that speaks for a match.
@@ -105,18 +105,10 @@ def _track_rows(batches: Iterator[pa.RecordBatch], nicks: dict[str, str]) -> Ite
         yield pa.RecordBatch.from_arrays([r.column(0), r.column(3), r.column(4), pa.array(forms, pa.string()), pa.array(versions, pa.string()), pa.array(names, pa.string()), pa.array(titles, pa.string())], ["track_key", "short", "long", "form", "version", "name", "alone"])
 
 
-def _weighed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for r in batches:
-        cost = [channel_cost(a.split(" "), b.split(" "))[0] for a, b in zip(r.column(2).to_pylist(), r.column(3).to_pylist(), strict=True)]
-        ok = pa.array([i for i, c in enumerate(cost) if c <= LIMIT], pa.int64())
-        yield pa.RecordBatch.from_arrays([r.column(0).take(ok), r.column(1).take(ok), pa.array([c for c in cost if c <= LIMIT], pa.float64())], ["f", "g", "cost"])
-
-
 def _near_forms(forms: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(f, g, cost): clip forms with library forms within the channel limit; ``forms`` has f, form, version and role."""
-    text = near_bags(forms, False, block).join(forms.select("f", "form"), "f").join(forms.select(F.col("f").alias("g"), F.col("form").alias("lib_form")), "g").select("f", "g", "form", "lib_form")
-    near = text.mapInArrow(_weighed, "f bigint, g bigint, cost double")
-    return near.unionByName(forms.where(F.col("role") == LEFT + RIGHT).select("f", F.col("f").alias("g"), F.lit(0.0).alias("cost")))
+    """(f, g, cost): clip forms with library forms within the channel limit, equal ones included; ``forms`` has f, form, version and role."""
+    same = forms.where(F.col("role") == LEFT + RIGHT).select("f", F.col("f").alias("g"), F.lit(0.0).alias("cost"))
+    return near_bags(forms, False, block).select("f", "g", "cost").unionByName(same)
 
 
 def candidates(clips: DataFrame, tracks: DataFrame, nickname: DataFrame, block: int = BLOCK) -> DataFrame:

@@ -25,8 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crateflow.llm.blocking import BLOCK, LEFT, RIGHT, near_bags
-from crateflow.llm.recordings import bag, channel_cost, full_forms, parse
-from crateflow.llm.recordings import LIMIT as COST_LIMIT
+from crateflow.llm.recordings import bag, full_forms, parse
 from crateflow.session import written
 
 #: A word seen in this many writings is a word of its own, unless the other one is this many times as frequent.
@@ -69,27 +68,9 @@ def writings(requests: DataFrame, nickname: DataFrame, key: str, artist: str, ti
     return rows.mapInArrow(read, "id bigint, form string, version string")
 
 
-def candidate_pairs(forms: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Distinct (f, g), f < g, of forms that may be writings of one recording."""
-    return near_bags(forms.withColumn("role", F.lit(LEFT + RIGHT)), True, block)
-
-
-def _costs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for r in batches:
-        names = r.schema.names
-        at = {n: r.column(i) for i, n in enumerate(names)}
-        got = [channel_cost(a.split(" "), b.split(" ")) for a, b in zip(at["form_f"].to_pylist(), at["form_g"].to_pylist(), strict=True)]
-        ok = [i for i, (c, _) in enumerate(got) if c <= COST_LIMIT]
-        take = pa.array(ok, pa.int64())
-        typos = pa.array([[{"x": x, "y": y} for x, y in got[i][1]] for i in ok], pa.list_(pa.struct([("x", pa.string()), ("y", pa.string())])))
-        yield pa.RecordBatch.from_arrays([at["f"].take(take), at["g"].take(take), pa.array([got[i][0] for i in ok], pa.float64()), typos], ["f", "g", "cost", "typos"])
-
-
-def weighed_pairs(forms: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(f, g, cost) of pairs within the limit; a typo between two common words rules a pair out."""
-    text = forms.select("f", "form")
-    both = pairs.join(text.withColumnRenamed("form", "form_f"), "f").join(text.select(F.col("f").alias("g"), F.col("form").alias("form_g")), "g").select("f", "g", "form_f", "form_g")
-    near = written(both.mapInArrow(_costs, "f bigint, g bigint, cost double, typos array<struct<x: string, y: string>>"), "variant-pairs")
+def weighed_pairs(forms: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(f, g, cost) of forms that may be writings of one recording; a typo between two common words rules a pair out."""
+    near = written(near_bags(forms.withColumn("role", F.lit(LEFT + RIGHT)), True, block), "variant-pairs")
     count = forms.select(F.explode(F.split("form", " ")).alias("w")).groupBy("w").agg(F.count("*").alias("n")).where(F.col("n") >= KNOWN)
     typed = near.select("f", "g", F.explode("typos").alias("t")).select("f", "g", "t.x", "t.y")
     nx, ny = count.select(F.col("w").alias("x"), F.col("n").alias("nx")), count.select(F.col("w").alias("y"), F.col("n").alias("ny"))
@@ -125,7 +106,7 @@ def linked(requests: DataFrame, nickname: DataFrame, key: str = "request_id", ar
     """(id, form, version, root): requests with equal root mean the same recording."""
     rows = written(writings(requests, nickname, key, artist, title), "variant-rows")
     forms = written(rows.groupBy("form", "version").agg(F.count("*").alias("n")).select(F.xxhash64("form", "version").alias("f"), "form", "version", "n"), "variant-forms")
-    near = weighed_pairs(forms, candidate_pairs(forms))
+    near = weighed_pairs(forms)
     roots = attach(forms, near)
     return rows.withColumn("f", F.xxhash64("form", "version")).join(roots, "f").select("id", "form", "version", "root")
 

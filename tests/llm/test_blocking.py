@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from crateflow.llm.blocking import LEFT, RIGHT, near_bags
 from crateflow.llm.linkage import _near_forms
 from crateflow.llm.recordings import LIMIT, channel_cost
-from crateflow.llm.variants import attach, candidate_pairs, weighed_pairs
+from crateflow.llm.variants import attach, weighed_pairs
 
 WORDS = "amber birch cedar dusk fjord grove harbour island jacket kettle lantern meadow".split()
 LIB = [" ".join(sorted(["ann", "bell", a, b])) for a in WORDS for b in WORDS if a < b]
@@ -93,8 +93,8 @@ def test_variants_side(spark):
     name = {r.f: r.form for r in df.collect()}
     want = {tuple(sorted((f, f.replace("bell", "bel")))) for f in LIB[::20]}
     for block in (2, 10_000):
-        assert want <= {tuple(sorted((name[r.f], name[r.g]))) for r in candidate_pairs(df, block).collect()}
-    roots = {name[r.f]: name[r.root] for r in attach(df, weighed_pairs(df, candidate_pairs(df))).collect()}
+        assert want <= {tuple(sorted((name[r.f], name[r.g]))) for r in weighed_pairs(df, block).collect()}
+    roots = {name[r.f]: name[r.root] for r in attach(df, weighed_pairs(df)).collect()}
     assert all(roots[f.replace("bell", "bel")] == f for f in LIB[::20])
 
 
