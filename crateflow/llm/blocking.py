@@ -1,16 +1,16 @@
 """Candidate pairs of bags of words: every two bags that the channel model may take as writings of one recording.
 
 Level 1: a bag's keys are its pairs of whole words, for bags of three words or fewer also one whole word with the first
-letters of the others (of those that can't be mistyped light words), and all its letters (which stay the same if words are run together). A key is a sum of hashes, so a
-batch's keys are made by NumPy at once. Bags that differ in at most five words share at least four of their nine words of
-smallest hash (prefix filtering), so longer bags need no more than these nine.
+letters of the others (of those that can't be mistyped light words), and all its letters (which stay the same if words are
+run together). A key is a sum of hashes, so a batch's keys are made by NumPy at once. Bags that differ in at most five words
+share at least four of their nine words of smallest hash (prefix filtering), so longer bags need no more than these nine.
 
-A key under which more than ``block`` right bags stand is crowded and replaced by finer ones: first the pair with the first
-letters of the others, of which one may be left out, and the pair with a third word; then, again and again, the key with
-what one more word may be typed as (letters left out, an initial, a short form, all remaining letters). Any two bags within
-the channel's limit that share a key share such a finer one: with two or more words left one of them differs by one edit
-at most, as two edits each would exceed the limit, and a last word is met up to as many edits as the channel allows. Words
-run together and misspelt besides are the one exception.
+A key under which more than ``block`` right bags stand is crowded and replaced by finer ones, again and again: the key with
+one more whole word, or with what one more word may be typed as (letters left out, its beginning, its first letter for an
+initial, all remaining letters); under the latter only bags meet whose words differ there. Any two bags within the channel's
+limit that share a key share a finer one: with two or more words left one of them differs by one edit at most, as two edits
+each would exceed the limit, and a last word is met up to as many edits as the channel allows. Words run together and
+misspelt besides, under a crowded key, are the one exception.
 
 Very frequent keys are found in each batch before the shuffle and never meet in one task. Pairs that the looks of their words
 rule out are left out where they meet, all at once in NumPy; the channel weighs the others on the spot.
@@ -32,7 +32,9 @@ from crateflow.llm.recordings import LIGHT, LIMIT, _mark, channel_cost, is_near_
 from crateflow.session import plain_unions, written
 
 #: Right bags that may share a key before finer keys are used; so many times as many left ones.
-BLOCK, LEFT_TIMES = 64, 32
+BLOCK, LEFT_TIMES = 128, 32
+#: So many times as many where only bags with different words meet; numbers that tell such words apart, in bits 12 to 31 of meta.
+TYPED_TIMES, TYPED = 64, (1 << 20) - 2
 BUCKET_FORMS = 10_000
 #: Words that the keys of a bag are made of: 5 differing ones and 4 shared ones.
 KEY_WORDS = 9
@@ -50,7 +52,7 @@ SEEN = 10
 def _traits(w: str) -> tuple[int, int, int, bool, bool, bool]:
     """Hashes of a word, its first letter and its letters; is it light, near light, whole."""
     letters = sum(_mark("letters", c) for c in w) & ((1 << 64) - 1)
-    return _mark("word", w), _mark("letter", w[0]), letters, w in LIGHT and len(w) > 1, is_near_light(w), len(w) > 1 and w[-1] != "*"
+    return _mark("word", w) & ~1, _mark("letter", w[0]), letters, w in LIGHT and len(w) > 1, is_near_light(w), len(w) > 1 and w[-1] != "*"
 
 
 @lru_cache(maxsize=1 << 15)
@@ -103,76 +105,36 @@ def _kind(keys: np.ndarray, kind: int) -> np.ndarray:
     return (keys & ~np.uint64(1)) | np.uint64(kind)
 
 
-_PAIR, _SINGLE, _ALL, _MORE = (np.uint64(_mark("kind", k)) for k in ("pair", "single", "letters", "more"))
+_PAIR, _SINGLE, _ALL = (np.uint64(_mark("kind", k)) for k in ("pair", "single", "letters"))
 
 
-def _first_level(t: dict) -> tuple[np.ndarray, np.ndarray]:
-    """(row, key) of a batch."""
-    rows_out, keys_out = [], []
+def _first_level(t: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, key, mask) of a batch; the mask says which key words, by hash, stand in the key."""
+    rows_out, keys_out, masks_out = [], [], []
 
-    def add(rows: np.ndarray, keys: np.ndarray, ok: np.ndarray | None, kind: int) -> None:
-        keys = _kind(keys, kind)
-        rows_out.append(rows if ok is None else rows[ok])
-        keys_out.append(keys if ok is None else keys[ok])
+    def add(rows: np.ndarray, keys: np.ndarray, ok: np.ndarray, kind: int, mask: int) -> None:
+        rows_out.append(rows[ok])
+        keys_out.append(_kind(keys, kind)[ok])
+        masks_out.append(np.full(len(rows_out[-1]), mask))
 
     with np.errstate(over="ignore"):
         for rows, at in _key_words(t):
             k = at.shape[1]
             word, first, whole, base = t["word"][at], t["sure"][at], t["whole"][at], t["base"][rows]
             for i, j in combinations(range(k), 2):
-                add(rows, base + _PAIR + word[:, i] + word[:, j], whole[:, i] & whole[:, j], OPEN)
+                add(rows, base + _PAIR + word[:, i] + word[:, j], whole[:, i] & whole[:, j], OPEN, 1 << i | 1 << j)
             few = t["few"][rows]
             if few.any():
                 rest = base + _SINGLE + first.sum(1)
                 for i in range(k):
-                    add(rows, rest - first[:, i] + word[:, i], whole[:, i] & few, OPEN)
+                    add(rows, rest - first[:, i] + word[:, i], whole[:, i] & few, OPEN, 1 << i)
         full = t["full"]
         total = np.zeros(t["n"], np.uint64)
         np.add.at(total, t["row"][full], t["letters"][full])
         some = np.bincount(t["row"][full], minlength=t["n"]) > 1
         cut = np.bincount(t["row"][full & ~t["whole"]], minlength=t["n"]) > 0
-        add(np.arange(t["n"]), t["base"] + _ALL + total, some & ~cut, CLOSED)
-    return np.concatenate(rows_out), np.concatenate(keys_out).view(np.int64)
-
-
-def _second_level(t: dict, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, key, mask) in the place of crowded keys of level 1; the mask says which key words, by hash, stand in the key."""
-    rows_out, keys_out, masks_out = [], [], []
-
-    def add(rows: np.ndarray, keys: np.ndarray, mask: np.ndarray) -> None:
-        rows_out.append(rows)
-        keys_out.append(_kind(keys, OPEN))
-        masks_out.append(mask)
-
-    with np.errstate(over="ignore"):
-        for rows, at in _key_words(t):
-            k = at.shape[1]
-            word, first, whole, base, want = t["word"][at], t["sure"][at], t["whole"][at], t["base"][rows], asked[rows]
-            every = t["first"][at]
-            for i, j in combinations(range(k), 2):
-                pair = base + _PAIR + word[:, i] + word[:, j]
-                hit = np.flatnonzero((_kind(pair, OPEN) == want) & whole[:, i] & whole[:, j])
-                if not len(hit):
-                    continue
-                held = np.full(len(hit), 1 << i | 1 << j)
-                others = [x for x in range(k) if x not in (i, j)]
-                # with and without words that may be light ones, as these come and go
-                for letters in (first[hit], every[hit]):
-                    rest = pair[hit] + _MORE + letters[:, others].sum(1, dtype=np.uint64)
-                    add(rows[hit], rest, held)
-                    for x in others:
-                        add(rows[hit], rest - letters[:, x], held)
-                for x in others:
-                    ok = whole[hit, x]
-                    add(rows[hit][ok], pair[hit][ok] + word[hit, x][ok], held[ok] | 1 << x)
-            few = t["few"][rows]
-            if few.any():
-                rest = base + _SINGLE + first.sum(1)
-                for i in range(k):
-                    hit = np.flatnonzero((_kind(rest - first[:, i] + word[:, i], OPEN) == want) & whole[:, i] & few)
-                    add(rows[hit], rest[hit] - first[hit, i] + word[hit, i] + _MORE, np.full(len(hit), 1 << i))
-    join = lambda x, d: np.concatenate(x) if x else np.zeros(0, d)
-    return join(rows_out, np.int64), join(keys_out, np.uint64).view(np.int64), join(masks_out, np.int64)
+        add(np.arange(t["n"]), t["base"] + _ALL + total, some & ~cut, CLOSED, 0)
+    return np.concatenate(rows_out), np.concatenate(keys_out).view(np.int64), np.concatenate(masks_out)
 
 
 def _cuts(w: str, most: int) -> set[str]:
@@ -187,38 +149,40 @@ def _typed(w: str, alone: bool) -> Iterator[tuple[str, int]]:
     """What a word may be typed as, with the side that it then stands on: 0 for both."""
     u = w.rstrip("*").replace("ph", "f")
     for x in _cuts(u, (1 if len(u) < 5 else 2 if len(u) < 10 else 3) if alone else 1):
-        yield "=" + x, 0
-    # short forms: the shorter word stands on one side, the longer one's beginnings on the other
+        yield "-" + x, 0
+    yield "^" + w[:3], 0
+    # an initial or a cut-off word stands on one side, whole words on the other
     for kind, small, large in (("<", LEFT, RIGHT), (">", RIGHT, LEFT)):
-        yield kind + w.rstrip("*"), small
-        for i in range(1, len(w) + 1):
-            yield kind + w[:i], large
+        yield kind + w[0], small if len(w) == 1 or w[-1] == "*" else large
 
 
 def _key_order(tokens: list[str]) -> list[str]:
     """The key words of a bag in the order of the masks."""
-    return sorted((w for w in tokens if w not in LIGHT or len(w) == 1), key=lambda w: _mark("word", w))[:KEY_WORDS]
+    return sorted((w for w in tokens if w not in LIGHT or len(w) == 1), key=lambda w: _mark("word", w) & ~1)[:KEY_WORDS]
 
 
 def _finer(key: int, form: str, version: str, meta: int, last: bool) -> Iterator[tuple[int, str, str, int]]:
-    """Rows in the place of a crowded key of level 2 or more."""
+    """Rows in the place of a crowded key."""
     ws = _key_order(form.split(" "))
     mask, role = meta >> 3 & 511, meta & 3
     left = [i for i in range(len(ws)) if not mask >> i & 1]
     top = (1 << 64) - 2
-    signed = lambda x: x - (1 << 64) if x >= 1 << 63 else x
+    signed = lambda x: (x & (1 << 64) - 1) - (1 << 64) if x >> 63 & 1 else x & (1 << 64) - 1
+    meta = mask << 3 | role
     if last or all(len(ws[i]) == 1 or ws[i][-1] == "*" or is_near_article(ws[i]) for i in left):  # what is left may be lost
         yield signed(_mark("rest", str(key)) & top | CLOSED), form, version, meta
     if last or not left:
         return
     letters = sum(_mark("letters", c) for i in left for c in ws[i])
     yield signed((_mark("run", str(key)) + letters) & top | CLOSED), form, version, meta
-    seen = set()
     for i in left:
-        for x, side in _typed(ws[i], len(left) == 1):
-            if (side == 0 or role & side) and (x, side) not in seen:
-                seen.add((x, side))
-                yield signed(_mark(str(key), x) & top), form, version, (meta & ~3) | (role & side if side else role) | 1 << (i + 3)
+        word, now = _mark("word", ws[i]) & ~1, meta | 1 << (i + 3)
+        if len(ws[i]) > 1 and ws[i][-1] != "*":  # a sum, so the order of words doesn't matter
+            yield signed((key & ~1) + word), form, version, now
+        mine = now | (1 + (word >> 20) % TYPED) << 12
+        for x, side in set(_typed(ws[i], len(left) == 1)):
+            if side == 0 or role & side:
+                yield signed(_mark(str(key), x) & top), form, version, (mine & ~3) | (role & side if side else role)
 
 
 def _spread(key: np.ndarray, form: pa.Array, version: pa.Array, own: np.ndarray, meta: np.ndarray, buckets: int, block: int) -> pa.RecordBatch:
@@ -234,7 +198,7 @@ def _spread(key: np.ndarray, form: pa.Array, version: pa.Array, own: np.ndarray,
         form, version = form.take(pa.array(o)), version.take(pa.array(o))
         run = np.r_[0, np.flatnonzero(key[1:] != key[:-1]) + 1]
         right, left = np.add.reduceat((meta & RIGHT) > 0, run, dtype=np.int64), np.add.reduceat((meta & LEFT) > 0, run, dtype=np.int64)
-        hot = ((right > block) | (left > block * LEFT_TIMES)) & ((key[run] & 1) == OPEN)
+        hot = _crowded(key[run], right, left, meta[run], block)
         is_hot = np.repeat(hot, np.diff(np.r_[run, len(key)]))
         marks = key[run][hot]
         bucket = np.where(is_hot, (own % np.uint64(buckets)).astype(np.int64), key % buckets)
@@ -244,6 +208,11 @@ def _spread(key: np.ndarray, form: pa.Array, version: pa.Array, own: np.ndarray,
     return pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), form, version, pa.array(meta, pa.int64())], ["key", "form", "version", "meta"])
 
 
+def _crowded(key: np.ndarray, right: np.ndarray, left: np.ndarray, meta: np.ndarray, block: int) -> np.ndarray:
+    most = np.where(meta >> 12 & TYPED + 1 > 0, block * TYPED_TIMES, block)
+    return ((right > most) | (left > most * LEFT_TIMES)) & ((key & 1) == OPEN)
+
+
 class _Words:
     """Looks of the words of distinct bags, SEEN words a bag at most, for comparing many pairs at once."""
 
@@ -308,7 +277,7 @@ def _meet(block: int, symmetric: bool):
             run_at = np.r_[0, np.flatnonzero(k[1:] != k[:-1]) + 1]
             size = np.diff(np.r_[run_at, len(k)])
             right, left = np.add.reduceat((m & RIGHT) > 0, run_at, dtype=np.int64), np.add.reduceat((m & LEFT) > 0, run_at, dtype=np.int64)
-            full = (((right > block) | (left > block * LEFT_TIMES)) & (right > 0) & (left > 0) & ((k[run_at] & 1) == OPEN)) | np.isin(k[run_at], marks)
+            full = (_crowded(k[run_at], right, left, m[run_at], block) & (right > 0) & (left > 0)) | np.isin(k[run_at], marks)
             full_rows = np.repeat(full, size)
             crowded.append(at[full_rows])
             at = at[~full_rows & np.repeat((right > 0) & (left > 0) & (size > 1), size)]
@@ -319,13 +288,22 @@ def _meet(block: int, symmetric: bool):
             code = named.indices.to_numpy() if named is not None else np.zeros(0, np.int32)
             bags = [tuple(x.split("\x1f", 1)) for x in named.dictionary.to_pylist()] if named is not None else []
             words = _Words([b[0] for b in bags])
+            # rows of a key in the order of the words that tell them apart; rows with the same one don't meet
+            seg = np.cumsum(np.r_[False, k[1:] != k[:-1]]) if len(k) else k
+            apart = m >> 12 & TYPED + 1
             li, ri = np.flatnonzero(m & LEFT), np.flatnonzero(m & RIGHT)
+            ri = ri[np.argsort(seg[ri] << 20 | apart[ri], kind="stable")]
+            place = seg[ri] << 20 | apart[ri]
             pairs = []
             for s in range(0, len(li), 1 << 12):
                 mine = li[s : s + (1 << 12)]
-                a, b = np.searchsorted(k[ri], k[mine]), np.searchsorted(k[ri], k[mine], "right")
+                own = seg[mine] << 20 | apart[mine]
+                lo, hi = np.searchsorted(place, own), np.searchsorted(place, own, "right")
+                lo, hi = np.where(apart[mine] > 0, lo, hi), hi
+                a, b = np.searchsorted(place, seg[mine] << 20), np.searchsorted(place, seg[mine] + 1 << 20)
+                a, b, who = np.r_[a, hi], np.r_[lo, b], np.r_[mine, mine]
                 n = b - a
-                x = code[np.repeat(mine, n)].astype(np.int64)
+                x = code[np.repeat(who, n)].astype(np.int64)
                 y = code[ri[np.repeat(a, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]].astype(np.int64)
                 if symmetric:
                     x, y = np.minimum(x, y), np.maximum(x, y)
@@ -362,16 +340,9 @@ def near_bags(forms: DataFrame, symmetric: bool, block: int = BLOCK) -> DataFram
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r in batches:
             t = _table(r.column(0), r.column(1))
-            rows, keys = _first_level(t)
-            at = pa.array(rows)
-            yield _spread(keys, r.column(0).take(at), r.column(1).take(at), t["own"][rows], r.column(2).to_numpy().astype(np.int64)[rows], buckets, block)
-
-    def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for r in batches:
-            t = _table(r.column(1), r.column(2))
-            rows, keys, mask = _second_level(t, r.column(0).to_numpy().view(np.uint64))
+            rows, keys, mask = _first_level(t)
             at = pa.array(rows)
-            yield _spread(keys, r.column(1).take(at), r.column(2).take(at), t["own"][rows], r.column(3).to_numpy()[rows] | mask << 3, buckets, block)
+            yield _spread(keys, r.column(0).take(at), r.column(1).take(at), t["own"][rows], r.column(2).to_numpy().astype(np.int64)[rows] | mask << 3, buckets, block)
 
     def further(last: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -391,7 +362,7 @@ def near_bags(forms: DataFrame, symmetric: bool, block: int = BLOCK) -> DataFram
         crowded = met.where("key IS NOT NULL").select("key", "form", "version", "meta")
         if not crowded.limit(1).count():
             break
-        met = meet(crowded.mapInArrow(second if level == 2 else further(level == LEVELS), _ROWS), level)
+        met = meet(crowded.mapInArrow(further(level == LEVELS), _ROWS), level)
         found.append(met.where("key IS NULL"))
     out = reduce(DataFrame.unionByName, found)
     ends = out.select(F.xxhash64("form", "version").alias("f"), F.xxhash64("other", "version").alias("g"), "cost", "typos")

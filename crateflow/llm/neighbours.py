@@ -10,8 +10,8 @@ Rows of equal vectors: of each group of identical vectors only the k + 1 smalles
 id, so no other copy can be among anybody's k nearest; this is exact and keeps a hot vector out of one task.
 
 Defined cases: null, all-zero, short, long or non-finite vectors have no neighbours; a row is never its own neighbour;
-ties go to the smaller id; ids must be unique, repeated ids count once; an empty table gives no rows; shards larger than
-``MOST_ROWS`` are split by id hash and their results merged, so no group is unbounded.
+ties go to the smaller id; ids must be unique, repeated ids count once; an empty table gives no rows; each shard larger than
+``MOST_ROWS`` is split by id hash and its results merged, so no group is unbounded.
 """
 
 from __future__ import annotations
@@ -24,12 +24,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from crateflow.session import written
+
 DIM = 64
 #: Bound of the sample that the coarse centroids are fitted on; every row is indexed.
 SAMPLE_ROWS = 20_000
 SHARD_ROWS = 4_096
+#: Cells of the first level; a larger collection has a second level of as many shards in each as its rows ask for.
 MOST_SHARDS = 1_024
-MOST_ROWS = 1 << 19
+#: Rows of a cell for each shard of it that its own centroids are fitted on, and rows that one task routes there.
+FINE_SAMPLE, ROUTE_ROWS = 32, 1 << 17
+#: Rows of a shard beyond which it is split.
+MOST_ROWS = 1 << 15
 LINKS = 20
 EF_BUILD = 24
 EF_SEARCH = 12
@@ -215,28 +221,72 @@ def fit_centroids(sample: np.ndarray, shards: int, rounds: int = 8, seed: int =
     return c
 
 
-def _fitted(rows: DataFrame, key: str, field: str, total: int, shards: int, dim: int) -> np.ndarray:
-    """Centroids from a sample of at most SAMPLE_ROWS rows, chosen by id hash."""
-    share = min(1.0, SAMPLE_ROWS / max(total, 1))
-    got = rows.where(F.pmod(F.xxhash64(key, F.lit(3)), F.lit(1_000_000)) < int(share * 1_000_000)).select(field).limit(SAMPLE_ROWS).toArrow()
+def _fitted(rows: DataFrame, total: int, shards: int, dim: int) -> np.ndarray:
+    """Centroids from a sample of at most SAMPLE_ROWS rows, chosen by id hash; the share is of 2^62, so it never comes to nothing."""
+    most = int(min(1.0, SAMPLE_ROWS / max(total, 1)) * (1 << 62))
+    got = rows.where(F.shiftrightunsigned(F.xxhash64("id", F.lit(3)), 2) <= most).select("v").limit(SAMPLE_ROWS).toArrow()
     return fit_centroids(_vectors(got.column(0), dim)[0], shards)
 
 
-def nearest_rows(df: DataFrame, key: str, field: str, k: int, *, queries: str | None = None, least: float = -1.0, margin: float = MARGIN, ef: int = EF_SEARCH, dim: int = DIM, shard_rows: int = SHARD_ROWS, links: int = LINKS) -> DataFrame:
+def _near_cells(x: np.ndarray, cents: np.ndarray, margin: float, ask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(nearest centroid of each row, which centroids it goes to): queries also to those nearly as near."""
+    g = 2 * (0.5 * (cents * cents).sum(1) - x @ cents.T)
+    home = g.argmin(1)
+    close = (g <= g[np.arange(len(g)), home][:, None] + margin) & ask[:, None]
+    return home, close
+
+
+_ROUTED = "shard bigint, id bigint, x binary, member boolean, asked boolean"
+
+
+def _batch(shard, ids, x, member, ask) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(shard, pa.int64()), pa.array(ids, pa.int64()), pa.array([v.tobytes() for v in x], pa.binary()), pa.array(member, pa.bool_()), pa.array(ask, pa.bool_())], ["shard", "id", "x", "member", "asked"])
+
+
+def _table(t: pa.Table, dim: int) -> np.ndarray:
+    return np.frombuffer(b"".join(t.column("x").to_pylist()), np.float32).reshape(-1, dim)
+
+
+def _finer(routed: DataFrame, total: int, coarse: int, shard_rows: int, margin: float, dim: int) -> DataFrame:
+    """Rows of coarse cells in finer shards: each cell has centroids of its own, fitted on a sample of its rows by the executors."""
+    share = min(1.0, FINE_SAMPLE / shard_rows)
+    sample = routed.where(F.col("member") & (F.shiftrightunsigned(F.xxhash64("id", F.lit(5)), 2) <= int(share * (1 << 62))))
+
+    def fit(t: pa.Table) -> pa.Table:
+        c = fit_centroids(_table(t, dim), round(len(t) / share / shard_rows))
+        return pa.table({"shard": pa.array([t.column("shard")[0].as_py()] * len(c), pa.int64()), "c": pa.array([v.astype(np.float32).tobytes() for v in c], pa.binary())})
+
+    cents = written(sample.groupBy("shard").applyInArrow(fit, "shard bigint, c binary"), "vector-centroids")
+    salts = max(1, math.ceil(4 * total / coarse / ROUTE_ROWS))
+
+    def route(rows: pa.Table, held: pa.Table) -> pa.Table:
+        if not len(rows):
+            return pa.Table.from_batches([_batch([], [], [], [], [])])
+        # the same cell fits the same centroids in any order of its sample, as they are sorted here
+        c = np.frombuffer(b"".join(sorted(held.column("c").to_pylist())), np.float32).reshape(-1, dim) if len(held) else np.zeros((1, dim), np.float32)
+        x, member, ask, ids = _table(rows, dim), rows.column("member").to_numpy(), rows.column("asked").to_numpy(), rows.column("id").to_numpy()
+        home, close = _near_cells(x, c, margin, ask)
+        close[np.arange(len(x)), home] = True
+        i, k = np.nonzero(close)
+        return pa.Table.from_batches([_batch(rows.column("shard").to_numpy()[i] << 24 | k, ids[i], x[i], member[i] & (k == home[i]), ask[i])])
+
+    left = routed.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int"))
+    right = cents.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return left.groupBy("shard", "salt").cogroup(right.groupBy("shard", "salt")).applyInArrow(route, _ROUTED)
+
+
+def nearest_rows(df: DataFrame, key: str, field: str, k: int, *, queries: str | None = None, least: float = -1.0, margin: float = MARGIN, ef: int = EF_SEARCH, dim: int = DIM, shard_rows: int = SHARD_ROWS, links: int = LINKS, most_shards: int = MOST_SHARDS, most_rows: int = MOST_ROWS) -> DataFrame:
     """(a, b, cosine, place): for every query row a its k most similar rows b, places from 1.
 
     ``queries`` is a SQL condition on the input that says which rows are asked for (all by default); ``least`` drops
     pairs below a cosine inside the shards. ``margin`` says how many further shards are searched.
     """
     asked = F.expr(queries) if queries else F.lit(True)
-    rows = df.where(F.col(key).isNotNull() & (F.size(field) == dim)).select(F.col(key).cast("long").alias("id"), F.col(field).alias("v"), asked.alias("asked"))
-    key, field = "id", "v"
+    rows = df.where(F.col(key).isNotNull() & (F.size(field) == dim)).select(F.col(key).cast("long").alias("id"), F.col(field).alias("v"), F.coalesce(asked, F.lit(False)).alias("asked"))
     copies = Window.partitionBy(F.xxhash64("v")).orderBy("id")
     total = rows.count()
-    shards = min(MOST_SHARDS, max(1, math.ceil(total / shard_rows)))
-    cents = _fitted(rows, key, field, total, shards, dim)
-    split = max(1, math.ceil(total / max(1, len(cents)) / MOST_ROWS))
-    half = 0.5 * (cents * cents).sum(1)
+    shards = max(1, math.ceil(total / shard_rows))
+    cents = _fitted(rows, total, min(shards, most_shards), dim)
     base = rows.withColumn("copy", F.row_number().over(copies))
     base = base.where(F.col("copy") <= k + 1) if not queries else base.where((F.col("copy") <= k + 1) | F.col("asked"))
 
@@ -247,23 +297,13 @@ def nearest_rows(df: DataFrame, key: str, field: str, k: int, *, queries: str |
                 continue
             ids, ask = r.column(0).to_numpy()[at], r.column(2).to_numpy(zero_copy_only=False)[at]
             first = r.column(3).to_numpy()[at] <= k + 1
-            g = 2 * (half - x @ cents.T)
-            home = g.argmin(1)
-            close = (g <= g[np.arange(len(g)), home][:, None] + margin) & ask[:, None]
-            close[np.arange(len(g)), home] = first | ask
+            home, close = _near_cells(x, cents, margin, ask)
+            close[np.arange(len(x)), home] = first | ask
             i, c = np.nonzero(close)
-            member = (c == home[i]) & first[i]
-            sub = ids[i] % split
-            data, where, cell, is_member, is_asked = x[i], ids[i], c.astype(np.int64) * split, member, ask[i]
-            for s in range(split):  # members live in one part of a split cell, queries visit all parts
-                part_member = is_member & (sub == s)
-                use = part_member | is_asked
-                if use.any():
-                    yield pa.RecordBatch.from_arrays([pa.array(cell[use] + s), pa.array(where[use]), pa.array([v.tobytes() for v in data[use]], pa.binary()), pa.array(part_member[use]), pa.array(is_asked[use])], ["shard", "id", "x", "member", "asked"])
+            yield _batch(c, ids[i], x[i], (c == home[i]) & first[i], ask[i])
 
     def in_shard(t: pa.Table) -> pa.Table:
-        ids = t.column("id").to_numpy()
-        x = np.frombuffer(b"".join(t.column("x").to_pylist()), np.float32).reshape(-1, dim)
+        ids, x = t.column("id").to_numpy(), _table(t, dim)
         member, ask = t.column("member").to_numpy(), t.column("asked").to_numpy()
         o = np.argsort(ids[member], kind="stable")
         base_ids, mine = ids[member][o], ask[member][o]
@@ -279,8 +319,17 @@ def nearest_rows(df: DataFrame, key: str, field: str, k: int, *, queries: str |
             parts.append(pa.table({"a": a[ok], "b": b[ok], "cosine": sims.ravel()[ok].astype(np.float64)}))
         return pa.concat_tables(parts)
 
-    routed = base.select("id", "v", "asked", "copy").mapInArrow(route, "shard bigint, id bigint, x binary, member boolean, asked boolean")
-    found = routed.groupBy("shard").applyInArrow(in_shard, "a bigint, b bigint, cosine double")
+    routed = base.select("id", "v", "asked", "copy").mapInArrow(route, _ROUTED)
+    if shards > most_shards:
+        routed = _finer(written(routed, "vector-cells"), total, len(cents), shard_rows, margin, dim)
+    routed = written(routed, "vector-shards")
+    # shards that came out too large are split by id, each on its own; members live in one part, queries visit all
+    sizes = routed.where("member").groupBy("shard").agg(F.count("*").alias("n")).where(F.col("n") > most_rows)
+    split = routed.join(sizes.select("shard", F.ceil(F.col("n") / most_rows).cast("int").alias("parts")), "shard", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    own = F.pmod(F.xxhash64("id", F.lit(9)), F.col("parts")).cast("int")
+    split = split.withColumn("own", own).withColumn("part", F.explode(F.when(F.col("asked"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array("own"))))
+    split = split.select("shard", "part", "id", "x", (F.col("member") & (F.col("part") == F.col("own"))).alias("member"), "asked")
+    found = split.groupBy("shard", "part").applyInArrow(in_shard, "a bigint, b bigint, cosine double")
     best = Window.partitionBy("a").orderBy(F.desc("cosine"), "b")
     return found.distinct().withColumn("place", F.row_number().over(best)).where(F.col("place") <= k)
 

@@ -62,3 +62,15 @@ def test_copies_ties_and_empty_table(spark):
     assert got == {(i, j) for i in first for j in first[i] if i < j and i in first[j]}
     assert mutual_pairs(df.limit(0), "profile_id", "embedding").count() == 0
     assert nearest_rows(df.limit(1), "profile_id", "embedding", 5).count() == 0
+
+
+def test_two_levels_and_split_shards_reach_the_recall(spark):
+    for n, seed in ((1500, 7), (4000, 8)):
+        x = vectors(n, seed)
+        df = spark.createDataFrame([(i, x[i].tolist(), "a", "b") for i in range(n)], SCHEMA)
+        want, _ = brute(x, list(range(n)), 5)
+        for levels in ({"shard_rows": 100, "most_shards": 4}, {"shard_rows": 5000, "most_rows": 300}):
+            got = {}
+            for r in nearest_rows(df, "profile_id", "embedding", 5, queries="profile_id % 20 = 0", margin=0.6, ef=48, **levels).collect():
+                got.setdefault(r.a, set()).add(r.b)
+            assert np.mean([len(got[i] & set(want[i])) / 5 for i in range(0, n, 20)]) >= 0.9
