@@ -32,7 +32,7 @@ from crateflow.llm.recordings import LIGHT, LIMIT, _mark, channel_cost, is_near_
 from crateflow.session import plain_unions, written
 
 #: Right bags that may share a key before finer keys are used; so many times as many left ones.
-BLOCK, LEFT_TIMES = 128, 32
+BLOCK, LEFT_TIMES = 64, 32
 #: So many times as many where only bags with different words meet; numbers that tell such words apart, in bits 12 to 31 of meta.
 TYPED_TIMES, TYPED = 64, (1 << 20) - 2
 BUCKET_FORMS = 10_000
@@ -43,9 +43,11 @@ LEVELS = 8
 LEFT, RIGHT, HOT = 1, 2, 4
 #: Kinds of keys in the lowest bits: may be refined, or is complete.
 OPEN, CLOSED = 0, 1
-_ROWS = "key bigint, form string, version string, meta bigint"
+_ROWS = "key bigint, bag string, meta bigint"
+#: Stands between a form and its version, if it has one.
+SIGN = "\x1f"
 #: Words of a bag that pairs are compared by before the channel is asked; longer bags go there at once.
-SEEN = 10
+SEEN, FEW = 10, 5
 
 
 @lru_cache(maxsize=1 << 15)
@@ -150,10 +152,14 @@ def _typed(w: str, alone: bool) -> Iterator[tuple[str, int]]:
     u = w.rstrip("*").replace("ph", "f")
     for x in _cuts(u, (1 if len(u) < 5 else 2 if len(u) < 10 else 3) if alone else 1):
         yield "-" + x, 0
-    yield "^" + w[:3], 0
-    # an initial or a cut-off word stands on one side, whole words on the other
+    # an initial, a cut-off word or a short form stands on one side, whole words with their beginnings on the other
+    cut = len(w) == 1 or w[-1] == "*"
     for kind, small, large in (("<", LEFT, RIGHT), (">", RIGHT, LEFT)):
-        yield kind + w[0], small if len(w) == 1 or w[-1] == "*" else large
+        yield kind + w[0], small if cut else large
+        if len(w) > 2 and not cut:
+            yield kind + w, small
+            for i in range(3, len(w) - 1):
+                yield kind + w[:i], large
 
 
 def _key_order(tokens: list[str]) -> list[str]:
@@ -161,31 +167,31 @@ def _key_order(tokens: list[str]) -> list[str]:
     return sorted((w for w in tokens if w not in LIGHT or len(w) == 1), key=lambda w: _mark("word", w) & ~1)[:KEY_WORDS]
 
 
-def _finer(key: int, form: str, version: str, meta: int, last: bool) -> Iterator[tuple[int, str, str, int]]:
+def _finer(key: int, bag: str, meta: int, last: bool) -> Iterator[tuple[int, str, int]]:
     """Rows in the place of a crowded key."""
-    ws = _key_order(form.split(" "))
+    ws = _key_order(bag.partition(SIGN)[0].split(" "))
     mask, role = meta >> 3 & 511, meta & 3
     left = [i for i in range(len(ws)) if not mask >> i & 1]
     top = (1 << 64) - 2
     signed = lambda x: (x & (1 << 64) - 1) - (1 << 64) if x >> 63 & 1 else x & (1 << 64) - 1
     meta = mask << 3 | role
     if last or all(len(ws[i]) == 1 or ws[i][-1] == "*" or is_near_article(ws[i]) for i in left):  # what is left may be lost
-        yield signed(_mark("rest", str(key)) & top | CLOSED), form, version, meta
+        yield signed(_mark("rest", str(key)) & top | CLOSED), bag, meta
     if last or not left:
         return
     letters = sum(_mark("letters", c) for i in left for c in ws[i])
-    yield signed((_mark("run", str(key)) + letters) & top | CLOSED), form, version, meta
+    yield signed((_mark("run", str(key)) + letters) & top | CLOSED), bag, meta
     for i in left:
         word, now = _mark("word", ws[i]) & ~1, meta | 1 << (i + 3)
         if len(ws[i]) > 1 and ws[i][-1] != "*":  # a sum, so the order of words doesn't matter
-            yield signed((key & ~1) + word), form, version, now
+            yield signed((key & ~1) + word), bag, now
         mine = now | (1 + (word >> 20) % TYPED) << 12
         for x, side in set(_typed(ws[i], len(left) == 1)):
             if side == 0 or role & side:
-                yield signed(_mark(str(key), x) & top), form, version, (mine & ~3) | (role & side if side else role)
+                yield signed(_mark(str(key), x) & top), bag, (mine & ~3) | (role & side if side else role)
 
 
-def _spread(key: np.ndarray, form: pa.Array, version: pa.Array, own: np.ndarray, meta: np.ndarray, buckets: int, block: int) -> pa.RecordBatch:
+def _spread(key: np.ndarray, bag: pa.Array, own: np.ndarray, meta: np.ndarray, buckets: int, block: int) -> pa.RecordBatch:
     """Rows with their bucket in the upper half of meta.
 
     Keys crowded in this batch alone go, by bag, to buckets that pass them on; a mark without a role tells the key's bucket.
@@ -195,7 +201,7 @@ def _spread(key: np.ndarray, form: pa.Array, version: pa.Array, own: np.ndarray,
         key, own, meta = key[o], own[o], meta[o]
         new = np.r_[True, (key[1:] != key[:-1]) | (own[1:] != own[:-1]) | (meta[1:] != meta[:-1])]
         key, own, meta, o = key[new], own[new], meta[new], o[new]
-        form, version = form.take(pa.array(o)), version.take(pa.array(o))
+        bag = bag.take(pa.array(o))
         run = np.r_[0, np.flatnonzero(key[1:] != key[:-1]) + 1]
         right, left = np.add.reduceat((meta & RIGHT) > 0, run, dtype=np.int64), np.add.reduceat((meta & LEFT) > 0, run, dtype=np.int64)
         hot = _crowded(key[run], right, left, meta[run], block)
@@ -204,8 +210,8 @@ def _spread(key: np.ndarray, form: pa.Array, version: pa.Array, own: np.ndarray,
         bucket = np.where(is_hot, (own % np.uint64(buckets)).astype(np.int64), key % buckets)
         meta = np.where(is_hot, meta | HOT, meta) | bucket << 32
         key, meta = np.concatenate([key, marks]), np.concatenate([meta, marks % buckets << 32])
-        form, version = (pa.concat_arrays([x, pa.array([""] * len(marks), pa.string())]) for x in (form, version))
-    return pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), form, version, pa.array(meta, pa.int64())], ["key", "form", "version", "meta"])
+        bag = pa.concat_arrays([bag, pa.array([""] * len(marks), pa.string())])
+    return pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), bag, pa.array(meta, pa.int64())], ["key", "bag", "meta"])
 
 
 def _crowded(key: np.ndarray, right: np.ndarray, left: np.ndarray, meta: np.ndarray, block: int) -> np.ndarray:
@@ -224,16 +230,37 @@ class _Words:
         for i, ws in enumerate(self.split):
             for k, w in enumerate(ws[:n]):
                 self.id[i, k] = ids.setdefault(w, len(ids))
-        self.long = np.array([len(w) > n for w in self.split], bool)
+        self.size_of = np.array([len(w) for w in self.split])
         looks = np.array([_looks(w) for w in ids] or [(0,) * 6], np.int64)
         self.first, self.last, self.begin, self.size, self.bits, self.kinds = (looks[:, k] for k in range(6))
+        # first letters of words that are surely no light ones, their number, and whether a bag has one that may be light
+        light = np.array([w in LIGHT for w in ids] or [False])
+        near = np.array([is_near_light(w) for w in ids] or [False]) & ~light
+        letter = np.where(light | near, 0, np.uint64(1) << np.array([ord(w[0]) % 64 for w in ids] or [0], np.uint64))
+        held = self.id >= 0
+        self.letters = np.bitwise_or.reduce(np.where(held, letter[self.id], np.uint64(0)).astype(np.uint64), axis=1)
+        self.count, self.may = (held & ~(light | near)[self.id]).sum(1), (held & near[self.id]).any(1)
 
     def apart(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Pairs that the channel surely rules out: a word that can't be lost has no partner, and no words are run together."""
-        x, y = self.id[a], self.id[b]
+        """Pairs that the channel surely rules out.
+
+        With equally many words and none that may be light, one first letter may differ at most; else the limit leaves, besides a
+        lost or joined word for each of difference, room for two typos in first letters. Then the words themselves are compared.
+        """
+        few = np.abs(self.count[a] - self.count[b])
+        most = np.where((few == 0) & ~self.may[a] & ~self.may[b], 2, few + 4)
+        long = np.maximum(self.size_of[a], self.size_of[b])
+        out = (np.bitwise_count(self.letters[a] ^ self.letters[b]) > most) & (long <= SEEN)
+        for ok, wide in ((long <= FEW, FEW), ((long > FEW) & (long <= SEEN), SEEN)):
+            at = np.flatnonzero(~out & ok)
+            out[at] = self._unlike(a[at], b[at], wide)
+        return out
+
+    def _unlike(self, a: np.ndarray, b: np.ndarray, wide: int) -> np.ndarray:
+        """A word that can't be lost has no partner, and no words are run together."""
+        x, y = self.id[a, :wide], self.id[b, :wide]
         same = (x[:, :, None] == y[:, None, :]) & (x >= 0)[:, :, None]
         lx, ly = (x >= 0) & ~same.any(2), (y >= 0) & ~same.any(1)
-        out = np.ones(len(a), bool)
         f = lambda t, at, m: np.where(m, t[at], 0)
         heavy = lambda at, m: m & (self.kinds[at] & 1 == 0)
         hx, hy = heavy(x, lx), heavy(y, ly)
@@ -251,12 +278,11 @@ class _Words:
         may = ((first & ((small == 1) | cut)) | beginning | near) & lx[:, :, None] & ly[:, None, :]
         firm = lambda at, m: m & (self.kinds[at] & 2 == 0)
         fx, fy = firm(x, lx) & ~may.any(2), firm(y, ly) & ~may.any(1)
-        out = (fx.any(1) | fy.any(1)) & ~joined & ~self.long[a] & ~self.long[b]
-        return out
+        return (fx.any(1) | fy.any(1)) & ~joined
 
 
 _TYPOS = pa.list_(pa.struct([("x", pa.string()), ("y", pa.string())]))
-_MET = pa.schema([("key", pa.int64()), ("form", pa.string()), ("version", pa.string()), ("meta", pa.int64()), ("other", pa.string()), ("cost", pa.float64()), ("typos", _TYPOS)])
+_MET = pa.schema([("key", pa.int64()), ("bag", pa.string()), ("meta", pa.int64()), ("other", pa.string()), ("cost", pa.float64()), ("typos", _TYPOS)])
 
 
 def _meet(block: int, symmetric: bool):
@@ -271,7 +297,7 @@ def _meet(block: int, symmetric: bool):
         at = at[np.argsort(key[at], kind="stable")]
         crowded = [np.flatnonzero(passing)]
         got: dict[tuple[int, int], tuple[float, list]] = {}
-        bags: list[tuple[str, str]] = []
+        bags: list[str] = []
         if len(at):
             k, m = key[at], meta[at]
             run_at = np.r_[0, np.flatnonzero(k[1:] != k[:-1]) + 1]
@@ -284,10 +310,9 @@ def _meet(block: int, symmetric: bool):
             k, m = key[at], meta[at]
             rows = t.take(pa.array(at))
             # one number for each distinct bag
-            named = pc.binary_join_element_wise(rows.column("form"), rows.column("version"), "\x1f").combine_chunks().dictionary_encode() if len(at) else None
-            code = named.indices.to_numpy() if named is not None else np.zeros(0, np.int32)
-            bags = [tuple(x.split("\x1f", 1)) for x in named.dictionary.to_pylist()] if named is not None else []
-            words = _Words([b[0] for b in bags])
+            named = pa.concat_arrays([*rows.column("bag").chunks, pa.array([], pa.string())]).dictionary_encode()
+            code, bags = named.indices.to_numpy(), named.dictionary.to_pylist()
+            words = _Words([b.partition(SIGN)[0] for b in bags])
             # rows of a key in the order of the words that tell them apart; rows with the same one don't meet
             seg = np.cumsum(np.r_[False, k[1:] != k[:-1]]) if len(k) else k
             apart = m >> 12 & TYPED + 1
@@ -318,10 +343,10 @@ def _meet(block: int, symmetric: bool):
                 if cost <= LIMIT:
                     got[x, y] = cost, typos
         out = t.take(pa.array(np.concatenate(crowded)))
-        more = pa.table([out.column("key"), out.column("form"), out.column("version"), pa.array(out.column("meta").to_numpy() & 0xFFFFFFFF & ~HOT), pa.nulls(len(out), pa.string()), pa.nulls(len(out), pa.float64()), pa.nulls(len(out), _TYPOS)], schema=_MET)
+        more = pa.table([out.column("key"), out.column("bag"), pa.array(out.column("meta").to_numpy() & 0xFFFFFFFF & ~HOT), pa.nulls(len(out), pa.string()), pa.nulls(len(out), pa.float64()), pa.nulls(len(out), _TYPOS)], schema=_MET)
         ends = [(bags[x], bags[y]) if bags[x] < bags[y] or not symmetric else (bags[y], bags[x]) for x, y in got]
         typos = pa.array([[{"x": p, "y": q} for p, q in v[1]] for v in got.values()], _TYPOS)
-        found = pa.table([pa.nulls(len(got), pa.int64()), pa.array([a[0] for a, _ in ends], pa.string()), pa.array([a[1] for a, _ in ends], pa.string()), pa.nulls(len(got), pa.int64()), pa.array([b[0] for _, b in ends], pa.string()), pa.array([v[0] for v in got.values()], pa.float64()), typos], schema=_MET)
+        found = pa.table([pa.nulls(len(got), pa.int64()), pa.array([a for a, _ in ends], pa.string()), pa.nulls(len(got), pa.int64()), pa.array([b for _, b in ends], pa.string()), pa.array([v[0] for v in got.values()], pa.float64()), typos], schema=_MET)
         return pa.concat_tables([found, more])
 
     return run
@@ -334,36 +359,37 @@ def near_bags(forms: DataFrame, symmetric: bool, block: int = BLOCK) -> DataFram
     comes once. Rows carry the bags themselves, so pairs are weighed where they meet and only near ones leave.
     """
     plain_unions(forms.sparkSession)
-    forms = forms.select("form", "version", "role")
+    bag = F.when(F.col("version") == "", F.col("form")).otherwise(F.concat("form", F.lit(SIGN), "version"))
+    forms = forms.select("form", "version", "role", bag.alias("bag"))
     buckets = max(48, forms.count() // BUCKET_FORMS)
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r in batches:
             t = _table(r.column(0), r.column(1))
             rows, keys, mask = _first_level(t)
-            at = pa.array(rows)
-            yield _spread(keys, r.column(0).take(at), r.column(1).take(at), t["own"][rows], r.column(2).to_numpy().astype(np.int64)[rows] | mask << 3, buckets, block)
+            yield _spread(keys, r.column(3).take(pa.array(rows)), t["own"][rows], r.column(2).to_numpy().astype(np.int64)[rows] | mask << 3, buckets, block)
 
     def further(last: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for r in batches:
-                got = [x for a in zip(*(r.column(i).to_pylist() for i in range(4)), strict=True) for x in _finer(*a, last)]
-                key, form, version, meta = zip(*got, strict=True) if got else [()] * 4
-                form, version = pa.array(form, pa.string()), pa.array(version, pa.string())
-                yield _spread(np.array(key, np.int64), form, version, _table(form, version)["own"], np.array(meta, np.int64), buckets, block)
+                got = [x for a in zip(*(r.column(i).to_pylist() for i in range(3)), strict=True) for x in _finer(*a, last)]
+                key, bags, meta = zip(*got, strict=True) if got else [()] * 3
+                own = np.array([_mark("bag", b) for b in bags], np.uint64)
+                yield _spread(np.array(key, np.int64), pa.array(bags, pa.string()), own, np.array(meta, np.int64), buckets, block)
 
         return run
 
-    shape = "key bigint, form string, version string, meta bigint, other string, cost double, typos array<struct<x: string, y: string>>"
+    shape = "key bigint, bag string, meta bigint, other string, cost double, typos array<struct<x: string, y: string>>"
     meet = lambda keyed, level: written(keyed.groupBy(F.shiftright("meta", 32).alias("bucket")).applyInArrow(_meet(block, symmetric), shape), f"bags-met-{level}")
     met = meet(forms.mapInArrow(first, _ROWS), 1)
     found = [met.where("key IS NULL")]
     for level in range(2, LEVELS + 1):
-        crowded = met.where("key IS NOT NULL").select("key", "form", "version", "meta")
+        crowded = met.where("key IS NOT NULL").select("key", "bag", "meta")
         if not crowded.limit(1).count():
             break
         met = meet(crowded.mapInArrow(further(level == LEVELS), _ROWS), level)
         found.append(met.where("key IS NULL"))
     out = reduce(DataFrame.unionByName, found)
-    ends = out.select(F.xxhash64("form", "version").alias("f"), F.xxhash64("other", "version").alias("g"), "cost", "typos")
+    hashed = lambda c: F.xxhash64(F.substring_index(c, SIGN, 1), F.when(F.instr(c, SIGN) > 0, F.substring_index(c, SIGN, -1)).otherwise(""))
+    ends = out.select(hashed(F.col("bag")).alias("f"), hashed(F.col("other")).alias("g"), "cost", "typos")
     return ends.groupBy("f", "g").agg(F.min(F.struct("cost", "typos")).alias("m")).select("f", "g", "m.cost", "m.typos")

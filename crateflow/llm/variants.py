@@ -1,15 +1,12 @@
 """Problem 2: requests typed by people, linked if they mean the same recording.
 
 Method: noisy-channel attribution. Every distinct writing (a bag of words and a version) is ranked by how often it was
-typed; the frequent ones are the candidate canonical forms. A writing's candidates share blocking keys with it: two whole
-words and the first letters of the rest, or three whole words. The channel model gives the likelihood of typing the
-candidate as the writing (typos, initials, short forms, words run together); with the frequency as prior each writing is
-attached to its candidate of maximum posterior, and attachments are followed to their end. A supposed typo that turns one
+typed; the frequent ones are the candidate canonical forms, and so is the writing itself. A writing's candidates share
+blocking keys with it. The channel model gives the likelihood of typing the candidate as the writing (typos, initials, short
+forms, words run together), once more for repetitions; with the frequency as prior each writing is attached to its candidate of
+maximum posterior, or stays a name of its own, and attachments are followed to their end. A supposed typo that turns one
 common word into another is no typo.
 
-Keys shared by more than ``BLOCK`` writings are not multiplied out: their writings are compared through finer keys, the key
-together with each one-letter deletion of each other word, which single typos always share.
-
 Defined cases: null, empty or blank artist and title name no recording, nor does one field alone unless it holds both;
 identical requests are linked; a repeated request_id counts once; ties of the posterior go to the smaller form; texts of any
 length are parsed whole; an empty table gives no rows; other columns are never read.
@@ -28,6 +25,9 @@ from crateflow.llm.blocking import BLOCK, LEFT, RIGHT, near_bags
 from crateflow.llm.recordings import bag, full_forms, parse
 from crateflow.session import written
 
+#: Cost of being a name of its own that happens to be near another one, as much as the channel's limit; how far repetitions of a
+#: writing count as typed anew, as people also send a request twice.
+OWN, REPEAT = 7.0, 0.25
 #: A word seen in this many writings is a word of its own, unless the other one is this many times as frequent.
 KNOWN, RATIO = 6, 10
 _BOTH = re.compile(r"\s[-–—|~·/]+\s|:\s|\sby\b:?\s|\"\S", re.I)
@@ -78,7 +78,7 @@ def weighed_pairs(forms: DataFrame, block: int = BLOCK) -> DataFrame:
     return near.select("f", "g", "cost").join(real, ["f", "g"], "left_anti")
 
 
-def attach(forms: DataFrame, near: DataFrame, rounds: int = 32) -> DataFrame:
+def attach(forms: DataFrame, near: DataFrame) -> DataFrame:
     """(f, root): every form with the end of its chain of attachments.
 
     Each form points to its candidate of maximum posterior. Where two point to each other, the one more often typed, or else
@@ -87,13 +87,16 @@ def attach(forms: DataFrame, near: DataFrame, rounds: int = 32) -> DataFrame:
     """
     n = forms.select("f", "n")
     ends = near.join(n, "f").join(n.select(F.col("f").alias("g"), F.col("n").alias("m")), "g").select("f", "g", "n", "m", "cost")
+    # the form itself is a candidate: typed so often, is it rather a name of its own?
     arcs = ends.select(F.col("f").alias("child"), F.col("g").alias("parent"), F.col("n").alias("mine"), F.col("m").alias("theirs"), "cost").unionByName(ends.select(F.col("g").alias("child"), F.col("f").alias("parent"), F.col("m").alias("mine"), F.col("n").alias("theirs"), "cost"))
+    typed = F.log("theirs") - F.col("cost") * (1 + REPEAT * F.log("mine"))
+    arcs = arcs.where(typed >= F.log("mine") - OWN)
     leads = (F.col("mine") > F.col("theirs")) | ((F.col("mine") == F.col("theirs")) & (F.col("child") < F.col("parent")))
     pick = F.max_by(F.struct("parent", leads.alias("leads")), F.struct(F.round(F.log("theirs") - F.col("cost"), 9), F.col("theirs"), -F.col("parent")))
     best = written(arcs.groupBy("child").agg(pick.alias("p")).select("child", "p.parent", "p.leads"), "variant-links")
     back = best.select(F.col("child").alias("parent"), F.col("parent").alias("back"))
     links = written(best.join(back, "parent", "left").where("NOT (coalesce(back = child, false) AND leads)").select("child", "parent"), "variant-links")
-    for _ in range(rounds):
+    while True:
         over = links.select(F.col("child").alias("parent"), F.col("parent").alias("next"))
         step = written(links.join(over, "parent", "left").select("child", F.coalesce("next", "parent").alias("parent"), F.col("next").isNotNull().alias("moved")), "variant-links")
         links = step.select("child", "parent")
