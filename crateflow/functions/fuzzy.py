@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crateflow.functions.numbers import duration_score
+from crateflow.functions.text import match_text
 
 
 def _common(a: str, b: str) -> int:
@@ -55,27 +56,53 @@ token_set = _arrow(token_set_ratio)
 token_sort = _arrow(token_sort_ratio)
 
 
-def match_text(c: Column) -> Column:
-    """Text for comparison: lower case without marks of Latin letters, bracketed notes and signs."""
-    c = F.translate(F.lower(c), "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ", "aaaaaaceeeeiiiinooooouuuuyy")
-    c = F.regexp_replace(c, r"[(\[][^)\]]*[)\]]", " ")
-    c = F.regexp_replace(c, r"\b(feat|ft|featuring)\b\.?", "feat")
-    return F.trim(F.regexp_replace(F.regexp_replace(c, r"[^a-z0-9\s]", " "), r"\s+", " "))
+#: Phrases of a title that speak for an official upload.
+OFFICIAL = ("official audio", "official video", "official music video", "official visualizer", "official lyric video")
+#: Words of a clip's title that rule it out, and those that lower its score, unless they are asked for.
+REJECTED = (
+    "full album", "full ep", "full mixtape", "complete album", "all songs", "playlist", "reaction", "review", "explained", "breakdown", "tutorial", "how to play", "guitar lesson", "drum cover",
+    "first time listening", "first time hearing", "karaoke", "instrumental", "backing track", "minus one", "nightcore", "daycore", "8d audio", "8d", "bass boosted", "top 10", "top 20", "best of", "greatest hits", "compilation", "megamix",
+)
+LOWERED = {"live": 0.7, "cover": 0.3, "remix": 0.6, "acoustic": 0.7, "slowed": 0.3, "reverb": 0.4, "sped up": 0.3, "speed up": 0.3, "lofi": 0.4, "lo-fi": 0.4, "extended": 0.6, "extended mix": 0.5}
+#: Shares of artist and title, and of the signals with and without a clip's own artist and track fields.
+ARTIST_SHARE, TITLE_SHARE = 0.45, 0.55
+TOPIC = " - Topic"
 
 
-def keyword_factor(found: Column, wanted: Column, reject: list[str], penalties: dict[str, float]) -> Column:
-    """0 if a rejected word stands in the found text and not in the wanted one, else the smallest penalty, else 1."""
+def keyword_factor(found: Column, wanted: Column, reject=REJECTED, lower=LOWERED) -> Column:
+    """0 if a rejected word stands in the found text and not in the wanted one, else the smallest factor of a whole word, else 1.
+
+    A word that stands anywhere in the wanted text, even inside another word, is asked for.
+    """
     f, w = F.lower(found), F.lower(wanted)
     bad = F.exists(F.array(*map(F.lit, reject)), lambda k: f.contains(k) & ~w.contains(k))
-    cuts = [F.when(f.rlike(rf"\b{k}\b") & ~w.rlike(rf"\b{k}\b"), p).otherwise(1.0) for k, p in penalties.items()]
+    cuts = [F.when(f.rlike(rf"(?U)\b\Q{k}\E\b") & ~w.contains(k), p).otherwise(1.0) for k, p in lower.items()]
     return F.when(bad, 0.0).otherwise(F.least(F.lit(1.0), *cuts, F.lit(1.0)))
 
 
-def channel_trust(ratio_: Column, channel: Column, title: Column, followers: Column | None = None) -> Column:
-    base = F.when(channel.endswith("- Topic") & (ratio_ > 0.8), 1.0).when(ratio_ > 0.85, 0.9).when(ratio_ > 0.7, 0.7).otherwise(0.5)
+def named_share(artist: Column, title: Column, names: list[Column], found: Column) -> Column:
+    """Likeness of an expected artist to any of the names and of an expected title to the found one; all are match texts."""
+    like = lambda a, b: F.coalesce(token_set(a, b), F.lit(0.0))
+    return ARTIST_SHARE * F.greatest(F.lit(0.0), *[like(artist, n) for n in names]) + TITLE_SHARE * F.coalesce(token_sort(title, found), F.lit(0.0))
+
+
+def structured_share(artist: Column, title: Column, own_artist: Column, own_track: Column) -> Column:
+    """Likeness to a clip's own artist and track, null if it lacks one; all are match texts."""
+    both = ARTIST_SHARE * token_set(artist, own_artist) + TITLE_SHARE * token_set(title, own_track)
+    return F.when((own_artist != "") & (own_track != ""), both)
+
+
+def channel_trust(artist: Column, channel: Column, uploader: Column, title: Column, followers: Column | None = None) -> Column:
+    """Trust in a clip's source; ``artist`` is a match text, the others are plain and may be null."""
+    names = [F.coalesce(c, F.lit("")) for c in (channel, uploader)]
+    like = lambda c: F.coalesce(token_set(artist, match_text(c)), F.lit(0.0))
+    topic = [n.endswith(TOPIC) & (like(F.replace(n, F.lit(TOPIC), F.lit(""))) > 0.8) for n in names]
+    near = F.greatest(*map(like, names))
+    base = F.when(near > 0.85, 0.9).when(near > 0.7, 0.7).otherwise(0.5)
     if followers is not None:
         base = F.greatest(base, F.when(followers > 1_000_000, 0.8).when(followers > 100_000, 0.7).when(followers > 10_000, 0.6).otherwise(0.0))
-    return F.least(F.lit(1.0), base + F.when(F.lower(title).rlike(r"official (audio|video|music)"), 0.1).otherwise(0.0))
+    says = F.exists(F.array(*map(F.lit, OFFICIAL)), lambda k: F.contains(F.lower(F.coalesce(title, F.lit(""))), k))
+    return F.when(topic[0] | topic[1], 1.0).otherwise(F.when(says, F.least(F.lit(1.0), base + 0.1)).otherwise(base))
 
 
 def composite(fuzzy: Column, structured: Column, channel: Column, seconds: Column, factor: Column) -> Column:

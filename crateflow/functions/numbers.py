@@ -70,6 +70,11 @@ def daypart(hour: Column) -> Column:
     return out
 
 
+def hours_between(a: Column, b: Column) -> Column:
+    """Hours from a up to b, over midnight if b is not later."""
+    return F.when(a < b, F.sequence(a, b - 1)).otherwise(F.concat(F.sequence(a, F.lit(23)), F.when(b > 0, F.sequence(F.lit(0), b - 1)).otherwise(F.array().cast("array<int>"))))
+
+
 def age_days(at: Column, now: Column) -> Column:
     return (now - at) / F.lit(86400.0)
 

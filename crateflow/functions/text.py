@@ -1,31 +1,88 @@
-"""Text functions as Column expressions; they stay in the JVM and in code generation.
+"""Text functions as Column expressions; they stay in the JVM and in code generation, but for Unicode decompositions.
 
-ASCII classes are used, as in SQL engines; ``unicode=True`` asks for Unicode's white space and word characters.
+White space is Unicode's, as in the services whose keys have to be met.
 """
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Entities decoded in this order.
-ENTITIES = (("&amp;", "&"), ("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&nbsp;", " "))
+ENTITIES = (("&#8211;", "–"), ("&#8212;", "—"), ("&#8220;", "“"), ("&#8221;", "”"), ("&#038;", "&"), ("&amp;", "&"))
+#: Separators of artist and title, signs stripped from keys and file names, quotes stripped from edges.
+DASHES, TILDE = "[–—‒\\-·]", "~"
+KEY_SIGNS, FILE_SIGNS = "[()\\[\\]\"']", '[<>:"/\\\\|?*]'
+EDGE_QUOTES = "^[\"“”‘’']+|[\"“”‘’']+$"
+#: White space in Unicode's sense.
+SPACE = r"[\s\x{0B}\x{1C}-\x{1F}\x{85}\p{Z}]"
+#: Notes of clips that say nothing of the recording, and ways to write a guest.
+NOISE = ("official music video", "official video", "official audio", "lyric video", "lyrics", "lyric", "audio", "visualizer", "official visualizer", "official lyric video", "hq", "hd", "4k")
+GUEST = re.compile(r"\b(?:feat\.?|ft\.?|featuring)\b")
+_NOISE = re.compile(r"[(\[](?:" + "|".join(n.replace(" ", r"\s*") for n in NOISE) + r")[)\]]")
 
 
-def squeezed(c: Column, unicode: bool = False) -> Column:
+def stripped(c: Column) -> Column:
+    return F.regexp_replace(c, f"^{SPACE}+|{SPACE}+$", "")
+
+
+def squeezed(c: Column) -> Column:
     """Runs of white space as one space, none at the ends."""
-    return F.trim(F.regexp_replace(c, r"(?U)\s+" if unicode else r"\s+", " "))
+    return F.trim(F.regexp_replace(c, f"{SPACE}+", " "))
 
 
-def key_part(c: Column, unicode: bool = False) -> Column:
-    return squeezed(F.regexp_replace(F.lower(c), r"[()\[\]\"']", ""), unicode)
+def key_part(c: Column) -> Column:
+    return squeezed(F.regexp_replace(F.lower(c), KEY_SIGNS, ""))
 
 
-def track_key(artist: Column, title: Column, unicode: bool = False) -> Column:
+def track_key(artist: Column, title: Column) -> Column:
     """The usual key of an artist and a title; null if one is null."""
-    return F.concat(key_part(artist, unicode), F.lit(" - "), key_part(title, unicode))
+    return F.concat(key_part(artist), F.lit(" - "), key_part(title))
+
+
+def file_key(artist: Column, title: Column) -> Column:
+    """The usual key, null if artist or title is null or blank."""
+    return F.when((stripped(artist) != "") & (stripped(title) != ""), track_key(artist, title))
+
+
+def _decomposed(s: str) -> str:
+    return s if s.isascii() else "".join(c for c in unicodedata.normalize("NFKD", s) if not unicodedata.combining(c))
+
+
+def clip_words(s: str) -> str:
+    """Text for comparison: no marks, lower case, no notes of clips, one form of guests, letters and digits only."""
+    s = GUEST.sub("feat", _NOISE.sub("", _decomposed(s).lower()))
+    return " ".join(re.sub(r"[^a-z0-9\s]", " ", s).split())
+
+
+def artist_words(s: str) -> str:
+    """Artist for comparison: no marks, lower case, words only."""
+    return " ".join(re.sub(r"[^\w\s]", " ", _decomposed(s).lower()).split())
+
+
+def ascii_letters(s: str) -> str:
+    """Letters and digits that survive every way to rename a file."""
+    return "".join(c for c in _decomposed(s.lower()) if c.isascii() and c.isalnum())
+
+
+def _on_distinct(f: Callable[[str], str]):
+    """Arrow function that works on the distinct values of each batch; Spark has no decomposition of its own."""
+
+    def run(s: pd.Series) -> pd.Series:
+        codes, values = pd.factorize(s)
+        out = pd.Series([f(v) for v in values] + [None], dtype=object)
+        return out.take(codes).reset_index(drop=True)
+
+    return F.pandas_udf(run, T.StringType())
+
+
+match_text, artist_text, skeleton = _on_distinct(clip_words), _on_distinct(artist_words), _on_distinct(ascii_letters)
 
 
 def cache_key(artist: Column, title: Column) -> Column:
@@ -43,14 +100,19 @@ def search_text(artist: Column, title: Column) -> Column:
 
 
 def safe_filename(c: Column, most: int = 200) -> Column:
-    return F.substring(squeezed(F.regexp_replace(c, r'[<>:"/\\|?*]', "")), 1, most)
+    return F.substring(squeezed(F.regexp_replace(c, FILE_SIGNS, "")), 1, most)
 
 
 def decoded(c: Column) -> Column:
-    """Entities decoded and quotes at the edges dropped."""
+    """Entities decoded."""
     for a, b in ENTITIES:
         c = F.replace(c, F.lit(a), F.lit(b))
-    return F.regexp_replace(c, "^[\"“”‘’']+|[\"“”‘’']+$", "")
+    return c
+
+
+def cleaned(c: Column) -> Column:
+    """Without quotes at the edges, then without white space there."""
+    return stripped(F.regexp_replace(c, EDGE_QUOTES, ""))
 
 
 def without_tags(c: Column) -> Column:
@@ -65,6 +127,16 @@ def masked(c: Column) -> Column:
     return F.concat(F.lit("********..."), F.right(c, F.lit(4)))
 
 
+def resized(url: Column, old: int, new: int) -> Column:
+    """Link to an image of another size."""
+    return F.replace(url, F.lit(f"{old}x{old}"), F.lit(f"{new}x{new}"))
+
+
+def is_png(data: Column) -> Column:
+    """By the first bytes of a file."""
+    return F.startswith(data, F.lit(b"\x89PNG"))
+
+
 def last_part(c: Column, sep: str) -> Column:
     """What stands after the last separator, in lower case."""
     return F.element_at(F.split(F.lower(c), sep), -1)
@@ -85,19 +157,19 @@ def fingerprint_hash(c: Column) -> Column:
     return F.substring(F.sha1(c.cast("binary")), 1, 20)
 
 
-def _pair(c: Column, pattern: str) -> Column:
-    parts = F.split(c, pattern, 2)
-    a, b = F.trim(F.get(parts, F.lit(0))), F.trim(F.get(parts, F.lit(1)))
+def _pair(c: Column, sign: str) -> Column:
+    parts = F.split(decoded(c), f"{SPACE}+{sign}{SPACE}+", 2)
+    a, b = cleaned(F.get(parts, F.lit(0))), cleaned(F.get(parts, F.lit(1)))
     return F.when((F.size(parts) == 2) & (a != "") & (b != ""), F.struct(a.alias("artist"), b.alias("title")))
 
 
 def dash_pair(title: Column, link: Column | None = None) -> Column:
     """Artist and title around the first dash with spaces, or null."""
-    return _pair(title, r"\s+[–—‒\-·]\s+")
+    return _pair(title, DASHES)
 
 
 def tilde_pair(title: Column, link: Column | None = None) -> Column:
-    return _pair(title, r"\s+~\s+")
+    return _pair(title, TILDE)
 
 
 def slug(c: Column) -> Column:
@@ -107,14 +179,15 @@ def slug(c: Column) -> Column:
 def slug_pair(title: Column, link: Column) -> Column:
     """Artist from the part of the link's last segment before the title's slug."""
     seg = F.element_at(F.split(F.regexp_replace(link, "/+$", ""), "/"), -1)
-    s = slug(title)
+    t = cleaned(decoded(title))
+    s = slug(t)
     artist = F.initcap(F.replace(F.substring(seg, F.lit(1), F.length(seg) - F.length(s) - 1), F.lit("-"), F.lit(" ")))
     fits = (s != "") & F.endswith(seg, F.concat(F.lit("-"), s)) & (F.length(seg) > F.length(s) + 1)
-    return F.when(fits, F.struct(artist.alias("artist"), F.trim(title).alias("title")))
+    return F.when(fits, F.struct(artist.alias("artist"), t.alias("title")))
 
 
-#: Parsers by name; feeds name theirs, callers may add their own.
-PARSERS: dict[str, Callable[[Column, Column], Column]] = {"dash": dash_pair, "dash_quoted": lambda t, l=None: dash_pair(decoded(t)), "tilde": tilde_pair, "slug": slug_pair}
+#: Parsers by the names that feeds give; callers may add their own.
+PARSERS: dict[str, Callable[[Column, Column], Column]] = {"dash": dash_pair, "tilde": tilde_pair, "dash_quoted": dash_pair, "pitchfork": slug_pair}
 
 
 def parsed_by(name: Column, title: Column, link: Column) -> Column:

@@ -67,11 +67,15 @@ def cached_or(df: DataFrame, cache: DataFrame, key: str, value: str, fetched: st
     return df.join(fresh, key, "left").withColumn("hit", F.coalesce("hit", F.lit(False)))
 
 
-def upserted(old: DataFrame, new: DataFrame, key: str, keep: list[str], take: list[str], order: list) -> DataFrame:
-    """Old rows updated and new ones added: ``keep`` columns stay as they were, ``take`` columns come from the new row."""
+def upserted(old: DataFrame, new: DataFrame, key: str, keep: list[str], take: list[str], order: list, reset: dict[str, Column] | None = None) -> DataFrame:
+    """Old rows updated and new ones added: ``keep`` columns stay as they were, ``take`` columns come from the new row.
+
+    ``reset`` columns are set to a value wherever a new row comes.
+    """
     last = new.groupBy(key).agg(*(F.max_by(c, F.struct(*order)).alias(f"new_{c}") for c in [*keep, *take]), F.lit(True).alias("_new"))
     both = old.join(last, key, "full_outer")
     cols = [F.coalesce(c, f"new_{c}").alias(c) for c in keep] + [F.when(F.col("_new"), F.col(f"new_{c}")).otherwise(F.col(c)).alias(c) for c in take]
+    cols += [F.when(F.col("_new"), v).otherwise(F.col(c)).alias(c) for c, v in (reset or {}).items()]
     return both.select(key, *cols)
 
 
@@ -124,10 +128,22 @@ def rotated(df: DataFrame, order: list[str], start: int, take: int) -> tuple[Dat
 def round_robin(df: DataFrame, group: str, within: str, order: list, n: int) -> DataFrame:
     """n rows per group, taken in turns from its parts."""
     depth = F.row_number().over(Window.partitionBy(group, within).orderBy(*order))
-    df = df.withColumn("_depth", depth)
+    # more than n rows of one part are never needed; this cut works before the shuffle
+    df = df.withColumn("_depth", depth).where(F.col("_depth") <= n)
     return df.withColumn("_turn", F.row_number().over(Window.partitionBy(group).orderBy("_depth", within, *order))).where(F.col("_turn") <= n).drop("_depth", "_turn")
 
 
+def names_of(structs: Column) -> Column:
+    """Distinct names of a list of structs, without blanks."""
+    return F.array_distinct(F.filter(F.transform(structs, lambda p: p["name"]), lambda n: n.isNotNull() & (n != "")))
+
+
+def create_missing(want: DataFrame, there: DataFrame, key: str) -> DataFrame:
+    """Wanted rows with what is to be done: create those that aren't there, skip the others."""
+    held = there.select(key).distinct().withColumn("_there", F.lit(True))
+    return want.join(held, key, "left").select(key, F.when(F.col("_there"), "skipped").otherwise("create").alias("op"))
+
+
 def ordered_distinct(c: Column) -> Column:
     """Lower-case, trimmed distinct values in order, without blanks."""
     return F.array_distinct(F.filter(F.transform(c, lambda x: F.lower(F.trim(x))), lambda x: x.isNotNull() & (x != "")))
@@ -146,6 +162,21 @@ def first_reason(*rules: tuple[Column, str | Column]) -> Column:
 
 
 def exact_percentiles(df: DataFrame, by: list[str], value: str, shares: dict[str, float]) -> DataFrame:
-    """Linear-interpolated percentiles with count, minimum and maximum."""
-    p = [F.percentile(value, s).alias(n) for n, s in shares.items()]
-    return df.groupBy(*by).agg(F.count(value).alias("n"), F.min(value).alias("least"), *p, F.max(value).alias("most"))
+    """Linear-interpolated percentiles with count, minimum and maximum.
+
+    Values are counted first, before the shuffle; a running sum over the distinct values of a group tells which hold the wanted
+    places, so no task buffers a group. The two values around a place are its ceiling's and its floor's.
+    """
+    rows = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("_v")).agg(F.count("*").alias("_c"))
+    total = rows.groupBy(*by).agg(F.sum("_c").alias("n"), F.min("_v").alias("least"), F.max("_v").alias("most"))
+    upto = rows.withColumn("_e", F.sum("_c").over(Window.partitionBy(*by).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)))
+    both = upto.join(F.broadcast(total) if not by else total, by) if by else upto.crossJoin(total)
+    first = {}
+    for name, share in shares.items():
+        at = F.lit(share) * (F.col("n") - 1)
+        for end, place in (("lo", F.floor(at)), ("hi", F.ceil(at))):
+            first[f"{name}_{end}"] = F.min(F.when(F.col("_e") > place, F.col("_v")))
+    got = both.groupBy(*by, "n", "least", "most").agg(*(v.alias(k) for k, v in first.items()))
+    part = lambda s: F.lit(s) * (F.col("n") - 1) - F.floor(F.lit(s) * (F.col("n") - 1))
+    out = [(F.col(f"{k}_lo") + (F.col(f"{k}_hi") - F.col(f"{k}_lo")) * part(s)).alias(k) for k, s in shares.items()]
+    return got.select(*by, "n", "least", *out, "most")

@@ -2,16 +2,49 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from crateflow.functions.numbers import dot
+from crateflow.sources.sinks import VersionedTable, last_wins
 
 BLOCK = 8_192
-#: The walk folds over one array; larger stores are walked by top-1 searches.
-FOLD_VALUES = 10_000_000
+#: Values of a reference set below which every task gets the whole of it.
+SMALL_VALUES = 1 << 22
+
+
+def nearest_to(df: DataFrame, key: str, field: str, query: list[float], k: int) -> DataFrame:
+    """k rows most similar to a vector from outside, ties by key: per-task heaps, merged."""
+    q = F.array(*[F.lit(float(x)) for x in query])
+    rows = df.where(F.size(field) == len(query)).select(key, dot(F.col(field), q).alias("similarity"))
+    return rows.orderBy(F.desc("similarity"), key).limit(k)
+
+
+def store_info(df: DataFrame, key: str, field: str, dim: int) -> DataFrame:
+    """Rows, keys, dimensions and kind of a store of vectors, and how many are usable."""
+    ok = (F.size(field) == dim) & F.exists(F.col(field), lambda x: x != 0)
+    kind = df.schema[field].dataType.elementType.simpleString()
+    return df.agg(F.count("*").alias("rows"), F.countDistinct(key).alias("keys"), F.lit(dim).alias("dimensions"), F.lit(kind).alias("kind"), F.count_if(F.coalesce(ok, F.lit(False))).alias("usable"))
+
+
+class VectorStore:
+    """Vectors by key in versions, each with the number it should hold; a version that doesn't hold as many counts as empty."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: str = "key string, vector array<float>"):
+        self.data, self.index = VersionedTable(spark, f"{path}/vectors", schema), VersionedTable(spark, f"{path}/index", "rows bigint")
+
+    def all(self) -> DataFrame:
+        rows, said = self.data.read(), self.index.read().first()
+        return rows if said and rows.count() == said[0] else rows.limit(0)
+
+    def add(self, new: DataFrame) -> None:
+        """New vectors take the place of held ones of the same key; of several the last by their order in ``new`` is arbitrary, so keys must be unique."""
+        self.data.write(last_wins(self.all(), new, "key"))
+        self.index.write(self.data.read().agg(F.count("*").alias("rows")))
 
 
 def nearest(df: DataFrame, key: str, field: str, seed, k: int, restrict: DataFrame | None = None, overfetch: bool = False) -> DataFrame:
@@ -34,54 +67,66 @@ def nearest(df: DataFrame, key: str, field: str, seed, k: int, restrict: DataFra
 
 
 def walk(df: DataFrame, key: str, field: str, seed, length: int) -> DataFrame:
-    """(step, key): start at the seed, go on to the most similar row not yet used."""
-    spark = df.sparkSession
-    rows = df.select(key, field).cache()
-    path = [seed]
-    at = rows.where(F.col(key) == seed).select(field).collect()
-    if not at:
-        return spark.createDataFrame([], f"step int, {key} {dict(df.dtypes)[key]}")
-    v = at[0][0]
-    for _ in range(length - 1):
-        s = F.aggregate(F.zip_with(F.col(field), F.array(*[F.lit(float(x)) for x in v]), lambda x, y: x.cast("double") * y), F.lit(0.0), lambda a, x: a + x)
-        best = rows.where(~F.col(key).isin(path)).select(key, field, s.alias("_s")).orderBy(F.desc("_s"), key).limit(1).collect()
-        if not best:
-            break
-        path.append(best[0][0])
-        v = best[0][1]
-    rows.unpersist()
-    return spark.createDataFrame([(i, p) for i, p in enumerate(path)], f"step int, {key} {dict(df.dtypes)[key]}")
+    """(step, key): start at the seed, go on to the most similar row not yet used; one scan with a heap a step."""
+    spark, kind = df.sparkSession, dict(df.dtypes)[key]
+    rows = df.where(F.col(field).isNotNull()).select(key, field)
+    at = rows.where(F.col(key) == seed).limit(1).collect()
+    path = [seed] if at else []
+    while at and len(path) < length:
+        s = dot(F.col(field), F.array(*[F.lit(float(x)) for x in at[0][1]]))
+        at = rows.where((F.size(field) == len(at[0][1])) & ~F.col(key).isin(path)).select(key, field, s.alias("_s")).orderBy(F.desc("_s"), key).limit(1).collect()
+        path += [r[0] for r in at]
+    return spark.createDataFrame([(i, p) for i, p in enumerate(path)], f"step int, {key} {kind}")
+
+
+def _matrix(col: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
+    col = col.combine_chunks() if isinstance(col, pa.ChunkedArray) else col
+    return col.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
 
 
 def best_mean(queries: DataFrame, reference: DataFrame, key: str, field: str, k: int) -> DataFrame:
     """(key, score): mean of the k highest inner products of each query with the reference rows.
 
-    The reference is cut into blocks that each query batch meets once; each block yields k values a query, which are
-    merged by a second small aggregation. k is clamped to the size of the reference.
+    Null vectors, and those of another length than the first reference row, have no score and count for none; k is clamped to the
+    size of the reference; keys may be of any type. A reference below SMALL_VALUES values goes to every task as it is; a larger
+    one is cut into blocks that each share of the queries meets once, each block giving k values a query.
     """
-    blocks, shares = max(1, -(-reference.count() // BLOCK)), max(16, -(-queries.count() // (8 * BLOCK)))
-    ref = reference.select(F.col(field).alias("x"), F.pmod(F.xxhash64(field), F.lit(blocks)).cast("int").alias("block"), F.lit(None).cast("long").alias("k"), F.explode(F.sequence(F.lit(0), F.lit(shares - 1))).alias("share"))
-    q = queries.select(F.col(field).alias("x"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.col(key).cast("long").alias("k"), F.pmod(F.xxhash64(key), F.lit(shares)).cast("int").alias("share"))
-
-    def top(t: pa.Table) -> pa.Table:
-        x = np.array(t.column("x").to_pylist(), dtype=np.float64)
-        ids = t.column("k")
-        is_q = ~ids.is_null().to_numpy(zero_copy_only=False)
-        keys = ids.filter(pa.array(is_q)).to_numpy()
-        out_k, out_s = [], []
-        if is_q.any() and (~is_q).any():
-            r = x[~is_q]
-            n = min(k, len(r))
-            for i in range(0, len(keys), 1024):
-                s = x[is_q][i : i + 1024] @ r.T
-                best = -np.partition(-s, n - 1, axis=1)[:, :n]
-                out_k.append(np.repeat(keys[i : i + 1024], n))
-                out_s.append(best.ravel())
-        join = lambda v, d: np.concatenate(v) if v else np.zeros(0, d)
-        return pa.table({"k": join(out_k, np.int64), "s": join(out_s, np.float64)})
-
-    cols = ["x", "block", "k", "share"]
-    part = ref.select(cols).unionByName(q.select(cols)).groupBy("block", "share").applyInArrow(top, "k bigint, s double")
+    kind = dict(queries.dtypes)[key]
+    one = reference.where(F.col(field).isNotNull()).select(F.size(field)).first()
+    empty = queries.sparkSession.createDataFrame([], f"{key} {kind}, score double")
+    if one is None:
+        return empty
+    dim = one[0]
+    full = lambda x: (F.size(x) == dim) & ~F.exists(F.col(x), lambda v: v.isNull())
+    ref = reference.select(F.col(field).alias("x")).where(full("x"))
+    q = queries.select(F.col(key).alias("k"), F.col(field).alias("x")).where(full("x"))
+    rows = ref.count()
+
+    def top(x: np.ndarray, r: np.ndarray) -> np.ndarray:
+        n = min(k, len(r))
+        return -np.partition(-(x @ r.T), n - 1, axis=1)[:, :n]
+
+    if rows * dim <= SMALL_VALUES:
+        held = _matrix(ref.toArrow().column("x"), dim)
+
+        def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for i in range(0, b.num_rows, 1024):
+                    part = b.slice(i, 1024)
+                    yield pa.RecordBatch.from_arrays([part.column(0), pa.array(top(_matrix(part.column(1), dim), held).mean(1))], [key, "score"])
+
+        return q.mapInArrow(score, f"{key} {kind}, score double") if rows else empty
+    blocks, shares = -(-rows // BLOCK), max(16, -(-q.count() // (8 * BLOCK)))
+    left = q.withColumn("share", F.pmod(F.xxhash64("k"), F.lit(shares)).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    right = ref.withColumn("block", F.pmod(F.xxhash64("x"), F.lit(blocks)).cast("int")).withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
+
+    def met(a: pa.Table, b: pa.Table) -> pa.Table:
+        if not len(a) or not len(b):
+            return pa.table({"k": a.column("k")[:0], "s": pa.array([], pa.float64())})
+        x, r = _matrix(a.column("x"), dim), _matrix(b.column("x"), dim)
+        s = np.concatenate([top(x[i : i + 1024], r) for i in range(0, len(x), 1024)])
+        return pa.table({"k": a.column("k").take(pa.array(np.repeat(np.arange(len(x)), s.shape[1]))), "s": pa.array(s.ravel())})
+
+    part = left.groupBy("share", "block").cogroup(right.groupBy("share", "block")).applyInArrow(met, f"k {kind}, s double")
     ranked = part.withColumn("_r", F.row_number().over(Window.partitionBy("k").orderBy(F.desc("s")))).where(F.col("_r") <= k)
     return ranked.groupBy(F.col("k").alias(key)).agg(F.avg("s").alias("score"))
-

@@ -32,11 +32,30 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-_KEY = r"trim(regexp_replace(regexp_replace(lower({0}), '[()\[\]\"'']', '', 'g'), '\s+', ' ', 'g'))"
+def key_part_sql(x: str) -> str:
+    return f"trim(regexp_replace(regexp_replace(lower({x}), '[()\\[\\]\"'']', '', 'g'), '{text.SPACE}+', ' ', 'g'))"
 
 
 def _key_sql(a: str = "artist", t: str = "title") -> str:
-    return f"{_KEY.format(a)} || ' - ' || {_KEY.format(t)}"
+    return f"{key_part_sql(a)} || ' - ' || {key_part_sql(t)}"
+
+
+def decoded_sql(x: str) -> str:
+    for k, v in text.ENTITIES:
+        x = f"replace({x}, '{k}', '{v}')"
+    return x
+
+
+def cleaned_sql(x: str) -> str:
+    quotes = text.EDGE_QUOTES.replace("'", "''")
+    return f"regexp_replace(regexp_replace({x}, '{quotes}', '', 'g'), '^{text.SPACE}+|{text.SPACE}+$', '', 'g')"
+
+
+def _pair_sql(sign: str) -> str:
+    return f"""
+WITH s AS (SELECT result_id, regexp_extract({decoded_sql('title')}, '(?s)^(.*?){text.SPACE}+{sign}{text.SPACE}+(.*)$', ['a', 't']) AS p FROM search_result WHERE title IS NOT NULL),
+c AS (SELECT result_id, {cleaned_sql('p.a')} AS artist, {cleaned_sql('p.t')} AS title FROM s)
+SELECT result_id, artist, title FROM c WHERE artist <> '' AND title <> ''"""
 
 
 @query()
@@ -63,22 +82,18 @@ def q_cache_key(spark, sf_dir):
     return table(spark, sf_dir, "genre_result").select("lookup_id", text.cache_key(F.col("artist"), F.col("title")).alias("cache_key"))
 
 
-@query(r"""SELECT result_id, substr(trim(regexp_replace(regexp_replace(title, '[<>:"/\\|?*]', '', 'g'), '\s+', ' ', 'g')), 1, 200) AS safe_name FROM search_result""")
+@query(r"""SELECT result_id, substr(trim(regexp_replace(regexp_replace(title, '[<>:"/\\|?*]', '', 'g'), '[\s\x{0B}\x{1C}-\x{1F}\x{85}\p{Z}]+', ' ', 'g')), 1, 200) AS safe_name FROM search_result""")
 def q_safe_filename(spark, sf_dir):
     return table(spark, sf_dir, "search_result").select("result_id", text.safe_filename(F.col("title")).alias("safe_name"))
 
 
-@query(r"""
-WITH s AS (SELECT result_id, regexp_extract(title, '^(.*?)\s+[–—‒\-·]\s+(.*)$', ['a', 't']) AS p FROM search_result WHERE title IS NOT NULL)
-SELECT result_id, trim(p.a) AS artist, trim(p.t) AS title FROM s WHERE trim(p.a) <> '' AND trim(p.t) <> ''""")
+@query(_pair_sql("[–—‒\\-·]"))
 def q_parse_dash(spark, sf_dir):
     p = table(spark, sf_dir, "search_result").select("result_id", text.dash_pair(F.col("title")).alias("p"))
     return p.where("p IS NOT NULL").select("result_id", "p.artist", "p.title")
 
 
-@query(r"""
-WITH s AS (SELECT result_id, regexp_extract(title, '^(.*?)\s+~\s+(.*)$', ['a', 't']) AS p FROM search_result WHERE title IS NOT NULL)
-SELECT result_id, trim(p.a) AS artist, trim(p.t) AS title FROM s WHERE trim(p.a) <> '' AND trim(p.t) <> ''""")
+@query(_pair_sql(text.TILDE))
 def q_parse_tilde(spark, sf_dir):
     p = table(spark, sf_dir, "search_result").select("result_id", text.parsed_by(F.lit("tilde"), F.col("title"), F.col("url")).alias("p"))
     return p.where("p IS NOT NULL").select("result_id", "p.artist", "p.title")
@@ -197,11 +212,15 @@ def q_fp_lookup(spark, sf_dir):
     return rel.looked_up(t.where("batch_no > 0"), t.where("batch_no = 0 AND h IS NOT NULL"), "h", ["track_id"], "track_id", "known").select("track_id", F.coalesce("known", F.lit(-1)).alias("known"))
 
 
-@query(r"""
-WITH s AS (SELECT track_id, regexp_replace(lower(title), '[^a-z0-9]', '', 'g') AS k FROM tracks), u AS (SELECT k, min(track_id) AS only_id FROM s WHERE k <> '' GROUP BY k HAVING count(*) = 1)
-SELECT result_id, only_id FROM (SELECT result_id, regexp_replace(lower(title), '[^a-z0-9]', '', 'g') AS k FROM search_result WHERE title IS NOT NULL) JOIN u USING (k)""")
+_SKELETON = "regexp_replace(lower(strip_accents(title)), '[^a-z0-9]', '', 'g')"
+
+
+@query(f"""
+WITH s AS (SELECT track_id, {_SKELETON} AS k FROM tracks), u AS (SELECT k, min(track_id) AS only_id FROM s WHERE k <> '' GROUP BY k HAVING count(*) = 1)
+SELECT result_id, only_id FROM (SELECT result_id, {_SKELETON} AS k FROM search_result WHERE title IS NOT NULL) JOIN u USING (k)""")
 def q_unique_match(spark, sf_dir):
-    skeleton = F.regexp_replace(F.lower("title"), "[^a-z0-9]", "").alias("k")
+    """Files are renamed on their way, so only what survives renaming is compared."""
+    skeleton = text.skeleton(F.col("title")).alias("k")
     lib = table(spark, sf_dir, "tracks").select("track_id", skeleton).where("k <> ''")
     clips = table(spark, sf_dir, "search_result").where("title IS NOT NULL").select("result_id", skeleton)
     return rel.unique_match(clips, lib, "k", "track_id").where("track_id IS NOT NULL").select("result_id", F.col("track_id").alias("only_id"))
@@ -273,15 +292,25 @@ def q_reject_reason(spark, sf_dir):
     return table(spark, sf_dir, "track_features").select("feature_id", reason.alias("reason")).distinct()
 
 
-@query("""
-WITH s AS (SELECT DISTINCT feature_id, coalesce(mood_aggressive > 0.45, false) AS a, coalesce(arousal > 0.3 AND valence < -0.2, false) AS b, coalesce(lower(split_part(genre_top, '---', -1)) IN ('night house', 'slow wave'), false) AS c FROM track_features)
-SELECT feature_id, concat_ws('+', CASE WHEN a THEN 'aggressive' END, CASE WHEN b THEN 'tense' END, CASE WHEN c THEN 'genre' END) AS signals, a::INT + b::INT + c::INT >= 2 AS rejected FROM s""")
+#: Limits of the signals and what the genre and tag signals look for.
+LOUD, SOLO, TENSE, DARK, BAD_GENRES, BAD_TAGS = 0.45, 0.9, 0.3, -0.2, ("night house", "slow wave"), ("trip hop", "ambient")
+
+
+@query(f"""
+WITH s AS (SELECT DISTINCT feature_id, coalesce(mood_aggressive, 0) AS m, coalesce(genre_top, '') AS g, coalesce(mood_aggressive, 0) > {LOUD} AS a, coalesce(arousal, 0) > {TENSE} AND coalesce(valence, 0) < {DARK} AS b, lower(split_part(coalesce(genre_top, ''), '---', -1)) IN {BAD_GENRES} AS c,
+  len(list_filter(string_split(lower(coalesce(lastfm_tags, '')), ','), lambda x: trim(x, ' ') IN {BAD_TAGS})) > 0 AS d FROM track_features),
+n AS (SELECT *, concat_ws(', ', CASE WHEN a THEN 'aggressive_ml' END, CASE WHEN b THEN 'arousal_valence' END, CASE WHEN c THEN 'genre_blocked' END, CASE WHEN d THEN 'lastfm_tags' END) AS signals, a::INT + b::INT + c::INT + d::INT AS k FROM s)
+SELECT feature_id, signals, CASE WHEN NOT (m > 0 OR g <> '') THEN '' WHEN m > {SOLO} THEN 'aggressive_solo (' || printf('%.2f', m) || ')' WHEN k >= 2 THEN k || ' signals: ' || signals ELSE '' END AS reason FROM n""")
 def q_multisignal(spark, sf_dir):
-    t = table(spark, sf_dir, "track_features")
-    no = F.lit(False)
-    sig = {"aggressive": F.coalesce(F.col("mood_aggressive") > 0.45, no), "tense": F.coalesce((F.col("arousal") > 0.3) & (F.col("valence") < -0.2), no), "genre": F.coalesce(text.last_part(F.col("genre_top"), "---").isin("night house", "slow wave"), no)}
-    found = F.array_compact(F.array(*[F.when(c, k) for k, c in sig.items()]))
-    return t.select("feature_id", F.array_join(found, "+").alias("signals"), (F.size(found) >= 2).alias("rejected")).distinct()
+    """Four signals, of which two reject, or one alone if it is very strong; rows without any measurement pass."""
+    t, v = table(spark, sf_dir, "track_features"), lambda c: F.coalesce(c, F.lit(0.0))
+    tags = F.coalesce(text.csv_set(F.col("lastfm_tags")), F.array().cast("array<string>"))
+    sig = {"aggressive_ml": v("mood_aggressive") > LOUD, "arousal_valence": (v("arousal") > TENSE) & (v("valence") < DARK), "genre_blocked": F.coalesce(text.last_part(F.col("genre_top"), "---"), F.lit("")).isin(*BAD_GENRES), "lastfm_tags": F.arrays_overlap(tags, F.array(*map(F.lit, BAD_TAGS)))}
+    t = t.withColumn("found", F.array_compact(F.array(*[F.when(c, k) for k, c in sig.items()])))
+    signals = F.array_join("found", ", ")
+    gate = (v("mood_aggressive") > 0) | (F.coalesce("genre_top", F.lit("")) != "")
+    reason = F.when(~gate, "").when(v("mood_aggressive") > SOLO, F.format_string("aggressive_solo (%.2f)", "mood_aggressive")).when(F.size("found") >= 2, F.concat(F.size("found").cast("string"), F.lit(" signals: "), signals)).otherwise("")
+    return t.select("feature_id", signals.alias("signals"), reason.alias("reason")).distinct()
 
 
 @query("SELECT result_id, CASE WHEN duration IS NULL OR duration <= 0 THEN 0.5 WHEN duration < 60 OR duration > 600 THEN 0.0 WHEN duration BETWEEN 120 AND 330 THEN 1.0 WHEN duration < 120 OR duration <= 480 THEN 0.8 ELSE 0.5 END::DOUBLE AS duration_score FROM search_result")
@@ -289,11 +318,16 @@ def q_duration_score(spark, sf_dir):
     return table(spark, sf_dir, "search_result").select("result_id", numbers.duration_score(F.col("duration")).alias("duration_score"))
 
 
-@query(r"""
-SELECT result_id, CASE WHEN lower(title) LIKE '%karaoke%' OR lower(title) LIKE '%1 hour%' THEN 0.0 ELSE least(CASE WHEN regexp_matches(lower(title), '\bcover\b') THEN 0.5 ELSE 1 END, CASE WHEN regexp_matches(lower(title), '\blive\b') THEN 0.7 ELSE 1 END) END::DOUBLE AS factor FROM search_result WHERE title IS NOT NULL""")
+_WANTED = "lower(coalesce(uploader, ''))"
+_FACTOR = f"""
+SELECT result_id, CASE WHEN len(list_filter({list(fuzzy.REJECTED)}, lambda k: contains(lower(title), k) AND NOT contains({_WANTED}, k))) > 0 THEN 0.0 ELSE least(1.0, {", ".join(f"CASE WHEN regexp_matches(lower(title), '(^|[^\\pL\\pN_]){k}($|[^\\pL\\pN_])') AND NOT contains({_WANTED}, '{k}') THEN {p} ELSE 1.0 END" for k, p in fuzzy.LOWERED.items())}) END::DOUBLE AS factor FROM search_result WHERE title IS NOT NULL"""
+
+
+@query(_FACTOR)
 def q_keyword_penalty(spark, sf_dir):
+    """Words that rule a clip out or lower it, unless its uploader's name holds them."""
     s = table(spark, sf_dir, "search_result").where("title IS NOT NULL")
-    return s.select("result_id", fuzzy.keyword_factor(F.col("title"), F.lit(""), ["karaoke", "1 hour"], {"cover": 0.5, "live": 0.7}).alias("factor"))
+    return s.select("result_id", fuzzy.keyword_factor(F.col("title"), F.coalesce("uploader", F.lit(""))).alias("factor"))
 
 
 @query("SELECT title, arg_max(result_id, (score, -result_id)) AS best_id, max(score) AS best_score FROM search_result WHERE title IS NOT NULL AND score >= 0.6 GROUP BY title")
@@ -304,17 +338,24 @@ def q_best_match(spark, sf_dir):
 
 @query()
 def q_fuzzy_match(spark, sf_dir):
-    """Composite score of each clip against the track of its normalised title; ratios run in Arrow batches."""
-    t = table(spark, sf_dir, "tracks").groupBy("artist", "title").agg(F.min("track_id").alias("track_id"))
-    t = t.select("track_id", F.col("artist").alias("want_artist"), F.col("title").alias("want_title"), fuzzy.match_text(F.col("title")).alias("k")).where("k <> ''")
-    c = table(spark, sf_dir, "search_result").withColumn("k", fuzzy.match_text(F.substring_index(F.regexp_replace("title", r"\s+[–—|~:·/-]+\s+", "\x01"), "\x01", -1)))
-    m = c.join(t, "k")
-    a, ti = fuzzy.match_text(F.col("want_artist")), fuzzy.match_text(F.col("want_title"))
-    artist = F.greatest(fuzzy.token_set(a, fuzzy.match_text(F.col("title"))), F.coalesce(fuzzy.token_set(a, fuzzy.match_text(F.col("uploader"))), F.lit(0.0)))
-    fuzz = 0.45 * artist + 0.55 * fuzzy.token_sort(ti, F.col("k"))
-    chan = fuzzy.channel_trust(F.coalesce(fuzzy.token_set(a, fuzzy.match_text(F.col("uploader"))), F.lit(0.0)), F.coalesce("uploader", F.lit("")), F.col("title"))
-    factor = fuzzy.keyword_factor(F.col("title"), F.col("want_title"), ["karaoke", "1 hour"], {"cover": 0.5, "live": 0.7})
-    scored = m.select("result_id", "track_id", fuzzy.composite(fuzz, F.lit(None).cast("double"), chan, F.col("duration"), factor).alias("score"))
+    """Composite score of each clip against the tracks with which it shares a word of the artist and one of the title.
+
+    Pairs of one artist word and one title word are the keys, so neither a hot artist nor a common word meets all its rows;
+    ratios run in Arrow batches on the pairs that meet.
+    """
+    said = lambda *c: F.array_distinct(F.split(F.concat_ws(" ", *c), " "))
+    t = table(spark, sf_dir, "tracks").where("artist IS NOT NULL AND title IS NOT NULL").groupBy("artist", "title").agg(F.min("track_id").alias("track_id"))
+    t = t.select("track_id", "artist", "title", text.match_text(F.col("artist")).alias("a"), text.match_text(F.col("title")).alias("t")).where("a <> '' AND t <> ''")
+    t = t.select("*", F.explode(said("a")).alias("x")).select("*", F.explode(said("t")).alias("y"))
+    c = table(spark, sf_dir, "search_result").where("title IS NOT NULL").select("result_id", "title", "uploader", "channel", "duration", *[text.match_text(F.coalesce(n, F.lit(""))).alias(f"m_{n}") for n in ("title", "uploader", "channel")])
+    words = c.select("result_id", F.explode(said("m_title", "m_uploader", "m_channel")).alias("x"), said("m_title").alias("ys")).select("result_id", "x", F.explode("ys").alias("y"))
+    met = words.join(t.select("track_id", "x", "y"), ["x", "y"]).select("result_id", "track_id").distinct()
+    m = met.join(c, "result_id").join(t.select("track_id", "a", "t", F.col("artist").alias("want_artist"), F.col("title").alias("want_title")).distinct(), "track_id")
+    share = fuzzy.named_share(F.col("a"), F.col("t"), [F.col("m_title"), F.col("m_uploader"), F.col("m_channel")], F.col("m_title"))
+    trust = fuzzy.channel_trust(F.col("a"), F.col("channel"), F.col("uploader"), F.col("title"))
+    factor = fuzzy.keyword_factor(F.col("title"), F.concat_ws(" ", "want_artist", "want_title"))
+    scored = m.select("result_id", "track_id", share.alias("share"), trust.alias("trust"), factor.alias("factor"), "duration")
+    scored = scored.select("result_id", "track_id", fuzzy.composite(F.col("share"), F.lit(None).cast("double"), F.col("trust"), F.col("duration"), F.col("factor")).alias("score"))
     return scored.groupBy("result_id").agg(F.max_by("track_id", F.struct("score", -F.col("track_id"))).alias("track_id"), F.round(F.max("score"), 6).alias("score"))
 
 
@@ -608,7 +649,22 @@ def s_lifecycle(spark, sf_dir):
 
 # dimensions, status rules, quotas and membership changes
 
-_PARTS_OF_MOOD = (("Calm", ("Dawn", "Night")), ("Relaxed", ("Dawn", "Day", "Dusk")), ("Energetic", ("Day",)), ("Excited", ("Day",)), ("Melancholic", ("Day", "Dusk", "Night")), ("Sad", ("Dusk", "Night")), ("Angry", ("Dusk", "Night")), ("Intense", ("Night",)))
+#: The moods that each part of the day asks for.
+MOODS_OF_PART = (
+    ("Dawn", ("Calm", "Relaxed")),
+    ("Day", ("Energetic", "Excited", "Relaxed", "Melancholic")),
+    ("Dusk", ("Relaxed", "Melancholic", "Sad", "Angry")),
+    ("Night", ("Calm", "Sad", "Melancholic", "Intense", "Angry")),
+)
+
+
+def parts_of_moods(spark: SparkSession) -> DataFrame:
+    """(mood, part, place): the parts of the day that take a mood, in the day's order; a dimension of a few rows."""
+    d = spark.createDataFrame([(i, p, list(ms)) for i, (p, ms) in enumerate(MOODS_OF_PART)], "ord int, part string, moods array<string>").select("ord", "part", F.explode("moods").alias("mood"))
+    return d.withColumn("place", F.row_number().over(Window.partitionBy("mood").orderBy("ord"))).select("mood", "part", "place")
+
+
+_PARTS_SQL = "SELECT mood, part, row_number() OVER (PARTITION BY mood ORDER BY ord) AS place FROM (VALUES " + ", ".join(f"({i}, '{p}', '{m}')" for i, (p, ms) in enumerate(MOODS_OF_PART) for m in ms) + ") v(ord, part, mood)"
 
 
 @query("WITH p(name, a, b) AS (VALUES ('Dawn', 5, 9), ('Day', 9, 17), ('Dusk', 17, 22), ('Night', 22, 5)) SELECT name, count(*) AS n, count(DISTINCT user_id) AS users FROM events JOIN p ON (a < b AND hour(ts) >= a AND hour(ts) < b) OR (a > b AND (hour(ts) >= a OR hour(ts) < b)) GROUP BY name")
@@ -620,12 +676,11 @@ def q_hour_join(spark, sf_dir):
     return e.join(F.broadcast(hours), "h").groupBy("name").agg(F.count("*").alias("n"), F.countDistinct("user_id").alias("users"))
 
 
-@query("WITH d(mood, part, place) AS (VALUES " + ", ".join(f"('{m}', '{p}', {i})" for m, ps in _PARTS_OF_MOOD for i, p in enumerate(ps, 1)) + ") SELECT part, place, count(*) AS n FROM (SELECT DISTINCT feature_id, mood FROM track_features) JOIN d USING (mood) GROUP BY 1, 2")
+@query(f"SELECT part, place, count(*) AS n FROM (SELECT DISTINCT feature_id, mood FROM track_features) JOIN ({_PARTS_SQL}) USING (mood) GROUP BY 1, 2")
 def q_mood_daypart(spark, sf_dir):
     """Many-to-many dimension join that keeps the order of each list."""
-    d = spark.createDataFrame(_PARTS_OF_MOOD, "mood string, parts array<string>").select("mood", F.posexplode("parts").alias("pos", "part"))
     t = table(spark, sf_dir, "track_features").select("feature_id", "mood").distinct()
-    return t.join(F.broadcast(d), "mood").groupBy("part", (F.col("pos") + 1).alias("place")).agg(F.count("*").alias("n"))
+    return t.join(F.broadcast(parts_of_moods(spark)), "mood").groupBy("part", "place").agg(F.count("*").alias("n"))
 
 
 @query("SELECT status, count(*) AS n, round(avg(duration), 3) AS mean FROM (SELECT duration, CASE WHEN duration IS NULL THEN 'unknown' WHEN duration <= 0 THEN 'invalid' WHEN duration < 60 THEN 'truncated' WHEN duration > 600 THEN 'oversized' ELSE 'ok' END AS status FROM search_result) GROUP BY status")

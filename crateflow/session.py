@@ -1,15 +1,13 @@
-"""Session helpers: tables, the shared scratch folder, written cut points and size-checked broadcasts."""
+"""Session helpers: tables, the shared scratch folder and written cut points."""
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-#: A side is broadcast only when its measured size is below this many bytes.
-BROADCAST_BYTES = 8 << 20
 
 
 def build_session(name: str = "crateflow", master: str | None = None, **conf: str) -> SparkSession:
@@ -51,43 +49,33 @@ def scratch_root(spark: SparkSession) -> str:
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
         if held.isDefined():
             return held.get()
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="crateflow-scratch-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(root)
         return spark.sparkContext._jsc.sc().getCheckpointDir().get()
     return root
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+_PATHS: list[str] = []
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage ends there and a lost executor costs nothing."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def written_all(frames: list[DataFrame], name: str) -> DataFrame:
-    """Write frames of one schema side by side and read them as one; each is planned alone, so their partitionings needn't agree."""
-    spark, path = frames[0].sparkSession, scratch_path(frames[0].sparkSession, name)
-    paths = [f"{path}/{i}" for i in range(len(frames))]
-    for f, p in zip(frames, paths, strict=True):
-        f.select(frames[0].columns).write.parquet(p)
-    return spark.read.schema(frames[0].schema).parquet(*paths)
+def scratch_path(spark: SparkSession, name: str) -> str:
+    path = f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _PATHS.append(path)
+    return path
 
 
-def folder_bytes(spark: SparkSession, path: str) -> int:
-    """Bytes on disk under a path, asked of Hadoop's file system (local, HDFS and object stores alike)."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(p).getLength())
+def remove_scratch(spark: SparkSession) -> None:
+    """Remove all that this session wrote to the shared folder so far; to be called once results are stored."""
+    while _PATHS:
+        p = spark._jvm.org.apache.hadoop.fs.Path(_PATHS.pop())
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def written_small(df: DataFrame, name: str, most: int = BROADCAST_BYTES) -> tuple[DataFrame, bool]:
-    """Write ``df``; hint a broadcast only if what was written is below ``most`` bytes. Returns (frame, is it small)."""
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: lineage ends there and a lost executor costs nothing."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    back = df.sparkSession.read.schema(df.schema).parquet(path)
-    small = folder_bytes(df.sparkSession, path) * 4 < most
-    return (F.broadcast(back) if small else back), small
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -111,6 +111,52 @@ def library_paths(df: DataFrame, suffixes: tuple[str, ...] = ("mp3", "flac", "m4
     return df.where(ok).select("path", F.element_at(p, -3).alias("artist"), F.element_at(p, -2).alias("album"), F.element_at(p, -1).alias("file")).distinct()
 
 
+QUEUE = "id string, artist string, title string, cover string, search string, source string"
+FILE = "id bigint, artist string, title string, path string, art string, unique_id string, mtime bigint, uploaded_at bigint, playlists array<struct<id:bigint,name:string>>, custom_fields map<string,string>, mood string, text string"
+PLAY = "played_at bigint, song struct<id:string,unique_id:string,artist:string,title:string>"
+STATION = "id bigint, backend_config struct<duplicate_prevention_time_range:int,autodj_queue_length:int>, backend_type string"
+
+
+def queue(spark: SparkSession, path: str, lines: bool = True) -> DataFrame:
+    """Queued candidates, one or a list of them a line, or one list in a file; anything else is an empty queue."""
+    return optional_json(spark, path, QUEUE, lines).where("coalesce(artist, title, search) IS NOT NULL")
+
+
+def station_files(spark: SparkSession, path: str) -> DataFrame:
+    """Files of a station's library listing, with their playlists."""
+    return optional_json(spark, path, FILE)
+
+
+def station_history(spark: SparkSession, path: str, most: int = 500) -> DataFrame:
+    """The newest plays of a station, as many as its service gives."""
+    plays = optional_json(spark, path, PLAY).select("played_at", "song.*")
+    return plays.orderBy(F.desc("played_at"), "unique_id", "id").limit(most)
+
+
+def station_config(spark: SparkSession, path: str) -> DataFrame:
+    """A station's settings, one row."""
+    return optional_json(spark, path, STATION, lines=False)
+
+
+def statistics(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Numbers of a run; none if it left no file."""
+    return optional_json(spark, path, schema, lines=False)
+
+
+def covers(wanted: DataFrame, hits: DataFrame, old: int = 100, new: int = 600) -> DataFrame:
+    """The first hit's image of each wanted artist and title, in a larger size, or null."""
+    k = [F.lower(F.trim("artist")).alias("ka"), F.lower(F.trim("title")).alias("kt")]
+    first = hits.select(*k, "ord", "url").groupBy("ka", "kt").agg(F.min_by("url", "ord").alias("url"))
+    return wanted.select("*", *k).join(first, ["ka", "kt"], "left").drop("ka", "kt").withColumn("cover", text.resized(F.col("url"), old, new)).drop("url")
+
+
+def genre_labels(spark: SparkSession, path: str | None = None, count: int = 400) -> DataFrame:
+    """(place, label) of a model's classes; placeholder names if there is no list."""
+    if path and exists(spark, path):
+        return spark.read.text(path).select(F.posexplode(F.from_json("value", "array<string>")).alias("place", "label"))
+    return spark.range(count).select(F.col("id").cast("int").alias("place"), F.concat(F.lit("genre_"), F.col("id").cast("string")).alias("label"))
+
+
 class RecordsReader(DataSourceReader):
     """Splits a list of records into partitions; connectors override ``fetch``."""
 
@@ -121,15 +167,24 @@ class RecordsReader(DataSourceReader):
         return [InputPartition(i) for i in range(int(self.options.get("partitions", 2)))]
 
     def fetch(self, part: int, parts: int) -> Iterator[dict]:
+        """Lines that start in the part's share of the file's bytes; the file is opened where Python sees it."""
         import json
-
-        with open(self.options["path"], encoding="utf-8") as f:
-            for i, line in enumerate(f):
-                if i % parts == part:
-                    try:
-                        yield json.loads(line)
-                    except ValueError:
-                        continue
+        import os
+
+        path = self.options["path"]
+        size = os.path.getsize(path)
+        start, end = size * part // parts, size * (part + 1) // parts
+        with open(path, "rb") as f:
+            if start:
+                f.seek(start - 1)
+                f.readline()  # the line that the part before reads
+            while f.tell() < end and (line := f.readline()):
+                try:
+                    row = json.loads(line)
+                except ValueError:
+                    continue
+                if isinstance(row, dict):
+                    yield row
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
         for r in self.fetch(partition.value, int(self.options.get("partitions", 2))):

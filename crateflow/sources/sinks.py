@@ -68,3 +68,52 @@ def report(df: DataFrame, status: str) -> DataFrame:
     """Counts by status with shares, as one JSON text."""
     n = df.groupBy(status).agg(F.count("*").alias("n"))
     return n.agg(F.to_json(F.struct(F.sum("n").alias("total"), F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col(status), F.col("n"))))).alias("by_status"))).alias("report"))
+
+
+QUEUE = ["id", "artist", "title", "cover", "search", "source"]
+
+
+def write_queue(df: DataFrame, path: str) -> None:
+    """The six columns of the queue as JSON; readers see the old or the new queue, never a part."""
+    df.select(*QUEUE).write.mode("overwrite").json(path)
+
+
+def write_statistics(df: DataFrame, path: str) -> None:
+    """One row of a run's numbers."""
+    df.coalesce(1).write.mode("overwrite").json(path)
+
+
+def first_spellings(entries: DataFrame, artist: str, key, order: str) -> DataFrame:
+    """Distinct artists by a comparable key, in the spelling that came first; blank keys are none."""
+    return entries.where(F.col(artist).isNotNull()).select(artist, key.alias("_k"), order).where("_k <> ''").groupBy("_k").agg(F.min_by(artist, order).alias(artist)).select(artist)
+
+
+def write_profile(spark: SparkSession, path: str, vectors: DataFrame, artists: DataFrame, built_at: str) -> None:
+    """A profile's vectors, its artists and when it was built; the time is written last and makes it whole."""
+    vectors.write.mode("overwrite").parquet(f"{path}/vectors")
+    artists.write.mode("overwrite").parquet(f"{path}/artists")
+    spark.createDataFrame([(built_at,)], "built_at string").coalesce(1).write.mode("overwrite").json(f"{path}/built")
+
+
+class TagCache:
+    """Tags of look-ups by key; nothing is written unless something new was put."""
+
+    SCHEMA = "k string, tags array<string>, at double"
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.table, self.new = VersionedTable(spark, path, self.SCHEMA), None
+
+    def put(self, rows: DataFrame) -> None:
+        self.new = rows.select("k", "tags", "at") if self.new is None else last_wins(self.new, rows.select("k", "tags", "at"), "k")
+
+    def flush(self) -> bool:
+        if self.new is None:
+            return False
+        self.table.write(last_wins(self.table.read(), self.new, "k"))
+        self.new = None
+        return True
+
+
+def after_uploads(queue: DataFrame, failed: int) -> DataFrame:
+    """The queue that is left after a run: empty if nothing failed, else as it was, so the next run tries again."""
+    return queue if failed else queue.limit(0)

@@ -1,7 +1,7 @@
 """Streams over event files: windows, sessions, deduplication, counters and keyed state.
 
-Files are read as a stream with ``availableNow``; results go to a written table of the shared folder. A far-future row per
-key closes windows, so a finished stream holds the same rows as the batch; it is left out of the results.
+Files are read as a stream with ``availableNow``, at most FILES of them in each micro-batch; results go to a written table of the
+shared folder. Counts come in update mode and the last value of each key holds, so a finished stream has the rows of a batch.
 """
 
 from __future__ import annotations
@@ -17,13 +17,14 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from crateflow.session import scratch_path
 
+FILES = 64
 SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 
 def event_stream(spark: SparkSession, sf_dir: str, late: str = "40 days") -> DataFrame:
     """The event table as a stream with event time and a watermark."""
     path = f"{sf_dir}/events.parquet"
-    raw = spark.readStream.schema(SCHEMA)
+    raw = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", FILES)
     stream = raw.parquet(path) if os.path.isdir(path) or not glob.glob(path) else raw.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     return stream.withColumn("at", F.col("ts").cast("timestamp")).withWatermark("at", late)
 

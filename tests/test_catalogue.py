@@ -5,7 +5,7 @@ import os
 import pytest
 
 duckdb = pytest.importorskip("duckdb")
-from crateflow.plans import catalogue  # noqa: E402
+from crateflow.plans import catalogue, library  # noqa: E402, F401
 
 DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DIR), reason="no test data")

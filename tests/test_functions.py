@@ -16,9 +16,20 @@ def test_parsers(spark):
     rows = [("Fine – Portal",), ("Some Artist - Some Track",), ("no separator",), ("",), (None,), ("A - B - C",)]
     got = one(spark, "t string", rows, text.dash_pair(F.col("t")))
     assert [tuple(g) if g else None for g in got] == [("Fine", "Portal"), ("Some Artist", "Some Track"), None, None, None, ("A", "B - C")]
-    rows = [("Rock Music", "https://x/charli-xcx-rock-music/"), ("Die", "https://x/other-slug/"), ("Rock", None)]
-    got = one(spark, "t string, l string", rows, text.slug_pair(F.col("t"), F.col("l")))
-    assert [tuple(g) if g else None for g in got] == [("Charli Xcx", "Rock Music"), None, None]
+    rows = [("Artist &#8211; “Track”",), ('Artist – "Track"',), ("A\u00a0–\u2003B",), ("“” - x",)]
+    got = one(spark, "t string", rows, text.dash_pair(F.col("t")))
+    assert [tuple(g) if g else None for g in got] == [("Artist", "Track"), ("Artist", "Track"), ("A", "B"), None]
+    rows = [("Rock Music", "https://x/charli-xcx-rock-music/"), ("“Coconut Water”", "https://x/trim-coconut-water/"), ("“D!e”", "https://x/north-west-die/"), ("Rock", None), ("“Bleed (Jane Remover Diss)”", "https://x/young-dabo-bleed-jane-remover-diss/")]
+    got = one(spark, "t string, l string", rows, text.parsed_by(F.lit("pitchfork"), F.col("t"), F.col("l")))
+    assert [tuple(g) if g else None for g in got] == [("Charli Xcx", "Rock Music"), ("Trim", "Coconut Water"), None, None, ("Young Dabo", "Bleed (Jane Remover Diss)")]
+
+
+def test_texts_for_comparison(spark):
+    rows = [("Dvořák – Song (Acoustic Version)",), ("Ｗｉｄｅ [Official Music Video] ft. X",), ("Lyrics (Lyrics) (HD)",), (None,), ("",)]
+    assert one(spark, "t string", rows, text.match_text(F.col("t"))) == ["dvorak song acoustic version", "wide feat x", "lyrics", None, ""]
+    assert one(spark, "t string", [("Sigur  Rós!",), ("東京 (JP)",), (None,)], text.artist_text(F.col("t"))) == ["sigur ros", "東京 jp", None]
+    assert one(spark, "t string", [("Déjà_Vu (1).mp3",)], text.skeleton(F.col("t"))) == ["dejavu1mp3"]
+    assert one(spark, "a string, t string", [("A\u00a0B", "C\u2003 D"), (" ", "x"), (None, "x")], text.file_key(F.col("a"), F.col("t"))) == ["a b - c d", None, None]
 
 
 def test_duration_score(spark):
@@ -57,11 +68,15 @@ def test_scores(spark):
     rows = [(0.9, None, 0.9, 30.0, 1.0), (0.9, 0.9, 0.9, 290.0, 1.0), (0.9, None, 0.9, None, 1.0)]
     got = one(spark, "f double, s double, c double, d double, k double", rows, fuzzy.composite(*[F.col(c) for c in "fscdk"]))
     assert got[0] == 0 and got[1] > 0.75 and got[2] > 0.5
-    assert one(spark, "r double, c string", [(0.9, "X - Topic"), (0.9, "X"), (0.1, "Y")], fuzzy.channel_trust(F.col("r"), F.col("c"), F.lit("t"))) == [1.0, 0.9, 0.5]
+    rows = [("X - Topic", "", "t", 0), ("X", "", "t", 0), ("Y", None, "t", 0), ("Y", "z", "T (Official Visualizer)", 0), ("Y", "z", "t", 200_000), (None, "X - Topic", "t", None)]
+    trust = fuzzy.channel_trust(F.lit("x"), F.col("c"), F.col("u"), F.col("t"), F.col("n"))
+    assert one(spark, "c string, u string, t string, n int", rows, trust) == [1.0, 0.9, 0.5, 0.6, 0.7, 1.0]
+    rows = [("Cover Me", "cover me"), ("Song (Lo-Fi)", "song"), ("Song discover", "song"), ("Best Of X", "x"), ("My Recover", "recover live")]
+    assert one(spark, "f string, w string", rows, fuzzy.keyword_factor(F.col("f"), F.col("w"))) == [1.0, 0.4, 1.0, 0.0, 1.0]
 
 
 def test_small_text_functions(spark):
-    assert one(spark, "t string", [("&quot;A &amp; B&quot;",)], text.decoded(F.col("t"))) == ["A & B"]
+    assert one(spark, "t string", [("&#8220;A &amp; B&#8221; &#038; &#8211;",)], text.decoded(F.col("t"))) == ["“A & B” & –"]
     assert one(spark, "t string", [('a<b>:"c"/d|e?*  f ',)], text.safe_filename(F.col("t"))) == ["abcde f"]
     assert one(spark, "t string", [("Rock, rock ,, Jazz",)], text.csv_set(F.col("t"))) == [["rock", "jazz"]]
     assert one(spark, "s int", [(65,), (600,)], text.minutes_text(F.col("s"))) == ["1:05", "10:00"]
