@@ -32,9 +32,9 @@ from crateflow.llm.recordings import LIGHT, LIMIT, _mark, channel_cost, is_near_
 from crateflow.session import plain_unions, written
 
 #: Right bags that may share a key before finer keys are used; so many times as many left ones.
-BLOCK, LEFT_TIMES = 64, 32
+BLOCK, LEFT_TIMES = 512, 32
 #: So many times as many where only bags with different words meet; numbers that tell such words apart, in bits 12 to 31 of meta.
-TYPED_TIMES, TYPED = 64, (1 << 20) - 2
+TYPED_TIMES, TYPED = 8, (1 << 20) - 2
 BUCKET_FORMS = 10_000
 #: Words that the keys of a bag are made of: 5 differing ones and 4 shared ones.
 KEY_WORDS = 9
@@ -222,15 +222,16 @@ def _crowded(key: np.ndarray, right: np.ndarray, left: np.ndarray, meta: np.ndar
 class _Words:
     """Looks of the words of distinct bags, SEEN words a bag at most, for comparing many pairs at once."""
 
-    def __init__(self, forms: list[str]):
-        self.split = [f.split(" ") for f in forms]
-        ids: dict[str, int] = {}
-        n = min(SEEN, max((len(w) for w in self.split), default=1))
-        self.id = np.full((len(forms), n), -1, np.int32)
-        for i, ws in enumerate(self.split):
-            for k, w in enumerate(ws[:n]):
-                self.id[i, k] = ids.setdefault(w, len(ids))
-        self.size_of = np.array([len(w) for w in self.split])
+    def __init__(self, forms: pa.Array):
+        lists = pc.split_pattern(forms, " ")
+        flat = lists.flatten().dictionary_encode()
+        ids = flat.dictionary.to_pylist()
+        self.size_of = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+        row = np.repeat(np.arange(len(forms)), self.size_of)
+        place = np.arange(len(row)) - np.repeat(np.cumsum(self.size_of) - self.size_of, self.size_of)
+        self.id = np.full((len(forms), SEEN), -1, np.int32)
+        seen = place < SEEN
+        self.id[row[seen], place[seen]] = flat.indices.to_numpy()[seen]
         looks = np.array([_looks(w) for w in ids] or [(0,) * 6], np.int64)
         self.first, self.last, self.begin, self.size, self.bits, self.kinds = (looks[:, k] for k in range(6))
         # first letters of words that are surely no light ones, their number, and whether a bag has one that may be light
@@ -312,7 +313,7 @@ def _meet(block: int, symmetric: bool):
             # one number for each distinct bag
             named = pa.concat_arrays([*rows.column("bag").chunks, pa.array([], pa.string())]).dictionary_encode()
             code, bags = named.indices.to_numpy(), named.dictionary.to_pylist()
-            words = _Words([b.partition(SIGN)[0] for b in bags])
+            words = _Words(pc.list_element(pc.split_pattern(named.dictionary, SIGN, max_splits=1), 0) if len(bags) else named.dictionary)
             # rows of a key in the order of the words that tell them apart; rows with the same one don't meet
             seg = np.cumsum(np.r_[False, k[1:] != k[:-1]]) if len(k) else k
             apart = m >> 12 & TYPED + 1
@@ -339,7 +340,7 @@ def _meet(block: int, symmetric: bool):
                     pairs.append(both[p : p + (1 << 14)][ok])
             for p in np.unique(np.concatenate(pairs)) if pairs else ():
                 x, y = int(p >> 32), int(p & 0xFFFFFFFF)
-                cost, typos = channel_cost(words.split[x], words.split[y])
+                cost, typos = channel_cost(*(bags[i].partition(SIGN)[0].split(" ") for i in (x, y)))
                 if cost <= LIMIT:
                     got[x, y] = cost, typos
         out = t.take(pa.array(np.concatenate(crowded)))

@@ -25,9 +25,9 @@ from crateflow.llm.blocking import BLOCK, LEFT, RIGHT, near_bags
 from crateflow.llm.recordings import bag, full_forms, parse
 from crateflow.session import written
 
-#: Cost of being a name of its own that happens to be near another one, as much as the channel's limit; how far repetitions of a
+#: Cost of being a name of its own that happens to be near another one, more than any single writing may cost; how far repetitions of a
 #: writing count as typed anew, as people also send a request twice.
-OWN, REPEAT = 7.0, 0.25
+OWN, REPEAT = 9.0, 0.15
 #: A word seen in this many writings is a word of its own, unless the other one is this many times as frequent.
 KNOWN, RATIO = 6, 10
 _BOTH = re.compile(r"\s[-–—|~·/]+\s|:\s|\sby\b:?\s|\"\S", re.I)
