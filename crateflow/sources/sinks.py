@@ -16,6 +16,13 @@ def finished_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory() and fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS")))
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes on disk under a path, asked of Hadoop's file system (local, HDFS and object stores alike)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+
+
 class VersionedTable:
     """A table whose versions are folders; readers see the last finished one."""
 
