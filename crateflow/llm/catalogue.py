@@ -63,6 +63,11 @@ def p5_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return terms.term_counts(spark, table(spark, sf_dir, "genre_result"), table(spark, sf_dir, "track_features"))
 
 
+def p5_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts after records were added, changed and deleted, and the same changes delivered again."""
+    return terms.changed_counts(spark, table(spark, sf_dir, "genre_result"))
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = intake.repeated_tracks(table(spark, sf_dir, "tracks"), table(spark, sf_dir, "audio_fingerprints"))
     return got.where("batch_no BETWEEN 1 AND 10").select(F.col("a").alias("track_id_a"), F.col("b").alias("track_id_b"))
@@ -106,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p4_matches": p4_matches,
     "p5_found": p5_found,
     "p5_counts": p5_counts,
+    "p5_changes": p5_changes,
     "p7_found": p7_found,
     "p8_ids": p8_ids,
     "p8_round_trip": p8_round_trip,
@@ -129,10 +135,9 @@ marks AS (SELECT field_name, term, occurrences, records, CASE WHEN records < 5 T
 def _seen_sql(x: str, composed: bool = True) -> str:
     """SQL of what a reader sees; composing marks stands in for the collation."""
     q = lambda t: "'" + t.replace("'", "''") + "'"
-    out = f"translate(regexp_replace({x}, '{visual.INVISIBLE}', '', 'g'), {q(visual._WIDE)}, {q(visual._USUAL)})"
-    for k, v in visual.LIGATURE.items():
+    out = f"translate(regexp_replace({x}, '{visual.INVISIBLE}', '', 'g'), {q(''.join(visual.ONE))}, {q(''.join(visual.ONE.values()))})"
+    for k, v in visual.SEVERAL.items():
         out = f"replace({out}, {q(k)}, {q(v)})"
-    out = f"translate({out}, {q(''.join(visual.LOOKALIKE))}, {q(''.join(visual.LOOKALIKE.values()))})"
     out = f"trim(regexp_replace({out}, '{visual.SPACES}', ' ', 'g'))"
     return f"nfc_normalize({out})" if composed else out
 
@@ -155,4 +160,5 @@ ORACLE: dict[str, str] = {
     "p3_found": _P3_FOUND,
     "p5_found": _P5 + "SELECT field_name, term, mark FROM marks WHERE mark IS NOT NULL",
     "p5_counts": _P5 + "SELECT field_name, term, occurrences, records, mark FROM marks",
+    "p5_changes": _P5.replace("FROM genre_result", "FROM (SELECT lookup_id, CASE WHEN lookup_id % 3 = 0 THEN tags[2:] ELSE tags END AS tags FROM genre_result WHERE lookup_id % 7 <> 0)") + "SELECT field_name, term, occurrences, records, mark FROM marks WHERE field_name = 'tags'",
 }

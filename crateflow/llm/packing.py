@@ -1,8 +1,8 @@
 """Problem 9: texts into containers of fixed capacity, first-fit decreasing with a tournament tree.
 
 Method: sizes are counts of tokens of a public tokenizer. A text larger than the capacity is cut into full pieces and
-a rest; full pieces have a container of their own. All other pieces go, by a hash of their key, into randomised groups
-of bounded expected size; each group is packed on its own, largest piece first, each into the first container with
+a rest; full pieces have a container of their own. All other pieces go, by a hash of their key, place and size, into randomised
+groups of bounded size; each group is packed on its own, largest piece first, each into the first container with
 room. A tournament tree over the rooms of the group's containers finds that container in logarithmic time.
 
 Defined cases: texts without tokens (null, empty) need no place and have no row; ties of size are broken by key and
@@ -62,7 +62,12 @@ def pack(sizes: DataFrame, key: str, size: str, capacity: int = CAPACITY, group_
     pieces = written(pieces.withColumn("row", F.monotonically_increasing_id()), "pieces")
     part = pieces.where(F.col("size") < capacity)
     groups = max(1, math.ceil(part.count() / group_pieces))
-    part = part.withColumn("grp", F.pmod(F.xxhash64("k", "row", F.lit(seed)), F.lit(groups)))
+    # groups follow from key, place and size alone, so containers don't depend on how files are cut
+    part = part.withColumn("home", F.pmod(F.xxhash64("k", "piece", "size", F.lit(seed)), F.lit(groups)))
+    # one key in very many rows fills a group: such groups are split by row
+    crowded = part.groupBy("home").agg(F.count("*").alias("n")).where(F.col("n") > 4 * group_pieces)
+    part = part.join(crowded.select("home", F.ceil(F.col("n") / group_pieces).cast("int").alias("ways")), "home", "left")
+    part = part.withColumn("grp", F.concat_ws(".", "home", F.pmod(F.xxhash64("row"), F.col("ways"))))
 
     def one(t: pa.Table) -> pa.Table:
         t = t.sort_by([("size", "descending"), ("k", "ascending"), ("piece", "ascending"), ("row", "ascending")])

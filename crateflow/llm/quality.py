@@ -1,9 +1,9 @@
 """Problem 10: per-document text statistics that tell prose from lists, tables and junk.
 
-Method: texts are split into chunks at multiples of CHUNK characters. Each chunk travels with the characters before and
-after it, its boundary state: a word counts where it starts, with its whole length, and a line's first and last characters
-are seen even if they lie in the neighbouring chunk. So the counts of chunks are associative and the counts of a document
-are their sum, merged map-side first and then across tasks. Ratios and rule outcomes come from the sums.
+Method: texts are split into chunks. The counts of a chunk come with its boundary state: its first and last open line, the sums
+of its first and last open group of lines. Two neighbouring states merge into the state of both, closing what lies between
+them; merging is associative, so states are merged in a tree, and the result is the same for every size of chunk. A word
+counts where it starts, its letters where they stand. Ratios and rule outcomes come from the merged counts.
 
 The share of characters that are no prose is counted by pieces of lines. A piece is judged by its marks (markup, cells,
 columns, log fields, list marks, broken characters); pieces without marks are judged together with their unmarked
@@ -22,8 +22,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from crateflow.session import written
+
 CHUNK = 1 << 16
-EDGE = 256
+#: Characters behind a chunk that it sees: longer than any common word, list mark or run of blanks before one.
+LOOK = 48
+#: Chunks whose states are merged in one task.
+TREE = 256
 #: A line is judged in pieces of this many characters; it divides CHUNK, so no piece lies in two chunks.
 PIECE = 1 << 10
 
@@ -98,106 +103,186 @@ def _marked(s: str, words: int, common: int, solid: int) -> bool:
     return commas >= 2 and words <= 4.5 * (commas + 1) and share < 0.1
 
 
-def _listed(lines: list[str], words: int, common: int) -> bool:
-    """Whether unmarked neighbouring lines are a list rather than prose."""
+def _listed(pieces: int, words: int, common: int, chars: int, upper: int, ended: int, not_upper: int, not_lower: int) -> bool:
+    """Whether unmarked neighbouring pieces of lines, given by their sums, are a list rather than prose."""
     share = common / max(words, 1)
     if share < 0.1:
         return True
-    text = "".join(lines)
-    if text.upper() == text or text.lower() == text:
+    if not not_upper or not not_lower:
         return share < 0.14
-    upper = sum(1 for s in lines if next((c for c in s if c.isalpha()), "a").isupper())
-    ended = sum(1 for s in lines if s.rstrip().endswith(_END))
-    return upper >= 0.9 * len(lines) and ended <= 0.1 * len(lines) and words <= 8 * len(lines)
+    return upper >= 0.9 * pieces and ended <= 0.1 * pieces and words <= 8 * pieces
 
 
 FIELDS = ("chars", "spaces", "letters", "digits", "symbols", "words", "word_letters", "common_words", "lines", "punct_lines", "item_lines", "judged", "junk")
+#: Boundary state of a run of text: does it hold a line break, is there a visible character and a closing mark in its first
+#: and last line; does it hold a break between groups; sums of its first and last open group.
+GROUP = ("pieces", "words", "common", "chars", "upper", "ended", "not_upper", "not_lower")
+STATE = (*FIELDS, "breaks", "head_seen", "head_punct", "tail_seen", "tail_punct", "cuts", *(f"head_{g}" for g in GROUP), *(f"tail_{g}" for g in GROUP))
+_LINES, _PUNCT, _JUNK, _BREAKS, _CUTS, _HEAD, _TAIL = 8, 9, 12, 13, 18, 19, 27
+_STOPS = (".", "!", "?", "…", ":", ";", '"', "”", "»", ")")
+_QUOTES = "'’"
+
+
+def _goes_on(s: str, at: int) -> bool:
+    """Whether a word that stands before place ``at`` goes on there."""
+    a, b = s[at - 1 : at], s[at : at + 1]
+    if not a or not b:
+        return False
+    if a.isalpha():
+        return b.isalpha() or (b in _QUOTES and s[at + 1 : at + 2].isalpha())
+    return a in _QUOTES and b.isalpha() and s[max(at - 2, 0) : at - 1].isalpha()
+
 
+def chunk_state(before: str, body: str, after: str, at: int) -> list[int]:
+    """State of one chunk in the order of STATE; ``at`` is its offset in the document, a multiple of PIECE.
 
-def chunk_counts(before: str, body: str, after: str, at: int) -> list[int]:
-    """Counts of one chunk in the order of FIELDS; ``at`` is its offset in the document."""
+    ``before`` are the 2 characters before it, ``after`` the LOOK characters behind it: enough to tell whether a word starts
+    here, whether the last one is a common word and whether a line starts with a list mark. All else is carried by the state.
+    """
     spaces = len(body) - len("".join(body.split()))
     letters = len(_NO_LETTER.sub("", body))
     digits = len(_NO_DIGIT.sub("", body))
-    marks = len(body) - spaces - letters - digits
-    words = word_letters = common = 0
-    whole = body + after
-    low = whole.lower()
-    same = len(low) == len(whole)
-    inside = before[-1:].isalpha()
-    limit = len(body)
-    lines = punct = items = judged = junk = 0
-    group: list[str] = []
-    g_words = g_common = g_chars = 0
+    words = word_letters = common = lines = punct = items = judged = junk = cuts = 0
+    shift = len(before)
+    whole = before + body + after
+    end = shift + len(body)
+    head: list[int] | None = None
+    group = [0] * len(GROUP)
 
     def close() -> None:
-        nonlocal group, g_words, g_common, g_chars, junk
-        if group and _listed(group, g_words, g_common):
-            junk += g_chars
-        group, g_words, g_common, g_chars = [], 0, 0, 0
-
-    i = 0
-    while i < limit:
-        j = whole.find("\n", i, limit)
-        j = limit if j < 0 else j
-        starts_line = not before if i == 0 and at == 0 else (whole[i - 1] == "\n" if i else before.endswith("\n"))
-        line_text = whole[i:j]
-        if j < limit or (j == limit and (not after or after[0] == "\n")):  # the line ends here
-            tail = line_text.rstrip() or (before.rstrip(" \t\r") if i == 0 else "")
-            if tail.strip():
-                lines += 1
-                punct += tail.endswith((".", "!", "?", "…", ":", ";", '"', "”", "»", ")"))
-        if starts_line and line_text.strip() and _ITEM.match(line_text):
+        nonlocal head, group, junk, cuts
+        cuts = 1
+        if head is None:
+            head = group
+        elif group[0] and _listed(*group):
+            junk += group[3]
+        group = [0] * len(GROUP)
+
+    ends: list[tuple[bool, bool]] = []
+    i = shift
+    starts = at == 0 or before.endswith("\n")
+    for line in body.split("\n"):
+        j = i + len(line)
+        tail = line.rstrip()
+        ends.append((bool(tail), tail.endswith(_STOPS)))
+        if starts and tail and _ITEM.match(whole[i : i + LOOK].split("\n", 1)[0]):
             items += 1
-        # pieces of the line at fixed offsets of the document
         p = i
         while p < j:
-            stop = min(j, p + PIECE - (at + p) % PIECE)
-            piece = whole[p:stop]
+            stop = min(j, p + PIECE - (at + p - shift) % PIECE)
+            piece = line if stop - p == len(line) else whole[p:stop]
             size = len("".join(piece.split()))
             if size:
-                found = WORD.findall(low, p, stop) if same else WORD.findall(piece.lower())
-                if stop < len(whole) and found and whole[stop - 1].isalpha() and whole[stop : stop + 1].isalpha():
-                    rest = WORD.match(low if same else whole.lower(), stop)
-                    found[-1] += rest.group() if rest else ""
-                if found and (p > 0 and whole[p - 1].isalpha() or p == 0 and inside) and whole[p].isalpha():
-                    found = found[1:]
+                low = piece.lower()
+                found = WORD.findall(low)
+                word_letters += sum(map(len, found))
+                if stop < j or stop == end or p > i or p == shift:
+                    if found and _goes_on(whole, stop):
+                        rest = WORD.match(whole[stop : stop + LOOK].lower().lstrip(_QUOTES))
+                        found[-1] += rest.group() if rest else ""
+                    if found and _goes_on(whole, p):
+                        found = found[1:]
                 hits = sum(map(COMMON_WORDS.__contains__, found))
                 words += len(found)
-                word_letters += sum(map(len, found))
                 common += hits
                 judged += size
                 if _marked(piece, len(found), hits, size):
                     close()
                     junk += size
                 else:
-                    group.append(piece)
-                    g_words, g_common, g_chars = g_words + len(found), g_common + hits, g_chars + size
+                    first = next((c for c in piece if c.isalpha()), "a")
+                    for k, v in enumerate((1, len(found), hits, size, first.isupper(), piece.rstrip().endswith(_END), piece.upper() != piece, low != piece)):
+                        group[k] += v
             p = stop
-        if not line_text.strip():
+        # a blank line that lies in one piece with its end parts groups
+        if starts and not tail and j < end and (at + i - shift) // PIECE == (at + j - shift) // PIECE:
             close()
-        i = j + 1
-    close()
-    return [len(body), spaces, letters, digits, marks, words, word_letters, common, lines, punct, items, judged, junk]
+        i, starts = j + 1, True
+    for seen, stop_ in ends[1:-1]:
+        lines += seen
+        punct += seen and stop_
+    marks = len(body) - spaces - letters - digits
+    none = [0] * len(GROUP)
+    sums = [len(body), spaces, letters, digits, marks, words, word_letters, common, lines, punct, items, judged, junk]
+    return [*sums, len(ends) > 1, *ends[0], *ends[-1], cuts, *(group if head is None else head), *(none if head is None else group)]
+
+
+def merged(a: list[int], b: list[int]) -> list[int]:
+    """State of two neighbouring runs of text as one; associative, so runs may be merged in any grouping."""
+    out = [x + y for x, y in zip(a[: len(FIELDS)], b[: len(FIELDS)], strict=True)] + [0] * (len(STATE) - len(FIELDS))
+    seen = a[_BREAKS + 3] or b[_BREAKS + 1]
+    middle = [seen, b[_BREAKS + 2] if b[_BREAKS + 1] else a[_BREAKS + 4]]
+    if a[_BREAKS] and b[_BREAKS]:
+        out[_LINES] += bool(seen)
+        out[_PUNCT] += bool(seen and middle[1])
+    out[_BREAKS] = a[_BREAKS] or b[_BREAKS]
+    out[_BREAKS + 1 : _BREAKS + 3] = a[_BREAKS + 1 : _BREAKS + 3] if a[_BREAKS] else middle
+    out[_BREAKS + 3 : _BREAKS + 5] = b[_BREAKS + 3 : _BREAKS + 5] if b[_BREAKS] else middle
+    out[_CUTS] = a[_CUTS] or b[_CUTS]
+    a_last = a[_TAIL:] if a[_CUTS] else a[_HEAD:_TAIL]
+    between = [x + y for x, y in zip(a_last, b[_HEAD:_TAIL], strict=True)]
+    if a[_CUTS] and b[_CUTS]:
+        if between[0] and _listed(*between):
+            out[_JUNK] += between[3]
+        out[_HEAD:_TAIL], out[_TAIL:] = a[_HEAD:_TAIL], b[_TAIL:]
+    elif a[_CUTS]:
+        out[_HEAD:_TAIL], out[_TAIL:] = a[_HEAD:_TAIL], between
+    elif b[_CUTS]:
+        out[_HEAD:_TAIL], out[_TAIL:] = between, b[_TAIL:]
+    else:
+        out[_HEAD:_TAIL] = between
+    return out
+
+
+def finished(s: list[int]) -> list[int]:
+    """FIELDS of a whole document from its state."""
+    out = list(s[: len(FIELDS)])
+    for seen, stop in ((s[_BREAKS + 1], s[_BREAKS + 2]), *([(s[_BREAKS + 3], s[_BREAKS + 4])] if s[_BREAKS] else [])):
+        out[_LINES] += bool(seen)
+        out[_PUNCT] += bool(seen and stop)
+    for g in (s[_HEAD:_TAIL], s[_TAIL:]):
+        if g[0] and _listed(*g):
+            out[_JUNK] += g[3]
+    return out
 
 
 def text_statistics(docs: DataFrame, key: str, text: str, chunk: int = CHUNK) -> DataFrame:
-    """Counts, ratios and rule outcomes of every document."""
-    rows = docs.select(F.col(key).alias("k"), F.col(text).alias("t"), F.monotonically_increasing_id().alias("row"))
-    n = F.length(F.coalesce("t", F.lit("")))
-    one = F.array(F.struct(F.lit("").alias("before"), F.coalesce("t", F.lit("")).alias("body"), F.lit("").alias("after"), F.lit(0).cast("long").alias("at")))
-    many = F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)), F.lit(chunk)), lambda a: F.struct(F.when(a > 0, F.substring(F.col("t"), a - EDGE + 1, F.lit(EDGE))).otherwise("").alias("before"), F.substring(F.col("t"), a + 1, F.lit(chunk)).alias("body"), F.substring(F.col("t"), a + chunk + 1, F.lit(EDGE)).alias("after"), a.cast("long").alias("at")))
-    parts = rows.select("k", "row", F.explode(F.when(n <= chunk, one).otherwise(many)).alias("c")).select("k", "row", "c.*")
+    """Counts, ratios and rule outcomes of every document; ``chunk`` is a multiple of PIECE and changes no result."""
+    rows = docs.select(F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t"), F.monotonically_increasing_id().alias("row"))
+    one = F.array(F.struct(F.lit("").alias("before"), F.col("t").alias("body"), F.lit("").alias("after"), F.lit(0).cast("long").alias("at")))
+    # one pass cuts a text, so its length costs no more than itself
+    cut = rows.withColumn("p", F.when(F.length("t") > chunk, F.regexp_extract_all("t", F.lit(f"(?s).{{1,{chunk}}}"), F.lit(0))))
+    side = lambda i: F.coalesce(F.get("p", i), F.lit(""))
+    many = F.transform("p", lambda x, i: F.struct(F.right(side(i - 1), F.lit(2)).alias("before"), x.alias("body"), F.left(side(i + 1), F.lit(LOOK)).alias("after"), (i.cast("long") * chunk).alias("at")))
+    parts = cut.select("k", "row", F.col("p").isNull().alias("single"), F.explode(F.when(F.col("p").isNull(), one).otherwise(many)).alias("c")).select("k", "row", "single", "c.*")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r in batches:
-            got = [chunk_counts(*x) for x in zip(*(r.column(i).to_pylist() for i in range(2, 6)), strict=True)]
-            cols = list(zip(*got, strict=True)) if got else [[] for _ in FIELDS]
-            yield pa.RecordBatch.from_arrays([r.column(0), r.column(1), *(pa.array(c, pa.int64()) for c in cols)], ["k", "row", *FIELDS])
+            got = []
+            for single, *x in zip(*(r.column(i).to_pylist() for i in range(2, 7)), strict=True):
+                state = chunk_state(*x)
+                got.append(finished(state) + [0] * (len(STATE) - len(FIELDS)) if single else state)
+            cols = list(zip(*got, strict=True)) if got else [[] for _ in STATE]
+            yield pa.RecordBatch.from_arrays([r.column(0), r.column(1), r.column(2), r.column(6), *(pa.array(map(int, c), pa.int64()) for c in cols)], ["k", "row", "single", "at", *STATE])
+
+    def joined(last: bool):
+        def run(t: pa.Table) -> pa.Table:
+            t = t.sort_by("at")
+            state = None
+            for s in zip(*(t.column(c).to_pylist() for c in STATE), strict=True):
+                state = list(s) if state is None else merged(state, list(s))
+            if last:
+                state = finished(state) + [0] * (len(STATE) - len(FIELDS))
+            return pa.table([t.column("k")[:1], t.column("row")[:1], t.column("single")[:1], t.column("at")[:1], *(pa.array([int(v)], pa.int64()) for v in state)], names=["k", "row", "single", "at", *STATE])
+
+        return run
 
     kind = dict(rows.dtypes)["k"]
-    counted = parts.mapInArrow(count, f"k {kind}, row bigint, " + ", ".join(f"{f} bigint" for f in FIELDS))
-    total = counted.groupBy("k", "row").agg(*(F.sum(f).alias(f) for f in FIELDS))
+    shape = f"k {kind}, row bigint, single boolean, at bigint, " + ", ".join(f"{f} bigint" for f in STATE)
+    counted = written(parts.mapInArrow(count, shape), "text-states")
+    # states of cut documents are merged in two steps, so no task holds more than TREE chunks of one
+    lower = counted.where("NOT single").groupBy("row", F.floor(F.col("at") / (chunk * TREE)).alias("node")).applyInArrow(joined(False), shape)
+    total = counted.where("single").unionByName(lower.groupBy("row").applyInArrow(joined(True), shape)).select("k", *FIELDS)
 
     def share(a: str, b: str):
         return F.when(F.col(b) > 0, F.round(F.col(a) / F.col(b), 6))

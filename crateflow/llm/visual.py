@@ -19,6 +19,8 @@ import unicodedata
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from crateflow.session import written
+
 #: Letters of other scripts that print like a Latin letter, in natural order.
 LOOKALIKE = {
     # Greek
@@ -27,8 +29,6 @@ LOOKALIKE = {
     # Cyrillic
     "А": "A", "В": "B", "Е": "E", "З": "3", "К": "K", "М": "M", "Н": "H", "О": "O", "Р": "P", "С": "C", "Т": "T", "У": "Y", "Х": "X", "Ѕ": "S", "І": "I", "Ј": "J", "Ү": "Y", "Ӏ": "I", "Ԍ": "G", "Ԛ": "Q", "Ԝ": "W",
     "а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "ѕ": "s", "і": "i", "ј": "j", "ѵ": "v", "һ": "h", "ү": "y", "ӏ": "l", "ԁ": "d", "ԛ": "q", "ԝ": "w",
-    # Cyrillic letters with a mark that Latin letters share
-    "Ё": "Ë", "ё": "ë", "Ї": "Ï", "ї": "ï",
     # Armenian
     "Օ": "O", "Տ": "S", "Ս": "U", "Լ": "L", "օ": "o", "ս": "u", "հ": "h", "ո": "n", "ց": "g", "զ": "q",
     # Latin and signs
@@ -41,28 +41,56 @@ INVISIBLE = r"[\p{Cf}\x{034F}\x{115F}\x{1160}\x{17B4}\x{17B5}\x{180B}-\x{180F}\x
 SPACES = r"[\p{Z}\t\n\x{0B}\f\r\x{85}]+"
 
 
-def _width_table() -> tuple[str, str]:
+#: Code points of the scripts whose letters with marks are derived from the letters above, and of number forms.
+MARKED_LETTERS = (range(0x0370, 0x0588), range(0x1F00, 0x2000))
+NUMBER_FORMS = range(0x2160, 0x2180)
+
+
+def _width_table() -> dict[str, str]:
     """Full- and half-width forms and their usual form, by Unicode's own compatibility rule."""
-    a, b = [], []
+    out = {}
     for c in map(chr, range(0xFF01, 0xFFEF)):
         k = unicodedata.normalize("NFKC", c)
         if k != c and len(k) == 1:
-            a.append(c)
-            b.append({"゙": "゙", "゚": "゚"}.get(k, k))
-    return "".join(a), "".join(b)
+            out[c] = k
+    return out
+
+
+def _tables() -> tuple[dict[str, str], dict[str, str]]:
+    """(one character to one, one character to several).
+
+    A letter whose base prints like a Latin one maps to the Latin letter with the same marks, wherever Unicode composes that;
+    number forms (a Roman four) map to their letters.
+    """
+    one, several = _width_table() | LOOKALIKE, dict(LIGATURE)
+    for c in (chr(o) for r in MARKED_LETTERS for o in r):
+        d = unicodedata.normalize("NFD", c)
+        if len(d) > 1 and d[0] in LOOKALIKE:
+            k = unicodedata.normalize("NFC", LOOKALIKE[d[0]] + d[1:])
+            if len(k) == 1:
+                one[c] = k
+    for c in map(chr, NUMBER_FORMS):
+        k = unicodedata.normalize("NFKC", c)
+        if k.isascii():
+            (one if len(k) == 1 else several)[c] = k
+    return one, several
 
 
-_WIDE, _USUAL = _width_table()
+ONE, SEVERAL = _tables()
+PLAIN_INVISIBLE = r"[\x{00}-\x{08}\x{0E}-\x{1F}\x{7F}]+"
+PLAIN_SPACES = r"[ \t\n\x{0B}\f\r]+"
 
 
 def visible(c: Column) -> Column:
     """What a reader sees of a text; null stays null."""
-    c = F.regexp_replace(c, INVISIBLE, "")
-    c = F.translate(c, _WIDE, _USUAL)
-    for k, v in LIGATURE.items():
-        c = F.replace(c, F.lit(k), F.lit(v))
-    c = F.translate(c, "".join(LOOKALIKE), "".join(LOOKALIKE.values()))
-    return F.trim(F.regexp_replace(c, SPACES, " "))
+    ascii_ = F.trim(F.regexp_replace(F.regexp_replace(c, PLAIN_INVISIBLE, ""), PLAIN_SPACES, " "))
+    full = F.translate(F.regexp_replace(c, INVISIBLE, ""), "".join(ONE), "".join(ONE.values()))
+    rare = full
+    for k, v in SEVERAL.items():
+        rare = F.replace(rare, F.lit(k), F.lit(v))
+    full = F.when(full.rlike("[" + "".join(SEVERAL) + "]"), rare).otherwise(full)
+    full = F.trim(F.regexp_replace(full, SPACES, " "))
+    return F.when(F.length(c) == F.octet_length(c), ascii_).otherwise(full)
 
 
 _CLASSES = """
@@ -94,6 +122,7 @@ def canonical_pairs(feed: DataFrame, library: DataFrame) -> DataFrame:
         .withColumn("seen_t", visible(F.col("t")))
         .withColumn("off", (F.col("a") != F.col("seen_a")).cast("int") + (F.col("t") != F.col("seen_t")).cast("int"))
     )
+    both = written(both, "print-members")
     classes = spark.sql(_CLASSES, members=both)
     return spark.sql(_BACK, members=both, classes=classes)
 

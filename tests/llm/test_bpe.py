@@ -7,7 +7,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from crateflow.llm.bpe import ByteBpe  # noqa: E402
 
-TEXTS = [None, "", " ", "\n\n  a", "Hello world, it's 12345!", "naïve café — 東京 フシ・ノミシ 🎵", "x" * 3000, "ab" * 400, "don't  stop\tnow   end ", "<|endoftext|>", "o̵̼̪͚͖ͦ͆͐ zalgo", "\x00\x07 bell", "word " * 5000, "Hello world, it's 12345!"]
+TEXTS = [None, "", " ", "\n\n  a", "Hello world, it's 12345!", "naïve café — 東京 フシ・ノミシ 🎵", "x" * 3000, "ab" * 400, "don't  stop\tnow   end ", "<|endoftext|>", "o̵̼̪͚͖ͦ͆͐ zalgo", "\x00\x07 bell", "word " * 5000, "Hello world, it's 12345!", "=" * 900 + "aaaab" * 300, "qZ9x" * 500]
 
 
 @pytest.fixture(scope="module")
@@ -35,3 +35,15 @@ def test_repeated_and_null_keys_and_empty_table(spark, coder):
     docs = spark.createDataFrame([(1, "zyzzyva quux"), (1, "zyzzyva quux"), (None, "zyzzyva"), (2, "")], "doc_id bigint, text string")
     assert coder.encode(docs, "doc_id", "text").count() == 4
     assert coder.encode(docs.limit(0), "doc_id", "text").count() == 0
+
+
+def test_a_long_word_takes_seconds(spark, coder):
+    import random
+    import time
+
+    rnd = random.Random(4)
+    text = "".join(rnd.choices("ABCDEFabcdefghijklmnopqrstuvwxyz+/", k=30_000))
+    enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=coder.ranks, special_tokens={})
+    began = time.time()
+    got = coder.encode(spark.createDataFrame([(1, text + " " + "abcdefgh" * 12_500)], "doc_id bigint, text string"), "doc_id", "text").collect()[0]
+    assert list(got.ids) == enc.encode_ordinary(text + " " + "abcdefgh" * 12_500) and time.time() - began < 60

@@ -27,10 +27,8 @@ def test_words_run_together_or_changed_meet_their_track(spark):
     assert set(pairs) <= {(name[r.f], name[r.g]) for r in _near_forms(forms).collect()}
 
 
-def _directory(names, asked):
-    vec = [letters(n.split()).tobytes() for n in names]
-    rows = [(i, v, q) for q in (False, True) for i, v in enumerate(vec) if not q or i in asked]
-    return pa.table({"cell": pa.array([r[0] for r in rows], pa.int64()), "avec": pa.array([r[1] for r in rows], pa.binary()), "asked": pa.array([r[2] for r in rows])})
+def _entries(names):
+    return pa.table({"cell": pa.array(range(len(names)), pa.int64()), "avec": pa.array([letters(n.split()).tobytes() for n in names], pa.binary()), "known": pa.array([True] * len(names))})
 
 
 def test_near_artists_do_not_depend_on_the_number_of_artists():
@@ -39,19 +37,50 @@ def test_near_artists_do_not_depend_on_the_number_of_artists():
     many = ["".join(rnd.choices("bcdfghjklmnp", k=12)) + " foxes" for _ in range(6000)]
     names = ["corpolken wolves of", "corpolken wolves ofrst", *many]
     for keep in (2, len(names)):
-        got = _near_artists(_directory(names[:keep], range(keep)))
+        got = _near_artists(_entries(names[:keep]), _entries(names[:keep]))
         assert (0, 1) in set(zip(got["artist"].to_pylist(), got["cell"].to_pylist()))
 
 
-def test_a_batch_probes_title_sums_within_reach(spark, monkeypatch):
+def test_a_batch_probes_sums_and_totals_within_reach(spark, monkeypatch):
     seen = []
     homes = RecordingIndex._homes
     monkeypatch.setattr(RecordingIndex, "_homes", staticmethod(lambda df, reach: seen.append(reach) or homes(df, reach)))
     index = RecordingIndex(spark, scratch_path(spark, "sums"))
-    index.add(spark.createDataFrame([(1, 1, "Corpolken Wolves", "Red Moon", None)], "track_id long, ord long, artist string, title string, hash string"))
+    index.add(spark.createDataFrame([(1, 1, "Corpolken Wolves", "Red Moon", None)], INTAKE))
     assert seen == [0, REACH]
 
 
+INTAKE = "track_id long, ord long, artist string, title string, hash string"
+
+
+def test_an_index_is_opened_again_and_reads_probed_parts_only(spark):
+    path = scratch_path(spark, "again")
+    rows = [(i, i, f"Artist {'abcdefghij'[i % 10] * (1 + i // 10)}", f"Song {i}", f"h{i}") for i in range(1, 60)]
+    RecordingIndex(spark, path).add(spark.createDataFrame(rows, INTAKE))
+    again = RecordingIndex(spark, path)
+    assert again.batches == 1 and again.rows().count() == 59
+    got = again.add(spark.createDataFrame([(100, 100, "Artist bb", "Sonng 11", None), (101, 101, "New Name", "First Words", "h7")], INTAKE)).collect()
+    assert {r.track_id: r.rec for r in got} == {100: 11, 101: 7}
+    # a batch that probes one cell reads its part of the rows alone, whatever else is held
+    seen = []
+    read = RecordingIndex._read
+    other = RecordingIndex(spark, path)
+    other._read = lambda name, schema: seen.append(name) or read(other, name, schema)
+    other.add(spark.createDataFrame([(200, 200, "Artist bb", "Song 11", None)], INTAKE))
+    held = spark.read.parquet(f"{path}/rows")
+    part = held.where("track_id = 11").select("part").first()[0]
+    assert "rows" in seen and held.where(f"part = {part}").count() < held.count() / 4
+    assert RecordingIndex(spark, path).rows().where("track_id = 200").first().rec == 11
+
+
+def test_a_long_chain_inside_one_batch_leads_to_its_start(spark):
+    rows = [(i, i, f"Name {i}", f"Word {i}", None) for i in range(1)] + [(i, i, None, None, None) for i in range(1, 70)]
+    df = spark.createDataFrame(rows, INTAKE).select("track_id", "ord")
+    links = spark.createDataFrame([(i, i - 1, None, None) for i in range(1, 70)], "track_id long, hit long, rec long, rec_ord long")
+    got = {r.track_id: r.rec for r in RecordingIndex._resolved(df, links).collect()}
+    assert got == {i: 0 for i in range(70)}
+
+
 def test_two_edits_find_the_earlier_track(spark):
     said = [
         (("The Drofrozabpol Foxes", "Red Meadow Song"), ("Thhe Drofrozabpol Foxes", "Red Meadow Song")), (("Tammirquojin and Wolves", "Amber Song"), ("Tammirquojin annd Wolves", "Amber Song")),

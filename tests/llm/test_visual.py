@@ -37,3 +37,9 @@ def test_canonical_form_is_one_per_class(spark):
     df = spark.createDataFrame([(1, "Zoë", "x", ""), (2, "Zoë", "x", ""), (3, "Zoe", "x", ""), (4, None, "x", "")], SCHEMA_C)
     got = {r.row_ord: r.canonical_artist for r in canonical_forms(df, ["row_ord"]).collect()}
     assert got[1] == got[2] and got[3] == "Zoe" and got[4] is None
+
+
+def test_letters_with_marks_and_number_forms(spark):
+    tracks = [("k1", "Cöre", "Tóny", "x"), ("k2", "Part IV", "Ëve", "x")]
+    cand = [(1, "Cӧre", "Tóny", ""), (2, "Cöre", "Tόny", ""), (3, "Part Ⅳ", "Ёve", ""), (4, "Part VI", "Ëve", ""), (5, "Cöre", "Tony", "")]
+    assert run(spark, cand, tracks) == [(1, "k1"), (2, "k1"), (3, "k2")]
