@@ -44,7 +44,7 @@ def test_near_artists_do_not_depend_on_the_number_of_artists():
 def test_a_batch_probes_sums_and_totals_within_reach(spark, monkeypatch):
     seen = []
     homes = RecordingIndex._homes
-    monkeypatch.setattr(RecordingIndex, "_homes", staticmethod(lambda df, reach: seen.append(reach) or homes(df, reach)))
+    monkeypatch.setattr(RecordingIndex, "_homes", staticmethod(lambda df, hot, reach: seen.append(reach) or homes(df, hot, reach)))
     index = RecordingIndex(spark, scratch_path(spark, "sums"))
     index.add(spark.createDataFrame([(1, 1, "Corpolken Wolves", "Red Moon", None)], INTAKE))
     assert seen == [0, REACH]
@@ -55,18 +55,21 @@ INTAKE = "track_id long, ord long, artist string, title string, hash string"
 
 def test_an_index_is_opened_again_and_reads_probed_parts_only(spark):
     path = scratch_path(spark, "again")
-    rows = [(i, i, f"Artist {'abcdefghij'[i % 10] * (1 + i // 10)}", f"Song {i}", f"h{i}") for i in range(1, 60)]
+    rnd = random.Random(2)
+    name = lambda: "".join(rnd.choices("abcdefghiklmnoprstuvw", k=12)).title()
+    rows = [(i, i, f"{name()} {name()}", f"{name()} {name()}", f"h{i}") for i in range(1, 60)]
+    artist, title = rows[10][2:4]
     RecordingIndex(spark, path).add(spark.createDataFrame(rows, INTAKE))
     again = RecordingIndex(spark, path)
     assert again.batches == 1 and again.rows().count() == 59
-    got = again.add(spark.createDataFrame([(100, 100, "Artist bb", "Sonng 11", None), (101, 101, "New Name", "First Words", "h7")], INTAKE)).collect()
+    got = again.add(spark.createDataFrame([(100, 100, artist, title + "x", None), (101, 101, "New Name", "First Words", "h7")], INTAKE)).collect()
     assert {r.track_id: r.rec for r in got} == {100: 11, 101: 7}
     # a batch that probes one cell reads its part of the rows alone, whatever else is held
     seen = []
     read = RecordingIndex._read
     other = RecordingIndex(spark, path)
     other._read = lambda name, schema: seen.append(name) or read(other, name, schema)
-    other.add(spark.createDataFrame([(200, 200, "Artist bb", "Song 11", None)], INTAKE))
+    other.add(spark.createDataFrame([(200, 200, artist, title, None)], INTAKE))
     held = spark.read.parquet(f"{path}/rows")
     part = held.where("track_id = 11").select("part").first()[0]
     assert "rows" in seen and held.where(f"part = {part}").count() < held.count() / 4
