@@ -381,7 +381,8 @@ def near_bags(forms: DataFrame, symmetric: bool, block: int = BLOCK) -> DataFram
         return run
 
     shape = "key bigint, bag string, meta bigint, other string, cost double, typos array<struct<x: string, y: string>>"
-    meet = lambda keyed, level: written(keyed.groupBy(F.shiftright("meta", 32).alias("bucket")).applyInArrow(_meet(block, symmetric), shape), f"bags-met-{level}")
+    # as many tasks as the data ask for, whatever the session's number of shuffle partitions
+    meet = lambda keyed, level: written(keyed.withColumn("bucket", F.shiftright("meta", 32).cast("int")).repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_meet(block, symmetric), shape), f"bags-met-{level}")
     met = meet(forms.mapInArrow(first, _ROWS), 1)
     found = [met.where("key IS NULL")]
     for level in range(2, LEVELS + 1):
