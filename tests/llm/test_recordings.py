@@ -98,3 +98,23 @@ def test_a_batch_leaves_the_stored_history_alone(spark, tmp_path):
     assert all(p.stat().st_mtime_ns == m for p, m in before.items())
     index.add(spark.createDataFrame([], schema))
     assert index.rows().count() == 4
+
+
+def test_artists_of_like_letters_are_told_apart_by_words():
+    from crateflow.llm.intake import _near_artists, _same_artists, letters
+
+    import pyarrow as pa
+
+    def entries(names):
+        return pa.table({"cell": pa.array(range(len(names)), pa.int64()), "avec": [letters(n.split()).tobytes() for n in names], "names": names, "known": [True] * len(names)})
+
+    one = ["eleanor vaskirim"]
+    same = ["eleanor vaskirm", "elaenor vaskirim", "eleanorvaskirim", "e vaskirim", "of eleanor vaskirim", "ann eleanor vaskirim", "eleanor vaskirin", "vaskirim"]
+    other = ["elenora vaskrimi", "eleanor virvaski", "arnolee vaskirim", "roelane kirivasm"]
+    pairs = lambda f: set(f(entries(one), entries(same + other)).column("cell").to_pylist())
+    near, kept = pairs(_near_artists), pairs(_same_artists)
+    assert kept < near and kept & set(range(len(same))) == near & set(range(len(same)))
+    assert not kept & {len(same) + 1, len(same) + 2, len(same) + 3}
+    # short names in each other's field, and names whose spaces are elsewhere
+    assert _same_artists(entries(["u2"]), entries(["one"])).num_rows == 1
+    assert _same_artists(entries(["red foxes night"]), entries(["redfoxes night"])).num_rows == 1
