@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from crateflow.llm.blocking import BLOCK, LEFT, RIGHT, near_bags
-from crateflow.llm.recordings import ARTICLES, bag, full_forms, parse, words
+from crateflow.llm.recordings import ARTICLES, full_forms, parse, words
 from crateflow.session import plain_unions, written
 
 #: Seconds of a band of durations, more than the largest gap that speaks for a match.
@@ -49,12 +49,15 @@ _LABEL = re.compile(r"^\s*\[[^\]]*\]\s*")
 _SPLIT = re.compile(r"\s[-–—|~·:]+\s|\S:\s|\s//\s|\sby\b:?\s|\S\s+[\"“]\S", re.I)
 _BY = re.compile(r"\sby\b:?\s", re.I)
 _DIGIT = re.compile(r"\d")
+_HOSTS = ("topic", "official", "channel", "tv", "music", "vevo")
 _HOST = re.compile(r"\s*(?:-\s*topic|official|channel|tv|music|vevo)\s*$", re.I)
 
 
 @lru_cache(maxsize=1 << 15)
 def _host(h: str) -> tuple[str, bool]:
     """Name of an uploader without its channel suffix, and whether it had one."""
+    if h.isascii() and not h.rstrip().lower().endswith(_HOSTS):
+        return h.strip(), False
     name, n = _HOST.subn("", h)
     return name.strip(), n > 0
 
@@ -74,7 +77,7 @@ def read_clip(title: str | None, uploader: str | None, channel: str | None, nick
     other = _host(channel)[0] if channel else ""
     alone = ""
     bags = [" ".join(sorted(body_words))]
-    if not _SPLIT.search(body):  # only a title: the artist is who uploaded it
+    if " - " not in body and " | " not in body and not _SPLIT.search(body):  # only a title: the artist is who uploaded it
         alone = bags[0]
         hosts = [h for h in dict.fromkeys((name,) if own else (name, other)) if h]
         hosts = [h for h in hosts if not _DIGIT.search(h)] or hosts[:1]
@@ -98,17 +101,18 @@ def _track_rows(batches: Iterator[pa.RecordBatch], nicks: dict[str, str]) -> Ite
         forms, versions, names, titles = [], [], [], []
         for a, t in zip(r.column(1).to_pylist(), r.column(2).to_pylist(), strict=True):
             (x, m1), (y, m2) = parse(a), parse(t)
-            forms.append(" ".join(bag(x, y, nicknames=nicks)))
-            titles.append(" ".join(bag(y, nicknames=nicks)))
-            versions.append("; ".join(sorted({*m1, *m2})))
-            names.append("".join(words(x, nicks)))
+            name, title = words(x, nicks), words(y, nicks)
+            forms.append(" ".join(sorted({*name, *title} - ARTICLES)))
+            titles.append(" ".join(sorted(set(title) - ARTICLES)))
+            versions.append("; ".join(sorted({*m1, *m2})) if m1 or m2 else "")
+            names.append("".join(name))
         yield pa.RecordBatch.from_arrays([r.column(0), r.column(3), r.column(4), pa.array(forms, pa.string()), pa.array(versions, pa.string()), pa.array(names, pa.string()), pa.array(titles, pa.string())], ["track_key", "short", "long", "form", "version", "name", "alone"])
 
 
 def _near_forms(forms: DataFrame, block: int = BLOCK) -> DataFrame:
     """(f, g, cost): clip forms with library forms within the channel limit, equal ones included; ``forms`` has f, form, version and role."""
     same = forms.where(F.col("role") == LEFT + RIGHT).select("f", F.col("f").alias("g"), F.lit(0.0).alias("cost"))
-    return near_bags(forms, False, block).select("f", "g", "cost").unionByName(same)
+    return near_bags(forms, False, block, typed=False).unionByName(same)
 
 
 def candidates(clips: DataFrame, tracks: DataFrame, nickname: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -127,7 +131,7 @@ def candidates(clips: DataFrame, tracks: DataFrame, nickname: DataFrame, block:
     mine = mine.mapInArrow(partial(_clip_rows, nicks=nicks), "clip bigint, seconds double, form string, version string, host string, own boolean, alone string")
     mine = written(mine.withColumn("f", F.xxhash64("form", "version")), "linkage-clips")
     sides = mine.where("instr(form, ' ') > 0").select("f", "form", "version", F.lit(LEFT).alias("role")).unionByName(lib.select(F.col("g").alias("f"), "form", "version", F.lit(RIGHT).alias("role")))
-    forms = written(sides.groupBy("f").agg(F.min("form").alias("form"), F.min("version").alias("version"), F.bit_or("role").alias("role")), "linkage-forms")
+    forms = written(sides.groupBy("f", "form", "version").agg(F.bit_or("role").alias("role")), "linkage-forms")
     carried, side = ["clip", "seconds", "host", "own", "alone"], ["track_key", "short", "long", "name"]
     # votes on the uploader and the duration are cast as soon as clip and track meet, so no text is carried on
     names = F.col("host").contains(F.col("name")) | ((F.length("host") > 4) & F.col("name").contains(F.col("host")))

@@ -3,8 +3,11 @@
 import random
 from itertools import product
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from crateflow.llm import blocking
 from crateflow.llm.blocking import LEFT, RIGHT, near_bags
 from crateflow.llm.linkage import _near_forms
 from crateflow.llm.recordings import LIMIT, channel_cost
@@ -101,3 +104,32 @@ def test_variants_side(spark):
 def test_words_run_together():
     assert channel_cost("daftpunkaroundtheworld".split(), "around daft punk the world".split())[0] <= LIMIT
     assert channel_cost(["abc"], ["bca"])[0] > LIMIT
+
+
+def test_swapped_first_letters_meet_whatever_the_end(spark):
+    pairs = [("lumulaula ohlida second trio uladal", "holiday lumulaula second trio uladal"), ("fables lantern northern ocrfrorsklu", "corfroesklum fables lantern northern")]
+    assert all(channel_cost(a.split(), b.split())[0] <= LIMIT for a, b in pairs)
+    forms = sides(spark, [a for a, _ in pairs], [b for _, b in pairs])
+    name = {r.f: r.form for r in forms.collect()}
+    assert {(name[r.f], name[r.g]) for r in near_bags(forms, False).collect()} == set(pairs)
+
+
+def test_many_pairs_are_weighed_at_once_as_one_by_one(monkeypatch):
+    rnd = random.Random(7)
+    lib = LIB[:40] + ["of the sapphire phone", "ann bell without a trio", "7 bell 77 moon", "ann b bell cedar harbour", "x" * 30 + " ann bell", "ann bell " + " ".join(WORDS[:7])]
+    bags = sorted({typed(rnd, f) for f in lib for _ in range(5)} | {f + "*" for f in lib[:20]} | set(lib))
+    pairs = np.array([x << 32 | y for x in range(len(bags)) for y in range(x)])
+    want = {(int(p >> 32), int(p & 0xFFFFFFFF)): channel_cost(bags[p >> 32].split(" "), bags[p & 0xFFFFFFFF].split(" ")) for p in pairs}
+    asked = []
+    monkeypatch.setattr(blocking, "channel_cost", lambda a, b: asked.append(1) or channel_cost(a, b))
+    got = blocking._weighed(blocking._Words(pa.array(bags)), pairs, bags)
+    assert got == {k: v for k, v in want.items() if v[0] <= LIMIT} and len(got) > 500
+    assert len(asked) < len(pairs) / 4
+
+
+def test_rows_of_a_bucket_travel_in_one_piece():
+    bags = pa.array(["ann bell", "", "été à deux", "ann bell"])
+    batch = blocking._spread(np.array([7, 7, 9, 8]), bags, np.arange(4, dtype=np.uint64), np.array([1, 2, 3, 1]), 2, 512)
+    assert batch.column(0).to_pylist() == [0, 1]
+    rows = blocking._unpacked(pa.chunked_array([batch.column(1)]))
+    assert sorted(zip(*rows.to_pydict().values())) == [(7, "", 2), (7, "ann bell", 1), (8, "ann bell", 1), (9, "été à deux", 3)]
