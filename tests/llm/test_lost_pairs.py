@@ -1,9 +1,11 @@
 """Pairs that the channel model accepts have to become candidates."""
 
 import random
+import tracemalloc
 
 import pyarrow as pa
 
+from crateflow.llm import intake
 from crateflow.llm.intake import COST, REACH, RecordingIndex, _cost, _near_artists, letters, repeated_tracks
 from crateflow.llm.linkage import _near_forms
 from crateflow.llm.recordings import LIMIT, channel_cost, words
@@ -96,3 +98,34 @@ def test_two_edits_find_the_earlier_track(spark):
     tracks = spark.createDataFrame(rows, "track_id long, artist string, title string, batch_no int")
     got = repeated_tracks(tracks, spark.createDataFrame([], "track_id long, fingerprint_hash string")).collect()
     assert sorted((r.a, r.b) for r in got) == [(10 * i, 10 * i + 1) for i in range(len(said))]
+
+
+def test_a_block_of_artists_takes_little_memory():
+    # 1,024 artists asked for of 40,000 held: whole matrices took more than 700 MB
+    rnd = random.Random(4)
+    held = _entries(["".join(rnd.choices("bcdfghjklmnp", k=12)) + " foxes" for _ in range(40_000)])
+    tracemalloc.start()
+    got = _near_artists(held.slice(0, 1024), held)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert set(range(1024)) <= {a for a, c in zip(got["artist"].to_pylist(), got["cell"].to_pylist()) if a == c}
+    assert most < 150e6
+
+
+def test_blocks_and_shares_lose_no_match(spark, monkeypatch):
+    """The first batch of an index is cut into blocks too, and so are the rows that probe one cell."""
+    rnd = random.Random(6)
+    name = lambda n: "".join(rnd.choices("abcdefghiklmnoprstuvw", k=n)).title()
+    rows = [(i, i, f"{name(7)} {name(6)}", f"{name(8)} {name(5)}", None) for i in range(1, 150)]
+    rows += [(200 + i, 200 + i, "Corpolken Wolves", f"{name(6)} Moon", None) for i in range(150)]
+    rows += [(1000 + i, 1000 + i, a[:-2] + a[-1], t + "s", None) for i, _, a, t, _ in rows]
+    found, groups = [], []
+    probe = RecordingIndex._splits
+    monkeypatch.setattr(RecordingIndex, "_splits", staticmethod(lambda *x: groups.append(probe(*x)) or groups[-1]))
+    for sizes in ({}, {"BLOCK_ROWS": 9, "ASK_ROWS": 13, "BUCKET_ROWS": 40, "CELL_ROWS": 30}):
+        for k, v in sizes.items():
+            monkeypatch.setattr(intake, k, v)
+        got = RecordingIndex(spark, scratch_path(spark, "blocks")).add(spark.createDataFrame(rows, INTAKE)).collect()
+        found.append(sorted(map(tuple, got)))
+    assert found[0] == found[1] and sum(a != b for a, b in found[0]) > 250
+    assert groups[1][1] > groups[0][1] and groups[1][0].where("shares > 1").count()
